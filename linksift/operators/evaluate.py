@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,8 +21,8 @@ from linksift.operators.ranked import (
 from linksift.operators.scoring import clipped
 
 # The threshold grid and the number of reliability bins.
-GRID_STEPS = [0.02 + i * (0.98 - 0.02) / 48 for i in range(49)]
-GRID_QUANTILES = [0.01 + i * (0.99 - 0.01) / 32 for i in range(33)]
+GRID_STEPS = np.linspace(0.02, 0.98, 49).tolist()
+GRID_QUANTILES = np.linspace(0.01, 0.99, 33).tolist()
 RELIABILITY_BINS = 12
 
 

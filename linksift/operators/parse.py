@@ -89,11 +89,17 @@ def with_url_parts(df: DataFrame, url_col: str = "url", reject_nul: bool = False
     judged = located.select("*", parts.host_error(F.col("_netloc")).alias("_bad_host"))
 
     ok = F.col("_bad_host").isNull()
+    # The test of the partition number is always true. Being no function of the
+    # row, it stops a later filter on ``error`` from being pushed below this
+    # projection, where it would be rewritten over the raw text and grow with
+    # every stage. The filter still runs before the features are worked out.
+    error = F.when(
+        F.spark_partition_id() >= 0,
+        F.coalesce(F.col("_refused"), F.concat(F.lit("could not parse url: "), F.col("_bad_host"))),
+    )
     split = judged.select(
         *keep,
-        F.coalesce(
-            F.col("_refused"), F.concat(F.lit("could not parse url: "), F.col("_bad_host"))
-        ).alias("error"),
+        error.alias("error"),
         "u_trim",
         F.when(ok, F.col("u_full")).alias("u_full"),
         F.when(ok, F.col("u_implicit")).alias("u_implicit"),
