@@ -161,3 +161,14 @@ ALERT_RISK = 80
 UNCERTAIN_LOW, UNCERTAIN_HIGH = 0.35, 0.65
 PSI_WARN, PSI_ALERT = 0.10, 0.25
 SCHEMA_VERSION = 3
+
+# --- fixed values: weights of the fixed linear scorer used in checks --------
+SIMILARITY_FREE_SCORE = {
+    "intercept": -3.0,
+    "suspicious_tld": 2.5,
+    "has_ip": 2.0,
+    "punycode": 2.0,
+    "brand_in_subdomain": 1.5,
+    "url_length": 0.03,
+    "dots": 0.25,
+}

@@ -50,8 +50,8 @@ def _normalise_arrow(texts: pa.Array) -> pa.Array:
 
 
 # Marked nondeterministic although it is not: otherwise the optimizer copies every
-# splitting expression built on the result into the input of the next Arrow function
-# of the plan, and the copies multiply.
+# splitting expression built on the result into the stages above, and the copies
+# multiply.
 _normalise_once = _normalise_arrow.asNondeterministic()
 
 

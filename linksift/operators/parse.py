@@ -29,6 +29,7 @@ from linksift.constants import (
 )
 from linksift.functions import urlparts as parts
 from linksift.functions.similarity import brand_distance, brand_likeness
+from linksift.functions.stages import settled
 from linksift.functions.text import (
     DIGIT_CLASS,
     contained,
@@ -86,20 +87,14 @@ def with_url_parts(df: DataFrame, url_col: str = "url", reject_nul: bool = False
     schemed = fronts.select("*", parts.scheme_of(F.col("_front")).alias("_scheme"))
     rested = schemed.select("*", parts.after_scheme(F.col("_front"), F.col("_scheme")).alias("_rest"))
     located = rested.select("*", parts.netloc_of(F.col("_rest")).alias("_netloc"))
-    judged = located.select("*", parts.host_error(F.col("_netloc")).alias("_bad_host"))
+    judged = located.select("*", settled(parts.host_error(F.col("_netloc"))).alias("_bad_host"))
 
     ok = F.col("_bad_host").isNull()
-    # The test of the partition number is always true. Being no function of the
-    # row, it stops a later filter on ``error`` from being pushed below this
-    # projection, where it would be rewritten over the raw text and grow with
-    # every stage. The filter still runs before the features are worked out.
-    error = F.when(
-        F.spark_partition_id() >= 0,
-        F.coalesce(F.col("_refused"), F.concat(F.lit("could not parse url: "), F.col("_bad_host"))),
-    )
     split = judged.select(
         *keep,
-        error.alias("error"),
+        F.coalesce(
+            F.col("_refused"), F.concat(F.lit("could not parse url: "), F.col("_bad_host"))
+        ).alias("error"),
         "u_trim",
         F.when(ok, F.col("u_full")).alias("u_full"),
         F.when(ok, F.col("u_implicit")).alias("u_implicit"),
@@ -245,7 +240,7 @@ def with_url_features(
     if similarity:
         columns["brand_distance"] = brand_distance(labels)
         columns["jaro_winkler_brand"] = brand_likeness(F.col("u_host"))
-    valid = F.col("error").isNull()
+    valid = settled(F.col("error").isNull())
     chosen = [
         F.when(valid, columns[f].cast("double" if f in DOUBLE_FEATURES else "int")).alias(f) for f in names
     ]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linksift.constants import ALERT_RISK, FEATURES
+from linksift.functions.stages import settled
 from linksift.operators import reasons as R
 from linksift.operators.parse import PART_COLUMNS, with_tokens, with_url_features
 
@@ -135,7 +136,7 @@ def scan(
     drop = [c for c in PART_COLUMNS]
     out = out.withColumn("reasons", F.concat("heuristic_reasons", "rule_reasons")).withColumns(
         {
-            "reason_sum": R.reason_sum(F.col("reasons")),
+            "reason_sum": settled(R.reason_sum(F.col("reasons"))),
             "rule_sum": R.reason_sum(F.col("rule_reasons")),
         }
     ).drop(*drop, "heuristic_reasons", "rule_reasons")
