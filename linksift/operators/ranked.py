@@ -129,7 +129,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 def score_counts(scored: DataFrame) -> DataFrame:
     """(score, pos, neg): labels counted per distinct score."""
     label = F.col("label")
-    return scored.groupBy("score").agg(
+    # A generated row, of one element: the joins made later are on a number derived
+    # from the score, and the planner would trace that number back through every
+    # stage that led to the score to look for filters. It stops at a generator.
+    pairs = scored.select(F.inline(F.array(F.struct(F.col("score").alias("score"), label.alias("label")))))
+    return pairs.groupBy("score").agg(
         F.sum(F.when(label == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(label == 1, 0).otherwise(1)).alias("neg"),
     )

@@ -367,16 +367,20 @@ def q_point_metrics(spark, sf):
     return both.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in both.dtypes])
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Doubles rounded to six places, or to the digits given for a column."""
+    return df.select(
+        *[F.round(c, digits.get(c, 6)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    )
 
 
 def q_threshold_scan(spark, sf):
-    return rounded(E.scan_thresholds(T_.scored_docs(spark, sf)))
+    scan_rows = E.scan_thresholds(T_.scored_docs(spark, sf))
+    return rounded(scan_rows, threshold=12)
 
 
 def q_select_thresholds(spark, sf):
-    return rounded(E.select_thresholds(E.scan_thresholds(T_.scored_docs(spark, sf))))
+    return rounded(E.select_thresholds(E.scan_thresholds(T_.scored_docs(spark, sf))), threshold=12)
 
 
 def q_roc_curve(spark, sf):

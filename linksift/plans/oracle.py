@@ -347,7 +347,7 @@ def _steps(source: str, name: str) -> str:
 ), {name} AS (
   SELECT score, pos, neg, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
          CAST(sum(pos) OVER () AS BIGINT) AS n_pos, CAST(sum(neg) OVER () AS BIGINT) AS n_neg,
-         lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS at
+         lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS place
   FROM {name}_g WINDOW w AS (ORDER BY score DESC)
 )"""
 
@@ -387,7 +387,7 @@ _GRID = f"""grid AS (
 
 
 def _best(criterion: str, column: str, order: str) -> str:
-    return f"""SELECT * FROM (SELECT '{criterion}' AS criterion, round(threshold, 6) AS threshold, round(threshold, 4) AS threshold_shown
+    return f"""SELECT * FROM (SELECT '{criterion}' AS criterion, round(threshold, 12) AS threshold, round(threshold, 4) AS threshold_shown
     FROM scan ORDER BY round({column}, 9) {order}, threshold LIMIT 1)"""
 
 
@@ -474,8 +474,8 @@ _MUTATED = f"""SELECT url_id, mutator, CAST(repeat AS INTEGER) AS repeat, CASE m
   WHEN 'subdomain' THEN regexp_replace(url, '^(\\w+://)?([^/]+)(.*)$', '\\1' || {_choose(sorted(BRANDS), "'brand'")} || '-\\2\\3')
   WHEN 'path_noise' THEN rtrim(url, '/') || '/' || array_to_string(list_transform(range(1, CAST({_draw("'length'")} % 9 + 4 AS BIGINT) + 1),
        lambda i: substr('abcdefghijklmnopqrstuvwxyz0123456789', CAST({_draw('i')} % 36 AS INTEGER) + 1, 1)), '')
-  WHEN 'percent' THEN CASE WHEN len({_PLACES}) > 0 THEN (SELECT substr(url, 1, at - 1) || '%' || printf('%X', unicode(url[at])) || substr(url, at + 1)
-       FROM (SELECT ({_PLACES})[CAST({_draw("'place'")} % len({_PLACES}) AS INTEGER) + 1] AS at)) ELSE url END
+  WHEN 'percent' THEN CASE WHEN len({_PLACES}) > 0 THEN (SELECT substr(url, 1, spot - 1) || '%' || printf('%X', unicode(url[spot])) || substr(url, spot + 1)
+       FROM (SELECT ({_PLACES})[CAST({_draw("'place'")} % len({_PLACES}) AS INTEGER) + 1] AS spot)) ELSE url END
   ELSE array_to_string({_CHARS.format(f"CASE WHEN {_draw('(i - 1)')} < 1288490188 THEN upper(ch) ELSE ch END")}, '') END AS url
 FROM mutants"""
 
@@ -594,7 +594,7 @@ CAST(trunc(probability * 100) AS INTEGER) AS confidence, array_to_string({_TEXTS
     "point_metrics": with_(CORPUS, PARTS, FEATS, SCORED_URLS, SCORED_DOCS, _steps("scored_docs", "ds"), _steps("scored_urls", "us"))
     + _points("scored_docs", "docs", "ds") + "\nUNION ALL\n" + _points("scored_urls", "urls", "us"),
     "threshold_scan": with_(SCORED_DOCS, _GRID)
-    + 'SELECT round(threshold, 6) AS threshold, round(threshold, 4) AS threshold_shown, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, round(balanced_accuracy, 6) AS balanced_accuracy, round(mcc, 6) AS mcc, round(youden_j, 6) AS youden_j, fp, fn, expected_cost FROM scan',
+    + 'SELECT round(threshold, 12) AS threshold, round(threshold, 4) AS threshold_shown, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, round(balanced_accuracy, 6) AS balanced_accuracy, round(mcc, 6) AS mcc, round(youden_j, 6) AS youden_j, fp, fn, expected_cost FROM scan',
     "select_thresholds": with_(SCORED_DOCS, _GRID)
     + "\nUNION ALL\n".join(
         [_best("f1", "f1", "DESC"), _best("cost", "expected_cost", "ASC"), _best("youden", "youden_j", "DESC"),
@@ -603,7 +603,7 @@ CAST(trunc(probability * 100) AS INTEGER) AS confidence, array_to_string({_TEXTS
     "roc_curve": with_(SCORED_DOCS, _steps("scored_docs", "st"))
     + """SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL
 SELECT round(score, 6), round(CAST(fp AS DOUBLE) / n_neg, 6), round(CAST(tp AS DOUBLE) / n_pos, 6) FROM st
-WHERE at = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg""",
+WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg""",
     "roc_auc": with_(SCORED_DOCS, _steps("scored_docs", "st")) + f"SELECT round({_AUC}, 6) AS roc_auc FROM st",
     "pr_curve": with_(SCORED_DOCS, _steps("scored_docs", "st"))
     + """SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS recall, 1.0 AS "precision" UNION ALL
