@@ -50,7 +50,7 @@ from linksift.plans.train import TrainedModel, load_model, train, verdicts
 from linksift.session import shared_folder
 from linksift.sinks import writers as S
 from linksift.sources.corpus import url_corpus
-from linksift.sources.tables import read_rules, table, url_lines
+from linksift.sources.tables import read_rules, spread, table, url_lines
 from linksift.streaming.watch import watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,7 +170,9 @@ def q_url_tokens(spark, sf):
 
 def q_char_entropy(spark, sf):
     pages = table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("url").alias("s"))
-    docs = table(spark, sf, "documents").select(F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select(
+        F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("s")
+    )
     return pages.unionByName(docs).select("kind", "id", r6(shannon(F.col("s"))).alias("entropy"))
 
 
@@ -448,8 +450,9 @@ def q_active_queue(spark, sf):
 
 def _drift_sides(spark, sf):
     """The pages' own URLs against all URLs of the corpus."""
-    parsed = with_url_features(url_corpus(spark, sf), similarity=False, flags=False)
-    return parsed.filter("variant = 0"), parsed
+    corpus = url_corpus(spark, sf)
+    features = lambda df: with_url_features(df, similarity=False, flags=False)
+    return features(corpus.filter("variant = 0")), features(corpus)
 
 
 DRIFT_FEATURES = tuple(f for f in CONTINUOUS_FEATURES if f not in SIMILARITY_FEATURES)
@@ -458,7 +461,7 @@ LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 def q_psi_drift(spark, sf):
     """Line items that were returned or refused against all the others."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem").select("l_returnflag", *LINE_COLUMNS), *LINE_COLUMNS)
     return rounded(D.psi(lines.filter("l_returnflag = 'N'"), lines.filter("l_returnflag <> 'N'"), LINE_COLUMNS))
 
 

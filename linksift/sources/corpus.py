@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linksift.sources.tables import spread, table
+
 # Variant number, URL template ({id} = page_id), label.
 # Variant 0 is the page's own URL and is labelled by its host.
 VARIANTS = (
@@ -34,7 +36,7 @@ BAD_HOST_PARTS = ("spam-farm", "cheap-pills")
 
 def url_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pages x variants: url_id, page_id, variant, url, label (2 % of labels flipped)."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id")
     own_label = F.when(
         F.col("url").contains(BAD_HOST_PARTS[0]) | F.col("url").contains(BAD_HOST_PARTS[1]), 1
     ).otherwise(0)

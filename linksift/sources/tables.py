@@ -14,6 +14,16 @@ from linksift.operators.reasons import default_rules, rules_with_defaults
 log = logging.getLogger("linksift")
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Give every core a share of an input that comes in fewer pieces than there are cores.
+
+    A large input has more file splits than cores and is left as it is, without
+    a shuffle. A small file is one piece, whatever work follows on its rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
