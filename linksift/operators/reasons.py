@@ -127,17 +127,30 @@ def _java_pattern(pattern: str) -> str:
     return pattern.replace(r"\Z", r"\z")
 
 
-def _usable_pattern(spark: SparkSession, pattern: str) -> bool:
-    """True if both dialects accept the pattern; a broken one never hits."""
+def _java_accepts(spark: SparkSession, patterns: list[str]) -> bool:
+    """True if Spark can compile all patterns. They fold to constants while planning: no job runs."""
+    args = {f"p{i}": "(?iUd)" + _java_pattern(p) for i, p in enumerate(patterns)}
     try:
-        re.compile(pattern)
-        # folded to a constant while planning: no job runs
-        spark.sql("SELECT rlike('', :p)", args={"p": "(?iUd)" + _java_pattern(pattern)}).collect()
-    except (re.error, PySparkException):
+        spark.sql("SELECT array(" + ", ".join(f"rlike('', :{name})" for name in args) + ")", args=args).collect()
+    except PySparkException:
         return False
     return True
 
 
+def usable_patterns(spark: SparkSession, patterns: list[str]) -> set[str]:
+    """The patterns that both dialects accept; a broken one never hits."""
+    sound = []
+    for p in dict.fromkeys(patterns):
+        try:
+            re.compile(p)
+            sound.append(p)
+        except re.error:
+            continue
+    if _java_accepts(spark, sound):
+        return set(sound)
+    return {p for p in sound if _java_accepts(spark, [p])}
+
+
 def _rule_hit(kind: str, pattern: str) -> Column | None:
     raw, lowered = F.col("u_trim"), F.lower(F.col("u_trim"))
     if kind == "contains":
@@ -165,9 +178,10 @@ def apply_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     rows = [r for r in rules.select(RULES_SCHEMA.fieldNames()).collect() if r.enabled]
+    usable = usable_patterns(spark, [r.pattern for r in rows if r.kind == "regex"])
     hits = []
     for r in rows:
-        if r.kind == "regex" and not _usable_pattern(spark, r.pattern):
+        if r.kind == "regex" and r.pattern not in usable:
             continue
         test = _rule_hit(r.kind, r.pattern)
         if test is not None:

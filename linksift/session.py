@@ -18,11 +18,16 @@ def local_session(cpus: int | str = "*", app: str = "linksift", shuffle_partitio
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # generated methods above 8000 bytes are never compiled by the JVM: better not to fuse them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("LINKSIFT_DRIVER_MEMORY", "12g"))
         .getOrCreate()
     )
 
 
+_own_folder: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder of the session.
 
@@ -33,6 +38,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="linksift-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _own_folder.setdefault(app, "") or tempfile.mkdtemp(prefix="linksift-")
+        _own_folder[app] = root
     return f"{root.rstrip('/')}/{name}"
