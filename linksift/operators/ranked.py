@@ -32,7 +32,8 @@ def range_edges(df: DataFrame, columns: Sequence[str], ranges: int | None = None
     ranges = ranges or range_count(df)
     probs = [i / ranges for i in range(1, ranges)]
     found = df.approxQuantile(list(columns), probs, 1.0 / (4 * ranges))
-    return [sorted(set(e)) for e in found]
+    # a column without values still needs one edge
+    return [sorted(set(e)) or [0.0] for e in found]
 
 
 def with_range(df: DataFrame, columns: Sequence[str], edges: list[list[float]], outputs: Sequence[str]) -> DataFrame:

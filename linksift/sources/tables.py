@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def read_rules(spark: SparkSession, path: str | None) -> DataFrame:
         if rules.isEmpty():
             return default_rules(spark)
         return rules
-    except PySparkException as exc:
+    except (PySparkException, Py4JError) as exc:
         log.warning("rules not read, defaults taken: %s", type(exc).__name__)
         return default_rules(spark)
 
