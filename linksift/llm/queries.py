@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import packing
+from linksift.llm import packing, quality, token_counts
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.token_files(
         table(spark, sf_dir, "documents"), fresh_path(spark, "packed"), tokenizer_file("byte_bpe_50k.json"), end_id=2
     )
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, each document encoded once."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.attribute_tokens(docs, tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, rule="most")
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
