@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import packing, quality, token_counts, url_filter
+from linksift.llm import jaccard_join, packing, quality, token_counts, url_filter
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_url_filter"] = url_filter.oracle_sql(URL_RULES)
+
+
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents by shared word shingles."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
