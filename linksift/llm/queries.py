@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import jaccard_join, packing, quality, token_counts, url_filter
+from linksift.llm import decontaminate, jaccard_join, packing, quality, token_counts, url_filter
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ ORACLE["op9_url_filter"] = url_filter.oracle_sql(URL_RULES)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of all documents by shared word shingles."""
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, as it stands or with other values."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
