@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import decontaminate, jaccard_join, packing, quality, token_counts, url_filter
+from linksift.llm import decontaminate, jaccard_join, packing, quality, sharding, token_counts, url_filter
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, as it stands or with other values."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_label_propagation")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of equal counts, equal texts together."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
