@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import decontaminate, jaccard_join, packing, quality, sharding, token_counts, url_filter
+from linksift.llm import decontaminate, jaccard_join, license_scan, packing, quality, sharding, token_counts, url_filter
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal counts, equal texts together."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in every document."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
