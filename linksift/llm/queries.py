@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linksift.llm import decontaminate, jaccard_join, license_scan, packing, quality, sharding, token_counts, url_filter
+from linksift.llm import ann, decontaminate, jaccard_join, license_scan, packing, pieces, quality, sharding, token_counts, url_filter
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license notice in every document."""
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op5_hnsw")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of each row whose id is divisible by 100, by a graph per shard."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query("op7_merge_dropout")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into pieces with merge dropout, and decoded again."""
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), seed=17, with_ids=False)
