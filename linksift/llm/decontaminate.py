@@ -32,7 +32,7 @@ GIVEN_NAMES = (
     "Alice", "Anna", "Ben", "Bob", "Carlos", "Charlie", "Claire", "Daniel", "David", "Emily", "Emma", "George", "Hans", "James", "Jane", "John", "Julia",
     "Karen", "Laura", "Linda", "Maria", "Mark", "Mary", "Michael", "Natalia", "Paul", "Peter", "Robert", "Sara", "Sarah", "Susan", "Thomas", "Tom", "Weng",
 )
-NAME = r"(?<=[\p{Ll}0-9,;] )\p{Lu}\p{Ll}+|\b(?:" + "|".join(GIVEN_NAMES) + r")\b"
+NAME = r"(?<=[\p{L}0-9,;:] )\p{Lu}\p{Ll}+|\b(?:" + "|".join(GIVEN_NAMES) + r")\b"
 NUMBER = r"[0-9]+(?:[.,:][0-9]+)*"
 UNIT = r"(?<=0) ?\b(?:" + "|".join(UNITS) + r")\b|(?<=0)(?:" + "|".join(UNITS) + r")\b"
 WORD_END = r"[^0-9\p{L}·]+"

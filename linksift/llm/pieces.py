@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,11 +184,12 @@ class Pieces:
 
     def learn(self, words: list[str], variant: int) -> dict[str, bytes]:
         got: dict[str, bytes] = {}
+        salt = _key(self.seed, variant)
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
         for n, some in by_length.items():
-            keys = np.array([_key(self.seed, variant, w) for w in some], np.uint64)
+            keys = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), salt) for w in some], np.uint64)
             if n > MANY:
                 got.update((w, self.agenda(w, k)) for w, k in zip(some, keys.tolist()))
                 continue
