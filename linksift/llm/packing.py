@@ -30,6 +30,8 @@ from pyspark.sql.window import Window
 from linksift.llm.common import text_or_empty, written
 
 BLOCK_IDS = 1 << 16
+#: Stands for a piece that begins or ends with white space; it has no ids of its own.
+ODD = b"odd"
 BLOCK_SCHEMA = "part int, first long, bits int, n_ids long, doc_ids array<long>, doc_lens array<long>, payload binary"
 READ_SCHEMA = "part int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
@@ -65,7 +67,8 @@ class WordCache:
     two other characters, so the ids of a text are those of its pieces cut there. New
     pieces go to the library in one text a batch; their ids are told apart by the
     bytes they stand for. Texts with other runs of white space are cut at safe blanks
-    only. ``limit`` bounds the memory: a full cache starts anew.
+    only. ``limit`` bounds the memory: a full cache takes no more, and starts anew where
+    an eighth of the pieces are not in it.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -76,7 +79,7 @@ class WordCache:
         self.tok = Tokenizer.from_file(path)
         self.vocabulary = self.tok.get_vocab_size(with_added_tokens=True)
         self.limit = limit
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         self.special = sorted(special)
         # a byte-level token has one character for each byte; added tokens stand for themselves
@@ -105,28 +108,32 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit integers."""
-        pieces = [t.split(" ") for t in texts]
-        new = set().union(*(p[1:] for p in pieces)).difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = set().union(*(p[1:] for p in pieces))
+        cuts = [t.split(" ") for t in texts]
+        found = [list(map(self.known.get, cut)) for cut in cuts]
+        holes, new = [], set()
+        for cut, ids in zip(cuts, found):
+            ids[0] = b""
+            holes.append([i for i, x in enumerate(ids) if x is None] if None in ids else ())
+            new.update([cut[i] for i in holes[-1]])
         odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
-        self.known.update(dict.fromkeys(odd))
+        self.known.update(dict.fromkeys(odd, ODD))
         self.learn(list(new.difference(odd)))
-        out, known = [], self.known.__getitem__
-        for text, cut in zip(texts, pieces):
-            try:
-                if cut[0][:1].isspace() or cut[0][-1:].isspace() or not cut[0]:
-                    raise TypeError
-                tail = b"".join(map(known, cut[1:]))
-                out.append(self.library(cut[0]) + tail)
-            except TypeError:
+        out = []
+        for text, cut, ids, hole in zip(texts, cuts, found, holes):
+            for i in hole:
+                ids[i] = self.known[cut[i]]
+            if ODD in ids or not cut[0] or cut[0][0].isspace() or cut[0][-1].isspace():
                 safe = self.SAFE.split(text)
-                got = [self.library(safe[0])] if safe[0] else []
-                for w in safe[1:]:
-                    found = self.known.get(w)
-                    got.append(self.library(" " + w) if found is None else found)
-                out.append(b"".join(got))
+                out.append(b"".join([self.library(safe[0]) if safe[0] else b"", *(ids if (ids := self.known.get(w, ODD)) != ODD else self.library(" " + w) for w in safe[1:])]))
+            else:
+                ids[0] = self.library(cut[0])
+                out.append(b"".join(ids))
+        if len(self.known) > self.limit:  # keep what came first, unless it no longer fits the texts
+            if 2 * len(new) > sum(map(len, cuts)) / 4:
+                self.known = {}
+            else:
+                for w in new:
+                    del self.known[w]
         return out
 
 

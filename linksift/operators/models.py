@@ -372,30 +372,56 @@ def cross_validate(
     return per_fold.agg(F.array(*stats).alias("s")).select(F.inline("s"))
 
 
+RANGE_ROWS = 20_000
+SCORE_RANGES = 256
+
+
+def _numbered(df: DataFrame, group: list[str], order: list[Column | str], n: int, name: str) -> DataFrame:
+    """Add ``name``: gapless from 1 within each group, in the order of a hash.
+
+    Rows are dealt into ranges of the hash; each range is numbered by itself and
+    starts where the ranges before it end, so no task holds a whole group.
+    """
+    h = F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in order])
+    dealt = df.withColumn("_h", h).withColumn("_range", F.pmod("_h", F.lit(max(1, -(-n // RANGE_ROWS)))))
+    sizes = dealt.groupBy(*group, "_range").agg(F.count("*").alias("_n"))
+    ahead = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(*group, "_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_start"))
+    own = F.row_number().over(W.partitionBy(*group, "_range").orderBy("_h", *[c for c in order if isinstance(c, str)]))
+    return dealt.withColumn("_own", own).join(starts, [*group, "_range"]).withColumn(name, F.col("_start") + F.col("_own")).drop("_h", "_range", "_start", "_own")
+
+
+def _areas(scored: DataFrame, group: list[str]) -> DataFrame:
+    """ROC area of each group from label and score, by running counts per range of scores."""
+    counts = scored.groupBy(*group, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    counts = counts.withColumn("_range", F.floor(F.col("score") * SCORE_RANGES))
+    sums = counts.groupBy(*group, "_range").agg(F.sum("pos").alias("_pos"))
+    above = W.partitionBy(*group).orderBy(F.desc("_range")).rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(*group, "_range", F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_start"))
+    own = F.sum("pos").over(W.partitionBy(*group, "_range").orderBy(F.desc("score")))
+    stepped = counts.withColumn("_own", own).join(starts, [*group, "_range"]).withColumn("tp", F.col("_start") + F.col("_own"))
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)) / (F.sum("pos") * F.sum("neg"))
+    return stepped.groupBy(*group).agg(area.alias("auc"))
+
+
 def permutation_importance(
     df: DataFrame,
     score: Callable[[DataFrame], DataFrame],
     repeats: int = 5,
-    max_rows: int = 2000,
     seed: int = 42,
     key: str = "url",
     columns: tuple[str, ...] = FEATURES,
 ) -> DataFrame:
     """(feature, mean, std): loss of ROC-AUC when one feature is shuffled, largest first.
 
-    Works on a sample of at most ``max_rows`` rows in hash order (part of the
-    operator). All copies - feature x repeat - are scored in one pass.
+    All rows take part. In each repeat a row takes the values of the row at another
+    place, in the order of a hash; all copies - feature x repeat - are scored in one pass.
     """
-    sample = df.orderBy(hash_order([key], seed), key).limit(max_rows)
-    # bounded by max_rows, so one ordered window is fine
-    numbered = sample.withColumn("_pos", F.row_number().over(W.orderBy(hash_order([key], seed), key)))
-    rounds = numbered.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_round"))
-    shuffled = W.partitionBy("_round").orderBy(F.xxhash64("_pos", "_round", F.lit(seed)), "_pos")
-    donors = rounds.select(
-        F.col("_round"),
-        F.row_number().over(shuffled).alias("_pos"),
-        F.struct(*columns).alias("_other"),
-    )
+    n = df.count()
+    placed = _numbered(df, [], [key, F.lit(seed)], n, "_pos")
+    rounds = placed.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_round"))
+    donors = rounds.select("_round", F.struct(*columns).alias("_other"), F.col("_pos").alias("_from"))
+    donors = _numbered(donors, ["_round"], ["_from", "_round", F.lit(seed)], n, "_pos").select("_round", "_pos", "_other")
     names = F.array(F.lit(""), *[F.lit(c) for c in columns])
     copies = rounds.join(donors, ["_round", "_pos"]).select("*", F.explode(names).alias("_feature"))
     # the unshuffled baseline is needed once only
@@ -404,15 +430,8 @@ def permutation_importance(
         {c: F.when(F.col("_feature") == c, F.col("_other")[c]).otherwise(F.col(c)) for c in columns}
     ).drop("_other")
     scored = score(swapped).select("_feature", "_round", "label", F.col("probability").alias("score"))
-    # rank-sum form of the area, per (feature, repeat): at most max_rows rows each
-    group = ["_feature", "_round"]
-    counts = scored.groupBy(*group, "score").agg(
-        F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg")
-    )
-    down = W.partitionBy(*group).orderBy(F.desc("score"))
-    stepped = counts.withColumn("tp", F.sum("pos").over(down))
-    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2)) / (F.sum("pos") * F.sum("neg"))
-    aucs = stepped.groupBy(*group).agg(area.alias("auc"))
+    aucs = _areas(scored, ["_feature", "_round"])
+    # a row for each feature and repeat
     base = F.max(F.when(F.col("_feature") == "", F.col("auc"))).over(W.partitionBy())
     return (
         aucs.withColumn("drop", base - F.col("auc"))

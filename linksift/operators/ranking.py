@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksift.constants import UNCERTAIN_HIGH, UNCERTAIN_LOW, URL_SHORTENERS
 
-QUEUE_CAPACITY = 500
-
 
-def active_queue(
-    scored: DataFrame, score_col: str = "score", arrival: str = "id", capacity: int = QUEUE_CAPACITY, k: int = 20
-) -> DataFrame:
+def active_queue(scored: DataFrame, score_col: str = "score", arrival: str = "id", k: int = 20) -> DataFrame:
     """The k most uncertain rows of the band 0.35..0.65 (earlier arrival first on ties)."""
     p = F.col(score_col)
     return (
         scored.filter(p.between(UNCERTAIN_LOW, UNCERTAIN_HIGH))
         .withColumn("uncertainty", 1.0 - F.abs(p - 0.5) * 2.0)
         .orderBy(F.desc("uncertainty"), arrival)
-        .limit(min(capacity, k))
+        .limit(k)
     )
 
 
@@ -46,11 +44,10 @@ def hourly_verdicts(log: DataFrame) -> DataFrame:
 
 def live_counters(log: DataFrame, online_samples: int, threshold: float, model_hash: str) -> DataFrame:
     """One row: predictions, positives, waiting uncertain rows, learned samples, threshold, model."""
-    waiting = F.count_if(F.col("prob").between(UNCERTAIN_LOW, UNCERTAIN_HIGH))
     return log.agg(
         F.count("*").alias("predictions"),
         F.count_if(F.col("prediction") == 1).alias("positives"),
-        F.least(waiting, F.lit(QUEUE_CAPACITY)).alias("queue_length"),
+        F.count_if(F.col("prob").between(UNCERTAIN_LOW, UNCERTAIN_HIGH)).alias("queue_length"),
         F.lit(online_samples).cast("long").alias("online_samples"),
         F.lit(threshold).alias("threshold"),
         F.lit(model_hash).alias("model_hash"),
@@ -71,11 +68,11 @@ def from_shorteners(parsed: DataFrame, host_col: str = "u_host") -> DataFrame:
     return parsed.filter(F.col(host_col).isin(*URL_SHORTENERS))
 
 
-def feedback_join(feedback: DataFrame, features: DataFrame, columns: list[str]) -> DataFrame:
+def feedback_join(feedback: DataFrame, features: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
     """Feedback with features of the same URL.
 
-    Features depend on the URL alone, so one feature row per URL is kept before
-    the join; feedback that repeats one URL is split by AQE's skew join.
+    ``features`` makes the feature frame of a frame of URLs; it sees the URLs that
+    were fed back, each once. Feedback that repeats one URL is split by AQE's skew join.
     """
-    once = features.groupBy("url").agg(*[F.first(c).alias(c) for c in columns])
+    once = features(feedback.select("url").distinct()).select("url", *columns)
     return feedback.join(once, "url", "left")

@@ -226,6 +226,11 @@ def reason_sum(reasons: Column) -> Column:
     )
 
 
+def weight_sum(reasons: Column) -> Column:
+    """Sum of all weights, those of ``info`` reasons too."""
+    return F.aggregate(reasons, F.lit(0.0), lambda acc, r: acc + r["weight"])
+
+
 def rules_with_defaults(rows: DataFrame) -> DataFrame:
     """Fill the fields that a rules file may leave out."""
     have = set(rows.columns)

@@ -137,7 +137,7 @@ def scan(
     out = out.withColumn("reasons", F.concat("heuristic_reasons", "rule_reasons")).withColumns(
         {
             "reason_sum": settled(R.reason_sum(F.col("reasons"))),
-            "rule_sum": R.reason_sum(F.col("rule_reasons")),
+            "rule_sum": R.weight_sum(F.col("rule_reasons")),
         }
     ).drop(*drop, "heuristic_reasons", "rule_reasons")
 

@@ -28,7 +28,6 @@ from linksift.operators.models import (
 from linksift.operators.ngrams import char_ngrams
 from linksift.operators.online import empty_state, online_update, state_table
 from linksift.operators.parse import (
-    SIMILARITY_FEATURES,
     with_tokens,
     with_url_features,
     with_url_parts,
@@ -133,25 +132,22 @@ def q_url_parts(spark, sf):
 
 
 def q_url_features(spark, sf):
-    parsed = with_url_features(url_corpus(spark, sf), similarity=False, flags=False)
-    return parsed.select(
-        "url_id",
-        *[r6(f).alias(f) if f in DOUBLE_FEATURES else F.col(f) for f in FEATURES if f not in SIMILARITY_FEATURES],
-    )
+    parsed = with_url_features(url_corpus(spark, sf), flags=False)
+    return parsed.select("url_id", *[r6(f).alias(f) if f in DOUBLE_FEATURES else F.col(f) for f in FEATURES])
 
 
 def q_brand_distance(spark, sf):
-    parsed = with_url_parts(url_corpus(spark, sf)).filter("error IS NULL")
-    return parsed.select("url_id", brand_distance(F.col("u_labels")).alias("value"))
+    parsed = with_url_parts(url_corpus(spark, sf))
+    return parsed.select("url_id", F.when(F.col("error").isNull(), brand_distance(F.col("u_labels"))).alias("value"))
 
 
 def q_brand_jaro_winkler(spark, sf):
-    parsed = with_url_parts(url_corpus(spark, sf)).filter("error IS NULL")
-    return parsed.select("url_id", r6(brand_likeness(F.col("u_host"))).alias("value"))
+    parsed = with_url_parts(url_corpus(spark, sf))
+    return parsed.select("url_id", F.when(F.col("error").isNull(), r6(brand_likeness(F.col("u_host")))).alias("value"))
 
 
 def q_url_flags(spark, sf):
-    flags = with_url_features(url_corpus(spark, sf), similarity=False).filter("error IS NULL")
+    flags = with_url_features(url_corpus(spark, sf), similarity=False)
     return flags.select(
         "url_id",
         F.array_join("flags.brands", ",").alias("brands"),
@@ -212,19 +208,19 @@ def q_reason_sums(spark, sf):
         "url_id",
         F.size("reasons").alias("n_reasons"),
         r6(R.reason_sum(F.col("reasons"))).alias("reason_sum"),
-        r6(R.reason_sum(F.col("rule_reasons"))).alias("rule_sum"),
+        r6(R.weight_sum(F.col("rule_reasons"))).alias("rule_sum"),
         F.col("reasons")[0]["text"].alias("top_reason"),
     )
 
 
 def q_risk_score(spark, sf):
-    out = _reasoned(spark, sf).filter("error IS NULL")
-    return out.select("url_id", plain_risk(F.lit(0.5), R.reason_sum(F.col("reasons"))).alias("risk"))
+    risk = plain_risk(F.lit(0.5), R.reason_sum(F.col("reasons")))
+    return _reasoned(spark, sf).select("url_id", F.when(F.col("error").isNull(), risk).otherwise(0).alias("risk"))
 
 
 def q_watchlist_override(spark, sf):
     out = scan(url_corpus(spark, sf), Scorer(threshold=0.6), T_.rules(spark), T_.watchlist(spark))
-    return out.filter("error IS NULL").select(
+    return out.select(
         "url_id", "risk", "verdict", F.col("abstain").cast("int").alias("abstain")
     )
 
@@ -277,9 +273,9 @@ def q_distinct_score(spark, sf):
 
 def q_export_csv(spark, sf):
     folder = new_folder(spark, "csv")
-    S.write_csv(linear_scan(spark, sf).filter("error IS NULL"), folder)
+    S.write_csv(linear_scan(spark, sf), folder)
     schema = "url string, verdict string, probability string, risk int, abstain int, conformal_0 int, conformal_1 int, reasons string"
-    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(folder)
+    return spark.read.options(**S.CSV_OPTIONS).schema(schema).csv(folder)
 
 
 def q_stix_indicators(spark, sf):
@@ -330,7 +326,8 @@ def q_live_counters(spark, sf):
 
 
 def q_unseen_urls(spark, sf):
-    return K.unseen_urls(url_corpus(spark, sf), T_.predictions(spark, sf))
+    """URLs that a log of the positive predictions does not hold."""
+    return K.unseen_urls(url_corpus(spark, sf), T_.predictions(spark, sf).filter("prediction = 1"))
 
 
 def q_registry_latest(spark, sf):
@@ -345,7 +342,7 @@ def q_registry_list(spark, sf):
 
 
 def q_feedback_join(spark, sf):
-    features = with_url_features(url_corpus(spark, sf), similarity=False, flags=False)
+    features = lambda df: with_url_features(df, similarity=False, flags=False)
     return K.feedback_join(T_.feedback(spark, sf), features, ["url_length", "dots", "has_ip"]).select(
         "url", "true_label", "url_length", "dots", "has_ip"
     )
@@ -451,11 +448,10 @@ def q_active_queue(spark, sf):
 def _drift_sides(spark, sf):
     """The pages' own URLs against all URLs of the corpus."""
     corpus = url_corpus(spark, sf)
-    features = lambda df: with_url_features(df, similarity=False, flags=False)
+    features = lambda df: with_url_features(df, flags=False)
     return features(corpus.filter("variant = 0")), features(corpus)
 
 
-DRIFT_FEATURES = tuple(f for f in CONTINUOUS_FEATURES if f not in SIMILARITY_FEATURES)
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
@@ -467,7 +463,7 @@ def q_psi_drift(spark, sf):
 
 def q_drift_report(spark, sf):
     ref, cur = _drift_sides(spark, sf)
-    return rounded(D.drift_report(ref, cur, DRIFT_FEATURES))
+    return rounded(D.drift_report(ref, cur, CONTINUOUS_FEATURES))
 
 
 # --------------------------------------------------------------- learning ----
@@ -480,8 +476,8 @@ def q_ngram_counts(spark, sf):
 
 def q_scaled_features(spark, sf):
     """Mean and population deviation of each scaled feature, all in one pass."""
-    names = list(DRIFT_FEATURES)
-    parsed = with_url_features(url_corpus(spark, sf), similarity=False, flags=False).filter("error IS NULL")
+    names = list(CONTINUOUS_FEATURES)
+    parsed = with_url_features(url_corpus(spark, sf), flags=False).filter("error IS NULL")
     stats = [
         F.struct(F.lit(c).alias("feature"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")) for c in names
     ]
@@ -516,11 +512,10 @@ def q_cross_validate(spark, sf):
 
 
 def q_perm_importance(spark, sf):
-    return rounded(
-        permutation_importance(
-            T_.feature_table(spark, sf), T_.forest(spark, sf).score, QUICK.permutation_repeats, QUICK.permutation_rows, key="url_id"
-        )
-    )
+    """Importance on the held-out part for a forest that was fitted on the other part."""
+    rows = stratified_split(T_.feature_table(spark, sf), KEY)
+    forest = fit_model(rows.filter("part = 'train'"), "rf", QUICK, KEY)
+    return rounded(permutation_importance(rows.filter("part = 'test'"), forest.score, QUICK.permutation_repeats, key="url_id"))
 
 
 def q_tree_contributions(spark, sf):
@@ -532,22 +527,19 @@ def q_tree_contributions(spark, sf):
 
 def q_mutated_urls(spark, sf):
     positives = url_corpus(spark, sf).filter("label = 1").select("url_id", "url")
-    return X.mutate_urls(positives, repeats=1).select("url_id", "mutator", "repeat", "url")
+    return X.mutate_urls(positives).select("url_id", "mutator", "repeat", "url")
 
 
 def q_adversarial_probe(spark, sf):
     trained = TrainedModel(T_.forest(spark, sf), 0.5, None, 0, None, "forest")
     positives = url_corpus(spark, sf).filter("label = 1")
-    return rounded(X.adversarial_probe(positives, lambda df: verdicts(df, trained), mutations=6))
-
-
-ONLINE_FEATURES = ("url_length", "dots", "has_ip", "suspicious_tld", "url_entropy")
+    return rounded(X.adversarial_probe(positives, lambda df: verdicts(df, trained)))
 
 
 def q_online_update(spark, sf):
-    parsed = with_url_features(T_.feedback(spark, sf), similarity=False, flags=False).filter("error IS NULL")
-    batch = parsed.select(F.col("true_label").alias("label"), *ONLINE_FEATURES)
-    state = online_update(empty_state(ONLINE_FEATURES), batch, rate=EPOCH_RATE)
+    parsed = with_url_features(T_.feedback(spark, sf), flags=False).filter("error IS NULL")
+    batch = parsed.select(F.col("true_label").alias("label"), *FEATURES)
+    state = online_update(empty_state(), batch, rate=EPOCH_RATE)
     return rounded(state_table(spark, state).select("feature", "n", "mean", "scale", "coef", "intercept"))
 
 

@@ -15,11 +15,9 @@ from linksift.plans.train import labelled_features, written
 from linksift.sources.corpus import url_corpus
 from linksift.sources.tables import table
 
-# Small settings, so that model queries stay quick on the test tables.
-QUICK = JobConfig(
-    n_estimators=12, max_depth=6, boosting_iters=8, bootstrap_iters=100, cv_folds=3, ngram_dim=64,
-    permutation_rows=500, permutation_repeats=3, adversarial_urls=100, model_type="rf",
-)
+# The published settings but for the sizes of the tree ensembles, which are 12 trees of
+# depth 6 (published: 300 of depth 16) and 8 boosting rounds (published: 400).
+QUICK = JobConfig(n_estimators=12, max_depth=6, boosting_iters=8, model_type="rf")
 KEY = ("url_id",)
 
 # Extra rules next to the default ones: a disabled one, a broken one, one per further kind.
@@ -30,6 +28,7 @@ EXTRA_RULES = (
     ("tk_zone", "tk", "low", 0.2, "tld", True),
     ("ends_html", ".HTML", "low", 0.2, "suffix", True),
     ("own_kind", "http", "low", 0.2, "no_such_kind", True),
+    ("told_only", "verify", "info", 0.7, "contains", True),
 )
 WATCH_ENTRIES = ("evil", "000webhostapp", "  ")
 
@@ -70,11 +69,16 @@ def scored_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select(F.col("url_id").alias("id"), "url", "label", linear_score().alias("score"))
 
 
+def timed(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Every row with the time of an event: number ``key`` modulo the number of events."""
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("_event"), "ts")
+    return df.withColumn("_event", F.pmod(F.col(key), F.lit(events.count()))).join(events, "_event").drop("_event")
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A prediction log: scored URLs with the time of the event of the same number."""
-    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts")
+    """A prediction log of all scored URLs, at the times of events."""
     score = F.col("score")
-    return scored_urls(spark, sf_dir).join(events, "id").select(
+    return timed(scored_urls(spark, sf_dir), spark, sf_dir, "id").select(
         F.col("id").cast("string").alias("id"),
         "ts",
         "url",
@@ -88,9 +92,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(url, true_label, source, ts): the corpus labels, at the times of events."""
-    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("url_id"), "ts")
-    return url_corpus(spark, sf_dir).join(events, "url_id").select(
+    """(url, true_label, source, ts): all corpus labels, at the times of events."""
+    return timed(url_corpus(spark, sf_dir), spark, sf_dir, "url_id").select(
         "url", F.col("label").alias("true_label"), F.lit("user").alias("source"), "ts"
     )
 

@@ -207,10 +207,10 @@ SCORED_DOCS = """scored_docs AS (
 PREDICTIONS = """predictions AS (
   SELECT CAST(s.id AS VARCHAR) AS id, e.ts, s.url, s.score AS prob, CASE WHEN s.score >= 0.5 THEN 1 ELSE 0 END AS prediction,
          CAST(round_even(s.score * 100, 0) AS INTEGER) AS risk, 'batch' AS source
-  FROM scored_urls s JOIN events e ON e.event_id = s.id
+  FROM scored_urls s JOIN events e ON e.event_id = s.id % (SELECT count(*) FROM events)
 )"""
 FEEDBACK = """feedback AS (
-  SELECT c.url_id, c.url, c.label AS true_label, 'user' AS source, e.ts FROM corpus c JOIN events e ON e.event_id = c.url_id
+  SELECT c.url_id, c.url, c.label AS true_label, 'user' AS source, e.ts FROM corpus c JOIN events e ON e.event_id = c.url_id % (SELECT count(*) FROM events)
 )"""
 
 # --------------------------------------------------------------- reasons ----
@@ -444,14 +444,13 @@ def _psi(ref: str, cur: str, columns) -> str:
 )"""
 
 
-_DRIFT_FEATURES = [f for f in CONTINUOUS_FEATURES if f in _SQL_FEATURES]
 _LINES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 # -------------------------------------------------------------- mutation ----
 
 _KEYED = f"""mutants AS (
-  SELECT url_id, url, m.mutator, 1 AS repeat, url || '|' || m.mutator || '|1|42' AS key
-  FROM corpus, (SELECT unnest(['homoglyph', 'tld', 'subdomain', 'path_noise', 'percent', 'case']) AS mutator) m WHERE label = 1
+  SELECT url_id, url, m.mutator, r.repeat, url || '|' || m.mutator || '|' || r.repeat || '|42' AS key
+  FROM corpus, (SELECT unnest(['homoglyph', 'tld', 'subdomain', 'path_noise', 'percent', 'case']) AS mutator) m, (SELECT unnest([1, 2, 3, 4]) AS repeat) r WHERE label = 1
 )"""
 
 
@@ -481,9 +480,9 @@ FROM mutants"""
 
 # ---------------------------------------------------------------- online ----
 
-_ON = ("url_length", "dots", "has_ip", "suspicious_tld", "url_entropy")
+_ON = FEATURES
 _ONLINE = f"""fed AS (
-  SELECT f.*, b.true_label FROM feedback b JOIN feats f ON f.url_id = b.url_id WHERE f.error IS NULL
+  SELECT f.*, s.brand_distance, s.jaro_winkler_brand, b.true_label FROM feedback b JOIN feats f ON f.url_id = b.url_id JOIN likeness s ON s.url_id = b.url_id
 ), moments AS (
   SELECT count(*) AS n, {', '.join(f'avg({f}) AS m_{f}, CASE WHEN var_pop({f}) > 0 THEN sqrt(var_pop({f})) ELSE 1.0 END AS s_{f}' for f in _ON)} FROM fed
 ), pulls AS (
@@ -540,12 +539,12 @@ FROM (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1))
     "parse_errors": _P + "SELECT error, CAST(count(*) AS BIGINT) AS n FROM parts GROUP BY error",
     "url_parts": _P
     + "SELECT url_id, CASE WHEN error IS NULL THEN scheme END AS scheme, CASE WHEN error IS NULL THEN host END AS host, CASE WHEN error IS NULL THEN port END AS port, CASE WHEN error IS NULL THEN path END AS path, CASE WHEN error IS NULL THEN query END AS query FROM parts",
-    "url_features": _F
-    + f"SELECT url_id, {', '.join(f'round({f}, 6) AS {f}' if f in DOUBLE_FEATURES else f for f in PLAIN_FEATURES)} FROM feats",
-    "brand_distance": with_(CORPUS, PARTS, SIMILAR) + "SELECT url_id, brand_distance AS value FROM likeness",
-    "brand_jaro_winkler": with_(CORPUS, PARTS, SIMILAR) + "SELECT url_id, round(jaro_winkler_brand, 6) AS value FROM likeness",
+    "url_features": with_(CORPUS, PARTS, FEATS, SIMILAR)
+    + f"SELECT url_id, {', '.join(f'round({f}, 6) AS {f}' if f in DOUBLE_FEATURES else f for f in FEATURES)} FROM feats LEFT JOIN likeness USING (url_id)",
+    "brand_distance": with_(CORPUS, PARTS, SIMILAR) + "SELECT url_id, brand_distance AS value FROM parts LEFT JOIN likeness USING (url_id)",
+    "brand_jaro_winkler": with_(CORPUS, PARTS, SIMILAR) + "SELECT url_id, round(jaro_winkler_brand, 6) AS value FROM parts LEFT JOIN likeness USING (url_id)",
     "url_flags": _F
-    + "SELECT url_id, array_to_string(brands, ',') AS brands, array_to_string(words, ',') AS words, CAST(shortener AS INTEGER) AS shortener, CASE WHEN scheme <> '' THEN scheme WHEN implicit THEN 'http' ELSE '(none)' END AS scheme, tld, CAST(implicit AS INTEGER) AS implicit_scheme FROM feats WHERE error IS NULL",
+    + "SELECT url_id, CASE WHEN error IS NULL THEN array_to_string(brands, ',') END AS brands, CASE WHEN error IS NULL THEN array_to_string(words, ',') END AS words, CASE WHEN error IS NULL THEN CAST(shortener AS INTEGER) END AS shortener, CASE WHEN error IS NOT NULL THEN NULL WHEN scheme <> '' THEN scheme WHEN implicit THEN 'http' ELSE '(none)' END AS scheme, tld, CAST(implicit AS INTEGER) AS implicit_scheme FROM feats",
     "url_tokens": _URL_TOKENS,
     "char_entropy": f"""SELECT 'page' AS kind, page_id AS id, round({_entropy('url')}, 6) AS entropy FROM pages
 UNION ALL SELECT 'doc', doc_id, round({_entropy('text')}, 6) FROM documents""",
@@ -557,23 +556,23 @@ FROM (VALUES {_RULE_VALUES}) AS r(name, pattern, severity, weight, kind, enabled
     "heuristic_reasons": _R
     + f"SELECT url_id, CAST(len(heuristic) AS INTEGER) AS n_reasons, round({_sum('heuristic')}, 6) AS reason_sum, heuristic[1].text AS top_reason, array_to_string(list_transform(heuristic, lambda r: r.severity), ',') AS severities FROM reasoned",
     "reason_sums": _R
-    + f"SELECT url_id, CAST(len(reasons) AS INTEGER) AS n_reasons, round({_sum('reasons')}, 6) AS reason_sum, round({_sum('rule_reasons')}, 6) AS rule_sum, reasons[1].text AS top_reason FROM reasoned",
-    "risk_score": _R + f"SELECT url_id, {risk('0.5')} AS risk FROM reasoned WHERE error IS NULL",
+    + f"SELECT url_id, CAST(len(reasons) AS INTEGER) AS n_reasons, round({_sum('reasons')}, 6) AS reason_sum, round(coalesce(list_sum(list_transform(rule_reasons, lambda r: r.weight)), 0.0), 6) AS rule_sum, reasons[1].text AS top_reason FROM reasoned",
+    "risk_score": _R + f"SELECT url_id, CASE WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk FROM reasoned",
     "top_risk": _R
     + f"SELECT url_id, url, risk, n_reasons, top_reason FROM (SELECT url_id, url, CASE WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk, CAST(len(reasons) AS INTEGER) AS n_reasons, reasons[1].text AS top_reason FROM reasoned) ORDER BY risk DESC, url_id LIMIT 20",
     "watchlist_override": _R
-    + f"SELECT url_id, CASE WHEN {_WATCH} THEN 100 ELSE {risk('0.5')} END AS risk, CASE WHEN {_WATCH} THEN 1 ELSE 0 END AS verdict, 0 AS abstain FROM reasoned WHERE error IS NULL",
+    + f"SELECT url_id, CASE WHEN {_WATCH} THEN 100 WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk, CASE WHEN {_WATCH} THEN 1 ELSE 0 END AS verdict, 0 AS abstain FROM reasoned",
     "scan_linear": _S
     + """SELECT url_id, probability, verdict, risk, CASE WHEN c0 AND c1 AND error IS NULL THEN 'ABSTAIN' WHEN verdict = 1 THEN 'PHISHING' ELSE 'CLEAN' END AS label_shown,
 CASE WHEN c0 AND c1 THEN 'both' WHEN c1 THEN 'phish' WHEN c0 THEN 'clean' ELSE '∅' END AS conformal_shown, CAST(len(reasons) AS INTEGER) AS n_reasons, error FROM scanned""",
     "scan_json": _S
     + "SELECT url_id, url, probability, CAST(verdict AS BIGINT) AS verdict, CAST(risk AS BIGINT) AS risk, CAST(len(reasons) AS INTEGER) AS n_reasons, CAST(url_length AS BIGINT) AS url_length, CASE WHEN error IS NULL THEN host END AS host FROM scanned",
     "distinct_score": _U + "SELECT url, CAST(3 * count(*) AS BIGINT) AS n, max(score) AS score FROM scored_urls GROUP BY url",
-    "unseen_urls": _L + "SELECT DISTINCT url FROM corpus WHERE url NOT IN (SELECT url FROM predictions)",
+    "unseen_urls": _L + "SELECT DISTINCT url FROM corpus WHERE url NOT IN (SELECT url FROM predictions WHERE prediction = 1)",
     "export_csv": _S
     + """SELECT url, CASE WHEN verdict = 1 THEN 'phishing' ELSE 'clean' END AS verdict, printf('%.4f', probability) AS probability, risk,
-CAST(c0 AND c1 AS INTEGER) AS abstain, CAST(c0 AS INTEGER) AS conformal_0, CAST(c1 AS INTEGER) AS conformal_1,
-array_to_string(list_transform(reasons, lambda r: '[' || r.severity || '] ' || r.text), ' | ') AS reasons FROM scanned WHERE error IS NULL""",
+CAST(c0 AND c1 AND error IS NULL AS INTEGER) AS abstain, CAST(c0 AS INTEGER) AS conformal_0, CAST(c1 AS INTEGER) AS conformal_1,
+array_to_string(list_transform(reasons, lambda r: '[' || r.severity || '] ' || r.text), ' | ') AS reasons FROM scanned""",
     "stix_indicators": _S
     + f"""SELECT 'Phishing URL: ' || url AS name, '[url:value = ''' || replace(replace(url, '\\', '\\\\'), '''', '\\''') || ''']' AS pattern, 'malicious-activity' AS labels,
 CAST(trunc(probability * 100) AS INTEGER) AS confidence, array_to_string({_TEXTS}, '; ') AS description FROM scanned WHERE verdict = 1""",
@@ -585,7 +584,7 @@ CAST(trunc(probability * 100) AS INTEGER) AS confidence, array_to_string({_TEXTS
     "recent_urls": _L + "SELECT url, max(ts) AS ts FROM predictions GROUP BY url ORDER BY ts DESC, url LIMIT 30",
     "hourly_verdicts": _L + "SELECT date_trunc('hour', ts) AS hour, prediction, CAST(count(*) AS BIGINT) AS n FROM predictions GROUP BY ALL",
     "live_counters": _L
-    + "SELECT CAST(count(*) AS BIGINT) AS predictions, CAST(count(*) FILTER (prediction = 1) AS BIGINT) AS positives, CAST(least(count(*) FILTER (prob BETWEEN 0.35 AND 0.65), 500) AS BIGINT) AS queue_length, CAST(0 AS BIGINT) AS online_samples, CAST(0.5 AS DOUBLE) AS threshold, 'fixed' AS model_hash FROM predictions",
+    + "SELECT CAST(count(*) AS BIGINT) AS predictions, CAST(count(*) FILTER (prediction = 1) AS BIGINT) AS positives, CAST(count(*) FILTER (prob BETWEEN 0.35 AND 0.65) AS BIGINT) AS queue_length, CAST(0 AS BIGINT) AS online_samples, CAST(0.5 AS DOUBLE) AS threshold, 'fixed' AS model_hash FROM predictions",
     "registry_latest": "SELECT event_type AS version, 'models/' || event_id AS path, ts FROM events ORDER BY ts DESC, event_type DESC LIMIT 1",
     "registry_list": "SELECT event_type AS version, max(ts) AS ts FROM events GROUP BY event_type",
     "feedback_join": with_(CORPUS, PARTS, FEATS, FEEDBACK) + "SELECT b.url, b.true_label, f.url_length, f.dots, f.has_ip FROM feedback b JOIN feats f USING (url_id)",
@@ -621,19 +620,19 @@ FROM scored_docs, (SELECT quantile_cont(score, [{', '.join(repr(i / 12) for i in
     + "SELECT id, round(1 - abs(score - 0.5) * 2, 6) AS uncertainty, score FROM scored_docs WHERE score BETWEEN 0.35 AND 0.65 ORDER BY 1.0 - abs(score - CAST(0.5 AS DOUBLE)) * 2.0 DESC, id LIMIT 20",
     "psi_drift": "WITH " + _psi("(SELECT * FROM lineitem WHERE l_returnflag = 'N')", "(SELECT * FROM lineitem WHERE l_returnflag <> 'N')", _LINES)
     + " SELECT feature, round(psi, 6) AS psi FROM psi",
-    "drift_report": _F.rstrip() + ",\n"
-    + _psi("(SELECT * FROM feats WHERE error IS NULL AND variant = 0)", "(SELECT * FROM feats WHERE error IS NULL)", _DRIFT_FEATURES)
+    "drift_report": with_(CORPUS, PARTS, FEATS, SIMILAR).rstrip() + ",\n"
+    + _psi("(SELECT * FROM feats JOIN likeness USING (url_id) WHERE variant = 0)", "(SELECT * FROM feats JOIN likeness USING (url_id))", CONTINUOUS_FEATURES)
     + """, both_ AS (SELECT feature, psi FROM psi UNION ALL SELECT '_max_psi', max(psi) FROM psi)
 SELECT feature, round(psi, 6) AS psi, CASE WHEN psi >= 0.25 THEN 'ALERT' WHEN psi >= 0.1 THEN 'warn' ELSE 'ok' END AS status FROM both_""",
     "ngram_counts": """WITH words AS (SELECT ' ' || unnest(list_filter(regexp_split_to_array(lower(url), '\\s+'), lambda x: x <> '')) || ' ' AS w FROM pages)
 SELECT gram, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT unnest(flatten(list_transform([2, 3, 4], lambda n: list_transform(range(1, length(w) - n + 2), lambda i: substr(w, i, n))))) AS gram FROM words) GROUP BY gram""",
-    "scaled_features": _F
+    "scaled_features": with_(CORPUS, PARTS, FEATS, SIMILAR)
     + "\nUNION ALL\n".join(
-        f"SELECT '{f}' AS feature, round(avg({f}), 6) AS mean, round(stddev_pop({f}), 6) AS std FROM feats WHERE error IS NULL" for f in _DRIFT_FEATURES
+        f"SELECT '{f}' AS feature, round(avg({f}), 6) AS mean, round(stddev_pop({f}), 6) AS std FROM feats JOIN likeness USING (url_id)" for f in CONTINUOUS_FEATURES
     ),
     "mutated_urls": with_(CORPUS, _KEYED) + _MUTATED,
-    "online_update": with_(CORPUS, PARTS, FEATS, FEEDBACK, _ONLINE) + _ONLINE_ROWS,
+    "online_update": with_(CORPUS, PARTS, FEATS, SIMILAR, FEEDBACK, _ONLINE) + _ONLINE_ROWS,
     "watch_scan": _S
     + f"""SELECT DISTINCT u_trim AS url, probability, CASE WHEN {_WATCH} THEN 1 ELSE verdict END AS verdict, CASE WHEN {_WATCH} THEN 100 ELSE risk END AS risk,
 CAST(len(reasons) + CASE WHEN {_WATCH} THEN 1 ELSE 0 END AS INTEGER) AS n_reasons FROM scanned WHERE error IS NULL""",

@@ -31,7 +31,7 @@ from linksift.operators.mutate import adversarial_probe
 from linksift.operators.online import OnlineState, empty_state, state_from_table, state_table, with_online_prob
 from linksift.operators.parse import with_url_features
 from linksift.operators.scoring import Scorer, fit_risk
-from linksift.operators.splits import half_split, hash_order, stratified_split
+from linksift.operators.splits import half_split, stratified_split
 from linksift.session import shared_folder
 
 
@@ -114,7 +114,7 @@ def labelled_features(df: DataFrame, rules: DataFrame | None = None) -> DataFram
         *carried,
         *FEATURES,
         R.reason_sum(F.concat("heuristic_reasons", "rule_reasons")).alias("reason_sum"),
-        R.reason_sum(F.col("rule_reasons")).alias("rule_sum"),
+        R.weight_sum(F.col("rule_reasons")).alias("rule_sum"),
     )
 
 
@@ -137,7 +137,10 @@ def train(
     part; the reported metrics use the other half.
     """
     spark = labelled.sparkSession
-    rows = written(half_split(stratified_split(labelled_features(labelled, rules), key, cfg.test_size, cfg.random_state), key, cfg.random_state + 1), "train-rows")
+    # features are worked out once; the splits then read them
+    split = written(stratified_split(written(labelled_features(labelled, rules), "labelled"), key, cfg.test_size, cfg.random_state), "train-parts")
+    halves = half_split(split.filter("part = 'test'"), key, cfg.random_state + 1)
+    rows = written(halves.unionByName(split.filter("part = 'train'"), allowMissingColumns=True), "train-rows")
     fit_rows, test_rows = rows.filter("part = 'train'"), rows.filter("part = 'test'")
 
     def fit(df: DataFrame):
@@ -179,7 +182,7 @@ def train(
         "pr_points": pr_curve(held),
         "calibration_curve": calibration_curve(held),
         "permutation_importance": M.permutation_importance(
-            test_rows, model.score, cfg.permutation_repeats, cfg.permutation_rows, cfg.random_state, key[0]
+            test_rows, model.score, cfg.permutation_repeats, cfg.random_state, key[0]
         ),
         "conformal": coverage.withColumns(
             {"alpha": F.lit(cfg.conformal_alpha), "q": F.lit(fitted["q"]), "n_calib": F.lit(fitted["n"])}
@@ -189,10 +192,8 @@ def train(
     if cv is not None:
         tables["cross_validation"] = cv
     if cfg.adversarial_probe:
-        # a probe of a fixed number of positive URLs, in hash order
-        positives = labelled.filter("label = 1").select("url").orderBy(hash_order(["url"], cfg.random_state), "url")
         tables["adversarial"] = adversarial_probe(
-            positives.limit(cfg.adversarial_urls),
+            labelled.filter("label = 1").select("url"),
             lambda df: verdicts(df, trained),
             cfg.adversarial_mutations,
             cfg.random_state,

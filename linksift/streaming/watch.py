@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,13 +70,26 @@ def watch_alerts(
 
 
 def learn_batch(
-    spark: SparkSession, batch: DataFrame, batch_id: int, state: OnlineState, log_dir: str | None = None
+    spark: SparkSession,
+    batch: DataFrame,
+    batch_id: int,
+    state: OnlineState,
+    log_dir: str | None = None,
+    rate: float | None = None,
+    class_weight: tuple[float, float] = (1.0, 1.0),
 ) -> OnlineState:
-    """Fold one batch of feedback (url, true_label, source) into the state; unreadable URLs are left out."""
-    usable = with_url_features(batch, "url", flags=False).filter(F.col("error").isNull())
-    moved = online_update(state, usable.withColumn("label", F.col("true_label")), batch_id=batch_id)
-    if log_dir is not None and moved is not state:
-        append_feedback(usable, f"{log_dir}/batch={batch_id}")
+    """Fold one batch of feedback (url, true_label, source) into the state; unreadable URLs are left out.
+
+    The batch is parsed once. Its log folder is its own and is overwritten when the
+    batch is run again, so each event is logged once.
+    """
+    usable = with_url_features(batch, "url", flags=False).filter(F.col("error").isNull()).persist()
+    try:
+        moved = online_update(state, usable.withColumn("label", F.col("true_label")), rate, class_weight, batch_id)
+        if log_dir is not None and moved is not state:
+            append_feedback(usable, f"{log_dir}/batch={batch_id}", mode="overwrite")
+    finally:
+        usable.unpersist()
     return moved
 
 
@@ -88,19 +102,24 @@ def learn(
     log_dir: str | None = None,
     on_state: Callable[[OnlineState], None] | None = None,
     trigger: dict | None = None,
+    rate: float | None = None,
+    class_weight: tuple[float, float] = (1.0, 1.0),
 ) -> StreamingQuery:
     """Keep an online model up to date from a feedback stream.
 
     The state after batch b is written to ``state_dir/after=b``; a batch that is
-    run again starts from the state before it, so it counts once.
+    run again starts from the state before it, so it counts once. Batch numbers
+    belong to the checkpoint: under a new one they start at 0 again, so the mark of
+    the last batch that ``initial`` carries from an older stream does not hold here.
     """
+    initial = replace(initial, last_batch=-1)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         before = initial
         if batch_id > 0:
             before = state_from_table(session.read.parquet(f"{state_dir}/after={batch_id - 1}"), initial.features)
-        after = learn_batch(session, batch, batch_id, before, log_dir)
+        after = learn_batch(session, batch, batch_id, before, log_dir, rate, class_weight)
         state_table(session, after).write.mode("overwrite").parquet(f"{state_dir}/after={batch_id}")
         if on_state is not None:
             on_state(after)

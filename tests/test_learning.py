@@ -36,8 +36,8 @@ def test_contributions_explain_the_forest(spark, sf):
 
 def test_training_run_and_round_trip(spark, sf, tmp_path):
     cfg = JobConfig(
-        n_estimators=5, max_depth=4, boosting_iters=3, bootstrap_iters=20, cv_folds=2, ngram_dim=16, permutation_rows=100,
-        permutation_repeats=1, adversarial_urls=10, adversarial_mutations=6, model_type="rf",
+        n_estimators=5, max_depth=4, boosting_iters=3, bootstrap_iters=20, cv_folds=2, ngram_dim=16,
+        permutation_repeats=1, adversarial_mutations=6, model_type="rf",
     )
     trained, tables = train(url_corpus(spark, sf), cfg, ("url_id",))
     assert tables["metrics"].first().roc_auc > 0.85
