@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def settled(c: Column) -> Column:
-    """The same value, as the end of a stage.
+def staged(df: DataFrame, keep: list[str] | tuple[str, ...] = ("*",), **columns: Column) -> DataFrame:
+    """The kept columns and the given ones, which end a stage.
 
-    The test of the partition number is always true and costs nothing. Being no
-    function of the row, it keeps the optimizer from pushing a later filter below
-    the projection that holds this column. A filter on a score or a host would
-    otherwise be rewritten over the raw text: all expressions on the way would be
-    copied into it, several times where one refers to another more than once, and
-    worked out twice. Filters on given columns belong before the stage.
+    The new columns come out of a generator of one element. A later filter on one of
+    them stays above it: the optimizer would otherwise rewrite the filter over the raw
+    text and copy all expressions on the way into it, several times where one refers
+    to another more than once. Filters on columns that are only carried pass below, down
+    to the scan and its partitions.
     """
-    return F.when(F.spark_partition_id() >= 0, c)
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import functools
 import operator
-import unicodedata
 from collections.abc import Iterable
+from encodings.idna import ToUnicode
+from unicodedata import normalize
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,57 +41,43 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
-def _clean(text: str) -> str:
-    text = unicodedata.normalize("NFC", unicodedata.normalize("NFKC", text))
-    return "".join(ch for ch in text if ch in "\t\n\r" or unicodedata.category(ch)[0] != "C")
-
-
 @F.arrow_udf(T.StringType())
-def _normalise_arrow(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else _clean(t) for t in texts.to_pylist()], pa.string())
-
-
-# Marked nondeterministic although it is not: otherwise the optimizer copies every
-# splitting expression built on the result into the stages above, and the copies
-# multiply.
-_normalise_once = _normalise_arrow.asNondeterministic()
+def _compatible(texts: pa.Array) -> pa.Array:
+    """The composed compatibility form (Arrow's own function does not compose)."""
+    distinct = texts.dictionary_encode()
+    forms = pa.array([t if t is None else normalize("NFKC", t) for t in distinct.dictionary.to_pylist()], pa.string())
+    return forms.take(distinct.indices)
 
 
 def normalise(c: Column) -> Column:
     """NFKC, NFC, then drop control, format, private and unassigned characters.
 
-    ASCII rows stay in the JVM: only the control characters can change. Spark has
-    no Unicode normaliser, so the other rows cross to Arrow; ASCII rows are sent
-    as NULL, which costs one validity bit each.
+    Spark has no Unicode normaliser, so rows that are not ASCII cross to Arrow; ASCII
+    rows are sent as NULL, which costs one validity bit each. The characters are
+    dropped in the JVM.
     """
     ascii_only = is_ascii(c)
-    return F.when(ascii_only, F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")).otherwise(
-        _normalise_once(F.when(~ascii_only, c))
-    )
+    text = F.when(ascii_only, c).otherwise(_compatible(F.when(~ascii_only, c)))
+    return F.regexp_replace(text, r"[\p{C}&&[^\t\n\r]]", "")
+
+
+def _readable(label: str) -> str:
+    """One host label; a coded one that is no valid code stays as it is."""
+    try:
+        return ToUnicode(label) if label.startswith("xn--") else label
+    except UnicodeError:
+        return label
 
 
 @F.arrow_udf(T.StringType())
 def _idna_arrow(hosts: pa.Array) -> pa.Array:
-    seen: dict[str, str] = {}
-
-    def decode(host: str) -> str:
-        try:
-            return host.encode("ascii").decode("idna")
-        except UnicodeError:
-            pass
-        try:
-            return ".".join(
-                p.encode("ascii").decode("idna") if p.startswith("xn--") else p for p in host.split(".")
-            )
-        except UnicodeError:
-            return host
-
-    def lookup(host: str | None) -> str | None:
-        if host is not None and host not in seen:
-            seen[host] = decode(host)
-        return None if host is None else seen[host]
-
-    return pa.array([lookup(h) for h in hosts.to_pylist()], pa.string())
+    labels = pc.split_pattern(hosts.cast(pa.string()), ".")
+    coded = labels.flatten().dictionary_encode()
+    plain = pa.array([_readable(label) for label in coded.dictionary.to_pylist()], pa.string())
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(labels), 0))
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, plain.take(coded.indices)), ".")
+    return pc.if_else(hosts.is_null(), pa.scalar(None, pa.string()), joined)
 
 
 def punycode_decoded(host: Column) -> Column:

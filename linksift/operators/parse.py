@@ -29,7 +29,7 @@ from linksift.constants import (
 )
 from linksift.functions import urlparts as parts
 from linksift.functions.similarity import brand_distance, brand_likeness
-from linksift.functions.stages import settled
+from linksift.functions.stages import staged
 from linksift.functions.text import (
     DIGIT_CLASS,
     contained,
@@ -59,7 +59,8 @@ def with_url_parts(df: DataFrame, url_col: str = "url", reject_nul: bool = False
     keep = [c for c in df.columns if c not in (*PART_COLUMNS, "error")]
     raw = F.col(url_col)
     trimmed = df.select(*keep, strip(F.coalesce(raw, F.lit(""))).alias("u_trim"))
-    cleaned = trimmed.select(*keep, "u_trim", normalise(F.col("u_trim")).alias("_text"))
+    normal = trimmed.select(*keep, "u_trim", normalise(F.col("u_trim")).alias("_normal"))
+    cleaned = staged(normal, [*keep, "u_trim"], _text=F.col("_normal"))
 
     text = F.col("_text")
     refuse = F.when(F.col("u_trim") == "", "empty url").when(
@@ -87,7 +88,7 @@ def with_url_parts(df: DataFrame, url_col: str = "url", reject_nul: bool = False
     schemed = fronts.select("*", parts.scheme_of(F.col("_front")).alias("_scheme"))
     rested = schemed.select("*", parts.after_scheme(F.col("_front"), F.col("_scheme")).alias("_rest"))
     located = rested.select("*", parts.netloc_of(F.col("_rest")).alias("_netloc"))
-    judged = located.select("*", settled(parts.host_error(F.col("_netloc"))).alias("_bad_host"))
+    judged = staged(located, _bad_host=parts.host_error(F.col("_netloc")))
 
     ok = F.col("_bad_host").isNull()
     split = judged.select(
@@ -240,13 +241,11 @@ def with_url_features(
     if similarity:
         columns["brand_distance"] = brand_distance(labels)
         columns["jaro_winkler_brand"] = brand_likeness(F.col("u_host"))
-    valid = settled(F.col("error").isNull())
-    chosen = [
-        F.when(valid, columns[f].cast("double" if f in DOUBLE_FEATURES else "int")).alias(f) for f in names
-    ]
+    valid = F.col("error").isNull()
+    chosen = {f: F.when(valid, columns[f].cast("double" if f in DOUBLE_FEATURES else "int")) for f in names}
     if flags:
-        chosen.append(F.when(valid, flags_column()).alias("flags"))
-    return helpers.select(*own, "error", *(PART_COLUMNS if keep_parts else ()), *chosen)
+        chosen["flags"] = F.when(valid, flags_column())
+    return staged(helpers, [*own, "error", *(PART_COLUMNS if keep_parts else ())], **chosen)
 
 
 def require_features(df: DataFrame) -> DataFrame:

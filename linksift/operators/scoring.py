@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linksift.constants import ALERT_RISK, FEATURES
-from linksift.functions.stages import settled
+from linksift.functions.stages import staged
 from linksift.operators import reasons as R
 from linksift.operators.parse import PART_COLUMNS, with_tokens, with_url_features
 
@@ -134,11 +134,10 @@ def scan(
         "rule_reasons", F.array().cast(f"array<{R.REASON_TYPE}>")
     )
     drop = [c for c in PART_COLUMNS]
-    out = out.withColumn("reasons", F.concat("heuristic_reasons", "rule_reasons")).withColumns(
-        {
-            "reason_sum": settled(R.reason_sum(F.col("reasons"))),
-            "rule_sum": R.weight_sum(F.col("rule_reasons")),
-        }
+    out = staged(
+        out.withColumn("reasons", F.concat("heuristic_reasons", "rule_reasons")),
+        reason_sum=R.reason_sum(F.col("reasons")),
+        rule_sum=R.weight_sum(F.col("rule_reasons")),
     ).drop(*drop, "heuristic_reasons", "rule_reasons")
 
     out = scorer.score(out) if scorer.score is not None else out.withColumn("probability", F.lit(0.5))

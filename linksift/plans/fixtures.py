@@ -30,7 +30,7 @@ EXTRA_RULES = (
     ("own_kind", "http", "low", 0.2, "no_such_kind", True),
     ("told_only", "verify", "info", 0.7, "contains", True),
 )
-WATCH_ENTRIES = ("evil", "000webhostapp", "  ")
+WATCH_ENTRIES = ("evil", "weebly", "  ")
 
 _made: dict[tuple, object] = {}
 

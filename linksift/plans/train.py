@@ -11,7 +11,7 @@ from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linksift.config import JobConfig
+from linksift.config import JobConfig, fingerprint
 from linksift.constants import CONTINUOUS_FEATURES, FEATURES, SCHEMA_VERSION
 from linksift.operators import models as M
 from linksift.operators import reasons as R
@@ -161,7 +161,7 @@ def train(
     metrics = binary_metrics(held, threshold)
     coverage = conformal_coverage(held, fitted["q"])
     auc = metrics.first()["roc_auc"]
-    model_hash = hashlib.sha256((cfg.digest() + str(auc)).encode()).hexdigest()[:12]
+    model_hash = hashlib.sha256((fingerprint(cfg) + str(auc)).encode()).hexdigest()[:12]
     trained = TrainedModel(
         model, threshold, fitted["q"], fitted["n"], risk_model, model_hash,
         drift_reference=fit_rows.select(*CONTINUOUS_FEATURES),
@@ -171,7 +171,7 @@ def train(
     thresholds = spark.createDataFrame([*chosen.items(), ("chosen", threshold)], "criterion string, threshold double")
     tables = {
         "config": spark.createDataFrame(
-            [(json.dumps(asdict(cfg)), cfg.digest(), model_hash)], "config string, config_hash string, model_hash string"
+            [(json.dumps(asdict(cfg)), fingerprint(cfg), model_hash)], "config string, config_hash string, model_hash string"
         ).withColumn("timestamp", F.current_timestamp()),
         "dataset": dataset_counts(rows, ["part", "half"]),
         "thresholds": thresholds,

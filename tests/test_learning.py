@@ -1,11 +1,12 @@
 """Models, explanations, mutations, online learning and streams."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from linksift.config import JobConfig
+from linksift.config import JobConfig, fingerprint, read_settings, settings_row
 from linksift.operators.evaluate import roc_auc
 from linksift.operators.explain import tree_contributions
 from linksift.operators.models import vector_names
@@ -17,7 +18,7 @@ from linksift.plans.catalog import QUERIES, linear_scorer
 from linksift.plans.train import TrainedModel, load_model, train
 from linksift.operators.scoring import scan
 from linksift.sources.corpus import url_corpus
-from linksift.streaming.watch import learn, watch, watch_alerts
+from linksift.streaming.watch import learn, learn_batch, watch, watch_alerts
 
 
 def test_forest_separates_the_corpus(spark, sf):
@@ -107,9 +108,33 @@ def test_feedback_stream_counts_each_batch_once(spark, tmp_path):
     assert states[-1].n == 2 and spark.read.parquet(str(tmp_path / "log")).count() == 2
 
 
-def test_config_drops_unknown_keys():
-    cfg = JobConfig.from_json('{"cv_folds": 3, "no_such": 1}')
-    assert cfg.cv_folds == 3 and len(cfg.digest()) == 16 and cfg == JobConfig.from_json(cfg.to_json())
+def test_settings(spark):
+    cfg = read_settings(spark, '{"cv_folds": 3, "no_such": 1, "decision_threshold": 0.4, "use_calibration": false, "model_type": "rf"}')
+    assert cfg == JobConfig(cv_folds=3, decision_threshold=0.4, use_calibration=False, model_type="rf")
+    assert read_settings(spark, settings_row(spark, cfg).toJSON().first()) == cfg
+    assert read_settings(spark, "{}") == read_settings(spark, "no object") == JobConfig()
+    assert len(fingerprint(cfg)) == 16 and fingerprint(cfg) != fingerprint(JobConfig()) == fingerprint(JobConfig())
+
+
+def test_a_batch_that_runs_again_is_logged_once(spark, tmp_path):
+    batch = spark.createDataFrame([("http://a.tk/x", 1, "user")], "url string, true_label int, source string")
+    first = learn_batch(spark, batch, 4, empty_state(), str(tmp_path / "log"))
+    again = learn_batch(spark, batch, 4, empty_state(), str(tmp_path / "log"))
+    assert first == again and spark.read.parquet(str(tmp_path / "log")).count() == 1
+
+
+def test_feedback_counts_under_a_new_checkpoint(spark, tmp_path):
+    spark.createDataFrame([("http://a.tk/x", 1, "user")], "url string, true_label int, source string").write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("url string, true_label int, source string").json(str(tmp_path / "in"))
+    states = []
+    old = replace(empty_state(), last_batch=57)
+    learn(
+        spark, stream, str(tmp_path / "state"), old, str(tmp_path / "mark"), str(tmp_path / "log"), states.append, {"availableNow": True},
+        rate=0.25, class_weight=(1.0, 3.0),
+    ).awaitTermination()
+    assert states[-1].n == 1 and states[-1].last_batch == 0
+    assert states[-1].intercept == pytest.approx(0.25 * 0.5 * 3)
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 1
 
 
 @pytest.mark.parametrize("name", ["scan_batch", "calibrate", "perm_importance", "adversarial_probe", "model_roundtrip"])

@@ -172,3 +172,21 @@ def test_plan_has_no_shuffle(spark, sf):
 
     plan = scan(table(spark, sf, "pages").select("url"), rules=default_rules(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan and "html" not in plan
+
+
+def test_filters_on_carried_columns_reach_the_scan(spark, sf, tmp_path):
+    from linksift.operators.reasons import default_rules
+    from linksift.operators.scoring import scan
+    from linksift.sources.tables import table
+
+    pages = table(spark, sf, "pages").selectExpr("url", "concat('d', page_id % 3) AS day", "page_id")
+    pages.write.partitionBy("day").parquet(str(tmp_path / "pages"))
+    days = spark.read.parquet(str(tmp_path / "pages"))
+    for out in (with_url_features(days), scan(days, rules=default_rules(spark))):
+        one = out.filter("day = 'd1' AND page_id > 5")
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThan(page_id,5)" in plan
+        # a filter on a result does not copy the work below it
+        high = out.filter("url_length > 3 AND has_at = 0")._jdf.queryExecution().executedPlan().toString()
+        assert high.count("regexp_replace") <= out._jdf.queryExecution().executedPlan().toString().count("regexp_replace")
+        assert one.count() == out.filter("day = 'd1'").filter("page_id > 5").count() > 0
