@@ -32,6 +32,8 @@ from linksift.llm.common import text_or_empty, written
 BLOCK_IDS = 1 << 16
 #: Stands for a piece that begins or ends with white space; it has no ids of its own.
 ODD = b"odd"
+#: Marks that a byte-level pre-tokenizer keeps together behind a word.
+MARKS = ".,;:!?*$%&#@+=~^|/\\\")]}_-"
 BLOCK_SCHEMA = "part int, first long, bits int, n_ids long, doc_ids array<long>, doc_lens array<long>, payload binary"
 READ_SCHEMA = "part int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
@@ -74,14 +76,16 @@ class WordCache:
     SAFE = re.compile(r"(?<=\S) (?=\S)")
 
     def __init__(self, path: str, limit: int = 700_000):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.vocabulary = self.tok.get_vocab_size(with_added_tokens=True)
         self.limit = limit
         self.known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        # other pre-tokenizers may end words elsewhere: their texts go to the library whole
+        self.by_word = isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tok.normalizer is None
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
-        self.special = sorted(special)
         # a byte-level token has one character for each byte; added tokens stand for themselves
         self.width = np.zeros(self.vocabulary, np.int64)
         for word, i in self.tok.get_vocab(with_added_tokens=True).items():
@@ -91,11 +95,32 @@ class WordCache:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        """Ids of " " + word for words without white space at their ends."""
+        """Ids of " " + word for words without white space at their ends.
+
+        Letters and the marks behind them are encoded apart, as the pre-tokenizer does
+        it: there are far fewer of either than of both together.
+        """
+        split, new = [], set()
+        for w in words:
+            core = w.rstrip(MARKS)
+            if len(core) < len(w) and core.isalpha():
+                split.append((w, core, w[len(core) :]))
+                if core not in self.known:
+                    new.add(core)
+            else:
+                new.add(w)
+        self.ask(list(new))
+        for w, core, marks in split:
+            if marks not in self.marks:
+                self.marks[marks] = self.library(marks)
+            self.known[w] = self.known[core] + self.marks[marks]
+
+    def ask(self, words: list[str]) -> None:
+        """The library's ids of many words, by one text."""
         for at in range(0, len(words), 20_000):
             some = words[at : at + 20_000]
             text = " " + " ".join(some)
-            ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in some), np.int64, len(some)))
             reached = np.cumsum(self.width[ids])
             cuts = np.searchsorted(reached, ends) + 1
@@ -108,6 +133,8 @@ class WordCache:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit integers."""
+        if not self.by_word:
+            return [self.library(t) for t in texts]
         cuts = [t.split(" ") for t in texts]
         found = [list(map(self.known.get, cut)) for cut in cuts]
         holes, new = [], set()
@@ -133,7 +160,7 @@ class WordCache:
                 self.known = {}
             else:
                 for w in new:
-                    del self.known[w]
+                    self.known.pop(w, None)
         return out
 
 
