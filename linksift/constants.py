@@ -103,7 +103,6 @@ LOOKALIKE_FOR = {
 
 # --- fixed values: regular expressions -------------------------------------
 HEX_SEQUENCE_PATTERN = "(%[0-9A-Fa-f]{2}){3,}"
-HEX_BLOB_PATTERN = r"\b[0-9A-Fa-f]{16,}\b"
 DOUBLE_EXTENSION_PATTERN = (
     r"\.(pdf|doc|docx|xls|xlsx|jpg|png|txt|zip|exe)\.(html?|php|asp|jsp)$"
 )

@@ -73,8 +73,8 @@ def _auc_terms() -> tuple[Column, Column]:
 def binary_metrics(scored: DataFrame, threshold: float) -> DataFrame:
     """One row with the ten point metrics and the four cells.
 
-    All of them are sums over the counts per distinct score, so the input is
-    read once and shuffled once.
+    All of them are sums over the counts per distinct score; the ranges of scores are
+    found first, so the input is read for them as well.
     """
     eps = sys.float_info.epsilon
     s, pos, neg = F.col("score").cast("double"), F.col("pos"), F.col("neg")

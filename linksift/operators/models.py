@@ -205,11 +205,11 @@ def fit_members(train: DataFrame, kinds: tuple[str, ...], cfg: JobConfig) -> lis
     train = prepared(train)
     weight = balanced_weight(train).alias("_weight")
     members: dict[str, Member] = {}
-    for random in (False, True):
-        chosen = [k for k in kinds if (k == "extratrees") is random]
+    for random_trees in (False, True):
+        chosen = [k for k in kinds if (k == "extratrees") is random_trees]
         if not chosen:
             continue
-        cuts = random_cuts(train, cfg.random_state) if random else None
+        cuts = random_cuts(train, cfg.random_state) if random_trees else None
         prep = build_preprocessor(cfg.use_ngram_embeddings, cfg.ngram_dim, cuts).fit(train)
         rows = prep.transform(train).select(
             F.col("label").cast("double").alias("label"),

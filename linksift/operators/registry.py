@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 REGISTRY_SCHEMA = (
@@ -23,17 +22,13 @@ def entry(
 
 
 def register(registry: DataFrame, new: DataFrame) -> DataFrame:
-    """Add entries; the newest entry of a version replaces the older ones."""
-    newest = W.partitionBy("version").orderBy(F.desc("ts"))
-    return (
-        registry.unionByName(new)
-        .withColumn("_rank", F.row_number().over(newest))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
+    """Add entries; the newest entry of a version (the larger path on ties) replaces the others."""
+    whole = F.struct("version", "path", "cfg_hash", "metrics", "notes", "ts")
+    newest = F.max_by(whole, F.struct("ts", "path"))
+    return registry.unionByName(new).groupBy("version").agg(newest.alias("_m")).select("_m.*")
 
 
 def latest(registry: DataFrame) -> DataFrame:
     """The entry with the largest ts (one row), from one aggregate without a sort."""
     whole = F.struct("version", "path", "cfg_hash", "metrics", "notes", "ts")
-    return registry.agg(F.max_by(whole, F.struct("ts", "version")).alias("m")).filter("m IS NOT NULL").select("m.*")
+    return registry.agg(F.max_by(whole, F.struct("ts", "version", "path")).alias("m")).filter("m IS NOT NULL").select("m.*")

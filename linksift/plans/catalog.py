@@ -282,7 +282,9 @@ def q_stix_indicators(spark, sf):
     folder = new_folder(spark, "stix")
     S.write_stix(linear_scan(spark, sf), folder)
     fields = "name string, pattern string, labels array<string>, confidence int, description string"
-    return spark.read.text(folder).select(F.from_json("value", fields).alias("o")).select(
+    bundle = F.from_json("value", f"type string, id string, spec_version string, objects array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
+    objects = spark.read.text(folder).select(bundle.alias("b")).filter("b.type = 'bundle' AND b.spec_version = '2.1' AND b.id LIKE 'bundle--%'")
+    return objects.select(F.explode("b.objects").alias("o")).select(
         "o.name", "o.pattern", F.array_join("o.labels", ",").alias("labels"), "o.confidence", "o.description"
     )
 

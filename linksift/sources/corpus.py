@@ -10,7 +10,7 @@ from linksift.sources.tables import spread, table
 # Variant number, URL template ({id} = page_id), label.
 # Variant 0 is the page's own URL and is labelled by its host.
 VARIANTS = (
-    (1, "http://ebay-account-alert.ga/confirm?case={id}", 1),
+    (1, "http://steam-account-alert.ga/confirm?case={id}", 1),
     (2, "https://docs.python.org/3/search.html?q=frame+{id}", 0),
     (3, "http://10.20.30.40/panel/signin.php?member=root{id}", 1),
     (4, "http://xn--mazon-3ve.com/orders/renew/{id}", 1),

@@ -14,6 +14,10 @@ from linksift.operators.reasons import default_rules, rules_with_defaults
 
 log = logging.getLogger("linksift")
 
+# Line ends next to LF and CR.
+LINE_ENDS = "[\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+_MEANWHILE = "\ufdd0"
+
 
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Give every core a share of an input that comes in fewer pieces than there are cores.
@@ -30,9 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clean_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One trimmed URL per non-blank line. Bytes that are no UTF-8 are dropped."""
-    text = F.replace(F.make_valid_utf8(F.col(col)), F.lit("\ufffd"), F.lit(""))
-    return lines.select(strip(text).alias("url")).filter("url <> ''")
+    """One trimmed URL per non-blank line. Bytes that are no UTF-8 are dropped.
+
+    Lines also end at the other line ends of Unicode and ASCII. A replacement character
+    that stands in the input stays: a noncharacter keeps its place meanwhile.
+    """
+    kept = F.replace(F.col(col), F.lit("\ufffd"), F.lit(_MEANWHILE))
+    text = F.replace(F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit("")), F.lit(_MEANWHILE), F.lit("\ufffd"))
+    rest = [c for c in lines.columns if c != col]
+    return lines.select(*rest, F.explode(F.split(text, LINE_ENDS)).alias("url")).select(*rest, strip(F.col("url")).alias("url")).filter("url <> ''")
 
 
 def url_lines(spark: SparkSession, path: str | list[str], inline: list[str] = ()) -> DataFrame:

@@ -19,8 +19,8 @@ from linksift.sources.tables import clean_lines
 def new_urls(spark: SparkSession, in_dir: str, remember: str = "24 hours", max_files: int = 1000) -> DataFrame:
     """Stream of trimmed URL lines, each once within the time that is remembered.
 
-    The watermark bounds the set of remembered URLs. The stateful step is keyed
-    by URL; copies inside one batch are dropped by the partial step first.
+    The watermark bounds the set of remembered URLs. The stateful step is keyed by URL,
+    so all copies of a URL in a batch go to one task.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(in_dir)
     seen = clean_lines(lines.select("value")).withColumn("seen_at", F.current_timestamp())

@@ -57,6 +57,8 @@ def test_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_bytes(b" http://a/ \n\n\t\nhttp://b/\xff\n")
     got = [r.url for r in url_lines(spark, str(tmp_path), ["http://first/ ", " "]).collect()]
     assert got == ["http://first/", "http://a/", "http://b/"]
+    (tmp_path / "a.txt").write_text("http://c/\x0b http://d/\u2028\x85http://e/\ufffd\n")
+    assert [r.url for r in url_lines(spark, str(tmp_path)).collect()] == ["http://c/", "http://d/", "http://e/\ufffd"]
 
 
 def test_watchlist_overrides(spark, tmp_path):
@@ -89,7 +91,9 @@ def test_error_rows_come_through(spark):
 def test_sinks(spark, tmp_path):
     scored = scan(urls(spark, "http://user@xn--a.tk/o'x\\y"), rules=default_rules(spark))
     S.write_stix(scored, str(tmp_path / "stix"))
-    obj = json.loads(spark.read.text(str(tmp_path / "stix")).first()[0])
+    bundle = json.loads(spark.read.text(str(tmp_path / "stix")).first()[0])
+    assert bundle["type"] == "bundle" and bundle["id"].startswith("bundle--") and len(bundle["objects"]) == 1
+    obj = bundle["objects"][0]
     assert obj["pattern"] == "[url:value = 'http://user@xn--a.tk/o\\'x\\\\y']"
     assert obj["confidence"] == 50 and obj["id"].startswith("indicator--")
     S.append_predictions(scored, str(tmp_path / "log"), 0.5)
