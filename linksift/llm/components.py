@@ -19,12 +19,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
     edges = written(both, "edges")
     label = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), "labels")
+    before = None
     while True:
-        # a neighbour's label, or the label of the own label: both are messages to the node
+        # labels only fall, so an unchanged sum means that none has changed
+        total = label.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        if total == before:
+            return label.withColumnRenamed("label", "component")
+        before = total
+        # messages to a node: its own label, that label's label, and its neighbours' labels
         near = edges.join(label.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label")
         jump = label.select("node", F.col("label").alias("via")).join(label.select(F.col("node").alias("via"), "label"), "via").select("node", "label")
-        new = near.union(jump).groupBy("node").agg(F.min("label").alias("new"))
-        step = written(label.join(new, "node", "left").select("node", "label", F.least("label", "new").alias("new")), "labels")
-        label = step.select("node", F.col("new").alias("label"))
-        if step.filter("new <> label").limit(1).count() == 0:
-            return label.withColumnRenamed("label", "component")
+        label = written(near.union(jump).union(label.select("node", "label")).groupBy("node").agg(F.min("label").alias("label")), "labels")

@@ -12,8 +12,9 @@ over tasks:
    (l = ``short_hits``, or T if smaller). Short lists are merged in the task that holds
    their range of hashes; pairs are counted over all ranges, and those below l go.
 3. A class consisting mostly of common shingles has long lists among its rarest ones.
-   Members of a long list are compared with its first member; then only members of
-   still different groups are, block against block. No pairs are listed for that.
+   Members of a long list are compared with its first member; then only those of
+   still different groups are, block against block, once for all lists that share
+   members. No pairs are listed for that.
 4. Candidates are verified by DivideSkip on whole sets: in each task the
    shingles of a block of documents form inverted lists, the short ones are merged by
    a heap, the long ones probed by binary search, and what reaches the overlap stays.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -46,7 +47,7 @@ SHORT_HITS = 3
 MOST_LONG = 2_000_000
 #: Shingles that a map task holds before it hands them on.
 HELD = 1 << 22
-QUERY_BLOCK, INDEX_BLOCK = 32, 256
+QUERY_BLOCK, INDEX_BLOCK = 128, 512
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -208,7 +209,8 @@ def _pairs_of_lists(token: np.ndarray, cid: np.ndarray, n: np.ndarray, percent:
 
 def postings(docs: DataFrame, long: tuple[np.ndarray, np.ndarray, int], percent: int, short_hits: int, words: int = WORDS) -> DataFrame:
     """kind 0: pairs of classes (a, b) with their hits on short lists, by range of hashes;
-    kind 1: places on long lists, as shingle (a), class (b) and its size (n_b)."""
+    kind 1: places on long lists, as shingle (a), class (b) and the millionths of its
+    shingles whose lists are short (n_b)."""
     spark = docs.sparkSession
     lead = _buckets(spark)
     sent = spark.sparkContext.broadcast(long)
@@ -254,8 +256,9 @@ def postings(docs: DataFrame, long: tuple[np.ndarray, np.ndarray, int], percent:
             more = max(more, 0)
             held[0].append(chosen)
             held[1].append(np.full(len(chosen), name, np.int64))
-            held[2].append(np.full(len(chosen), n, np.int64))
-            held[3].append(np.arange(len(chosen)) >= len(chosen) - more)
+            on_long = np.arange(len(chosen)) >= len(chosen) - more
+            held[2].append(np.where(on_long, (~far).sum() * 1_000_000 // n, n))
+            held[3].append(on_long)
             size += len(chosen)
             if size >= HELD // 2:
                 yield from flush()
@@ -272,8 +275,10 @@ def postings(docs: DataFrame, long: tuple[np.ndarray, np.ndarray, int], percent:
     return docs.select("text").mapInArrow(cut, shape).groupBy("bucket").applyInPandas(merge, "kind int, a long, b long, n_a long, n_b long, hits long")
 
 
-def divide_skip(query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], sizes: np.ndarray, percent: int) -> list[int]:
-    """Members of a block whose overlap with the query set is enough.
+def divide_skip(
+    query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], sizes: np.ndarray, percent: int, skip: Callable[[int], bool] = lambda m: False
+) -> Iterator[int]:
+    """Members of a block whose overlap with the query set is enough, but for those to skip.
 
     ``lists`` are the block's inverted lists: shingles, ascending, and members, ascending
     within a shingle. The longest lists are set aside; the short ones are merged by a
@@ -284,7 +289,7 @@ def divide_skip(query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], sizes:
     length = hi - lo
     share = needed(len(query), percent)
     if (length > 0).sum() < share:
-        return []
+        return
     most = int(length.max())
     aside = min(share - 1, int(share / (0.01 * np.log2(most + 1) + 1)))
     order = np.argsort(length, kind="stable")
@@ -293,18 +298,16 @@ def divide_skip(query: np.ndarray, lists: tuple[np.ndarray, np.ndarray], sizes:
     # the place of (list, member) among all places of the long lists, for binary probes
     keys = np.concatenate([np.int64(k) * len(sizes) + member[lo[i] : hi[i]] for k, i in enumerate(long.tolist())]) if aside else np.zeros(0, np.int64)
     ranks = np.arange(aside, dtype=np.int64) * len(sizes)
-    out = []
     for m, run in groupby(merged):
         seen = sum(1 for _ in run)
-        if seen < share - aside:
+        if seen < share - aside or skip(m):
             continue
         probe = ranks + m
         at = np.searchsorted(keys, probe)
         at[at == len(keys)] = 0
         both = seen + (int((keys[at] == probe).sum()) if len(keys) else 0)
         if 100 * both >= percent * (len(query) + int(sizes[m]) - both):
-            out.append(m)
-    return out
+            yield m
 
 
 def search(tasks: DataFrame, texts: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
@@ -320,9 +323,12 @@ def search(tasks: DataFrame, texts: DataFrame, percent: int, words: int = WORDS)
         order = np.argsort(flat, kind="stable")
         sizes = np.array([len(s) for s in sets])
         for q in queries:
-            for m in divide_skip(shingles(q[4], words), (flat[order], member[order]), sizes, percent):
-                if index[m][2] != q[2] and (q[3] is None or index[m][3] != q[3]):
-                    yield q[2], index[m][2]
+            # one link to each group will do: its other members are skipped from then on
+            linked = {q[3]} if q[3] is not None else set()
+            for m in divide_skip(shingles(q[4], words), (flat[order], member[order]), sizes, percent, lambda m: index[m][2] == q[2] or index[m][3] in linked):
+                if index[m][3] is not None:
+                    linked.add(index[m][3])
+                yield q[2], index[m][2]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -350,30 +356,26 @@ def _pair_tasks(pairs: DataFrame, block: int = INDEX_BLOCK) -> DataFrame:
 
 
 def _list_tasks(places: DataFrame, component: DataFrame) -> DataFrame:
-    """Long lists whose members are in several groups: members outside the list's largest
-    group, as queries, against all members, block by block. Of lists with the same
-    members one is enough."""
-    named = places.join(component.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "cid", F.coalesce("component", "cid").alias("part")
-    )
-    named = written(named, "list-places")
-    groups = named.groupBy("token", "part").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("xor")
-    )
-    lists = groups.groupBy("token").agg(
-        F.sum("k").alias("k"), F.sum("sum").alias("sum"), F.bit_xor("xor").alias("xor"), F.count(F.lit(1)).alias("parts"),
-        F.max_by("part", F.struct("k", "part")).alias("main"), F.max("k").alias("main_k"),
-    )
-    open_lists = lists.filter("parts > 1").groupBy("k", "sum", "xor").agg(F.min_by(F.struct("token", "main", "main_k"), "token").alias("one"))
-    shape = open_lists.select(
-        "one.token", "one.main", F.ceil(F.col("k") / INDEX_BLOCK).cast("int").alias("ib"), F.ceil((F.col("k") - F.col("one.main_k")) / QUERY_BLOCK).cast("int").alias("qb")
+    """Tasks for the members of long lists that are still in different groups.
+
+    Lists that share members form a family, so that two members of many common lists
+    meet in one task only. In each family the members outside its largest group are
+    queries against all members, block by block.
+    """
+    edges = places.select(F.col("token").alias("a"), F.col("cid").alias("b"))
+    family = connected_components(edges).select(F.col("node").alias("cid"), F.col("component").alias("family"))
+    members = places.select("cid").distinct().join(family, "cid").join(component.withColumnRenamed("node", "cid"), "cid", "left")
+    members = written(members.select("cid", "family", F.coalesce("component", "cid").alias("part")), "families")
+    groups = members.groupBy("family", "part").agg(F.count(F.lit(1)).alias("k"))
+    shape = groups.groupBy("family").agg(F.sum("k").alias("k"), F.max_by("part", F.struct("k", "part")).alias("main"), F.max("k").alias("main_k"))
+    shape = shape.filter("k > main_k").select(
+        "family", "main", F.ceil(F.col("k") / INDEX_BLOCK).cast("int").alias("ib"), F.ceil((F.col("k") - F.col("main_k")) / QUERY_BLOCK).cast("int").alias("qb")
     )
-    held = named.join(shape, "token")
-    own = F.pmod(F.xxhash64("cid"), F.col("ib")).cast("int")
-    index = held.withColumn("i", own).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
+    held = members.join(shape, "family")
+    index = held.withColumn("i", F.pmod(F.xxhash64("cid"), F.col("ib")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
     asked = held.filter("part <> main").withColumn("q", F.pmod(F.xxhash64("cid", F.lit(1)), F.col("qb")).cast("int"))
     asked = asked.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ib") - 1)))
-    task = F.xxhash64("token", "i", "q").alias("task")
+    task = F.xxhash64("family", "i", "q").alias("task")
     return index.select(task, F.lit(0).alias("side"), "cid", "part").union(asked.select(task, F.lit(1).alias("side"), "cid", "part"))
 
 
@@ -391,6 +393,15 @@ def _class_texts(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return near.mapInArrow(own, "cid long, text string").dropDuplicates(["cid"]) if repeated else near
 
 
+def _with_more(links: DataFrame, component: DataFrame, nothing: bool, find: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """All links and their components, after another round of search unless there is nothing to search."""
+    found = None if nothing else written(find(), "links")
+    if found is None or found.isEmpty():
+        return links, component
+    links = written(links.union(found), "links")
+    return links, connected_components(links)
+
+
 def similar_groups(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST, short_hits: int = SHORT_HITS, most_long: int = MOST_LONG
 ) -> DataFrame:
@@ -406,29 +417,48 @@ def similar_groups(
     found = written(postings(rows, long, percent, short_hits, words), "postings")
 
     hits_due = F.least(F.lit(short_hits), F.ceil(F.lit(percent) * F.least("n_a", "n_b") / 100))
-    short = found.filter("kind = 0").groupBy("a", "b", "n_a", "n_b").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= hits_due).select("a", "b")
-    places = written(found.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cid")).distinct(), "long-places")
-    hub = places.groupBy("token").agg(F.min("cid").alias("hub"))
-    star = places.join(hub, "token").filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"))
-    pairs = written(short.union(star).distinct(), "pairs")
+    short = found.filter("kind = 0").groupBy("a", "b", "n_a", "n_b").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= hits_due)
+    short = written(short.select("a", "b"), "short-pairs")
+    places = written(found.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cid"), F.col("n_b").alias("own")).distinct(), "long-places")
+    # the first member of a long list is the one with the fewest shingles of its own: nearest to what all share
+    hub = places.groupBy("token").agg(F.min_by("cid", F.struct("own", "cid")).alias("hub"), F.min("own").alias("hub_own"))
+    star = written(places.join(hub, "token").filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "hub_own").distinct(), "stars")
+    pairs = written(short.union(star.select("a", "b")).distinct(), "pairs")
 
     # one row of text for each class that is compared
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(by_class, "cid").select("cid", F.col("rep").alias("doc_id"))
     texts = written(_class_texts(rows, wanted, words), "texts")
 
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    # round 1: each class against one partner on short lists and the best first member on long ones
+    first = short.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = written(first.union(star.groupBy("b").agg(F.min_by("a", F.struct("hub_own", "a")).alias("a")).select("a", "b")).distinct(), "first")
     links = written(search(_pair_tasks(first), texts, percent, words), "links")
     component = connected_components(links)
+    # round 2: all other pairs that are still in different groups
     a_of = component.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
     b_of = component.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
     rest = pairs.join(first, ["a", "b"], "left_anti").join(a_of, "a", "left").join(b_of, "b", "left")
-    rest = rest.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-    links = written(links.union(search(_pair_tasks(written(rest, "rest")), texts, percent, words)), "links")
-    component = connected_components(links)
-    links = written(links.union(search(_list_tasks(places, component), texts, percent, words)), "links")
-    component = connected_components(links)
+    rest = written(rest.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b"), "rest")
+    links, component = _with_more(links, component, rest.isEmpty(), lambda: search(_pair_tasks(rest), texts, percent, words))
+    # round 3: members of long lists that are still in different groups
+    lists = places.select("token", "cid")
+    links, component = _with_more(links, component, lists.isEmpty(), lambda: search(_list_tasks(lists, component), texts, percent, words))
 
     group = by_class.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = written(group, "groups").groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = group.join(least, "component").select("cid", "component_id")
     return named.join(of_class, "cid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, **how: int) -> DataFrame:
+    """The documents, with all their columns, without those that have a linked document of a
+    smaller id.
+
+    Rows of the same id are judged together, and of those that also agree in text one
+    stays. Rows without an id go where their group has one with an id, else they stay.
+    """
+    groups = similar_groups(docs, **how)
+    gone = written(groups.filter("component_id IS NOT NULL AND NOT (doc_id <=> component_id)").select("doc_id").distinct(), "near-copies")
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
