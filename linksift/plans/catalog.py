@@ -42,7 +42,7 @@ from linksift.operators.scoring import (
     scan,
     score_distinct,
 )
-from linksift.operators.splits import stratified_folds, stratified_split
+from linksift.operators.splits import half_split, stratified_folds, stratified_split
 from linksift.plans import fixtures as T_
 from linksift.plans.fixtures import KEY, QUICK
 from linksift.plans.train import TrainedModel, load_model, train, verdicts
@@ -439,6 +439,12 @@ def q_stratified_folds(spark, sf):
     return E.dataset_counts(stratified_folds(url_corpus(spark, sf), KEY), ["fold"])
 
 
+def q_half_split(spark, sf):
+    """The halves of the test part: one for calibration, one for evaluation."""
+    split = stratified_split(url_corpus(spark, sf), KEY)
+    return E.dataset_counts(half_split(split.filter("part = 'test'"), KEY), ["half"])
+
+
 def q_active_queue(spark, sf):
     queue = K.active_queue(T_.scored_docs(spark, sf))
     return queue.select("id", r6("uncertainty").alias("uncertainty"), "score")
@@ -642,6 +648,7 @@ QUERIES: dict[str, Query] = {
     "dataset_counts": q_dataset_counts,
     "stratified_split": q_stratified_split,
     "stratified_folds": q_stratified_folds,
+    "half_split": q_half_split,
     "active_queue": q_active_queue,
     "psi_drift": q_psi_drift,
     "drift_report": q_drift_report,

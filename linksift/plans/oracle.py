@@ -496,6 +496,16 @@ _ONLINE_ROWS = "\nUNION ALL\n".join(
 
 # --------------------------------------------------------------- queries ----
 
+_PART_SIZES = f"""sizes AS (
+  SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(round(count(*) * {d(0.2)}) AS BIGINT) AS test FROM corpus GROUP BY label
+)"""
+
+
+def _upto(share: float) -> str:
+    """Rows of a class in the first parts that make up so large a share."""
+    return "n" if share == 1 else "0" if share == 0 else f"round(n * {d(share)})"
+
+
 _TOKEN = "{{'kind': '{0}', 'text': {1}, 'weight': CAST({2} AS DOUBLE)}}"
 def _label_token(l: str) -> str:
     t = _TOKEN
@@ -616,6 +626,16 @@ FROM scored_docs, (SELECT quantile_cont(score, [{', '.join(repr(i / 12) for i in
     "conformal_coverage": with_(SCORED_DOCS, _CONFORMAL)
     + "SELECT round(avg(CASE WHEN label = 1 THEN in1 ELSE in0 END), 6) AS coverage, round(avg(in0 + in1), 6) AS size FROM sets",
     "dataset_counts": with_(CORPUS) + "SELECT label, CAST(count(*) AS BIGINT) AS n FROM corpus GROUP BY label",
+    # the sizes of the parts are determined; which rows are in them is up to the hash
+    "stratified_split": with_(CORPUS, _PART_SIZES)
+    + "SELECT label, 'test' AS part, test AS n FROM sizes UNION ALL SELECT label, 'train', n - test FROM sizes",
+    "stratified_folds": with_(CORPUS, _PART_SIZES)
+    + "\nUNION ALL\n".join(
+        f"SELECT label, CAST({k} AS INTEGER) AS fold, CAST({_upto(sum([0.2] * (k + 1)) if k < 4 else 1)} - {_upto(sum([0.2] * k))} AS BIGINT) AS n FROM sizes" for k in range(5)
+    ),
+    "half_split": with_(CORPUS, _PART_SIZES)
+    + "SELECT label, 'calibrate' AS half, CAST(round(test * CAST(0.5 AS DOUBLE)) AS BIGINT) AS n FROM sizes "
+    "UNION ALL SELECT label, 'evaluate', test - CAST(round(test * CAST(0.5 AS DOUBLE)) AS BIGINT) FROM sizes",
     "active_queue": _D
     + "SELECT id, round(1 - abs(score - 0.5) * 2, 6) AS uncertainty, score FROM scored_docs WHERE score BETWEEN 0.35 AND 0.65 ORDER BY 1.0 - abs(score - CAST(0.5 AS DOUBLE)) * 2.0 DESC, id LIMIT 20",
     "psi_drift": "WITH " + _psi("(SELECT * FROM lineitem WHERE l_returnflag = 'N')", "(SELECT * FROM lineitem WHERE l_returnflag <> 'N')", _LINES)
