@@ -2,8 +2,9 @@
 
 Texts of documents and benchmark items are brought into a canonical form: numbers,
 units after numbers, and names become typed placeholders, letters are lower-cased and
-punctuation goes. Windows of canonical words are joined by their hashes. Along each
-alignment the words behind the placeholders (slots) must map consistently: the same
+punctuation goes. Windows of canonical words are joined by their hashes, and beside
+them windows of plain lower-cased words, in which names stand as they are: a copy in
+other case, or with other sentence ends, is told by these. Along each alignment the words behind the placeholders (slots) must map consistently: the same
 value of the item always to the same value of the document. So a question asked
 again with other names and numbers is found, while a text that only has the same
 frame with mixed-up values is not.
@@ -11,6 +12,8 @@ frame with mixed-up values is not.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,44 +30,54 @@ UNITS = (
     "kilomet(?:er|re)s?", "l", "ml", "lit(?:er|re)s?", "gallons?", "s", "secs?", "seconds?", "min", "mins", "minutes?", "h", "hrs?", "hours?", "days?", "weeks?",
     "months?", "years?", "percent", "dollars?", "euros?", "cents?", "degrees?", "kmh", "mph",
 )
-#: Names that may begin a sentence, where a capital says nothing.
-GIVEN_NAMES = (
-    "Alice", "Anna", "Ben", "Bob", "Carlos", "Charlie", "Claire", "Daniel", "David", "Emily", "Emma", "George", "Hans", "James", "Jane", "John", "Julia",
-    "Karen", "Laura", "Linda", "Maria", "Mark", "Mary", "Michael", "Natalia", "Paul", "Peter", "Robert", "Sara", "Sarah", "Susan", "Thomas", "Tom", "Weng",
-)
-NAME = r"(?<=[\p{L}0-9,;:] )\p{Lu}\p{Ll}+|\b(?:" + "|".join(GIVEN_NAMES) + r")\b"
+#: A word with a capital and small letters, wherever it stands: at a sentence start it may be an
+#: ordinary word, but then its slot holds the same value on both sides.
+NAME = r"(?<![\p{L}0-9])\p{Lu}\p{Ll}\p{L}*"
 NUMBER = r"[0-9]+(?:[.,:][0-9]+)*"
-UNIT = r"(?<=0) ?\b(?:" + "|".join(UNITS) + r")\b|(?<=0)(?:" + "|".join(UNITS) + r")\b"
 WORD_END = r"[^0-9\p{L}·]+"
+UNIT = r"(?i)(?<=0)[^0-9\p{L}·]*(?:" + "|".join(UNITS) + r")(?![\p{L}0-9·])"
 
 
 def _plain(text: Column) -> Column:
     return F.translate(text, "·", " ")
 
 
+def _typed(text: Column) -> Column:
+    """0 for a number and xunitx for a unit, in the text's own case."""
+    typed = F.regexp_replace(F.regexp_replace(_plain(text), NUMBER, "0"), UNIT, " xunitx")
+    return F.regexp_replace(typed, r"(?<=[0-9])(?=\p{L})", " ")
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), WORD_END), "")
+
+
 def canonical_words(text: Column) -> Column:
     """Words with placeholders: 0 for a number, xunitx for a unit, xnamex for a name."""
-    named = F.regexp_replace(_plain(text), NAME, "xnamex")
-    typed = F.regexp_replace(F.regexp_replace(named, NUMBER, "0"), UNIT, " xunitx")
-    return F.split(F.lower(F.regexp_replace(typed, r"(?<=[0-9])(?=\p{L})", " ")), WORD_END)
+    return _words(F.regexp_replace(_typed(text), NAME, "xnamex"))
+
+
+def plain_words(text: Column) -> Column:
+    """The same places without names, so in any case of letters alike."""
+    return _words(_typed(text))
 
 
 def raw_words(text: Column) -> Column:
     """The words that stand behind the canonical ones, place by place, lower-cased."""
     joined = F.regexp_replace(_plain(text), r"(?<=[0-9])[.,:](?=[0-9])", "·")
-    return F.split(F.lower(F.regexp_replace(joined, r"(?<=[0-9])(?=\p{L})", " ")), WORD_END)
+    return _words(F.regexp_replace(joined, r"(?<=[0-9])(?=\p{L})", " "))
 
 
-def _windows(df: DataFrame, words: str, width: int) -> DataFrame:
+def _windows(df: DataFrame, words: str, width: int, hashes: str = "hashes") -> DataFrame:
     """Column ``hashes``: one for each place of ``words``, over the ``width`` (a power of two)
     words from there; the last ones hold less and equal no full window."""
-    df = df.withColumn("hashes", F.transform(words, lambda w: F.xxhash64(w)))
+    df = df.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
     step = 1
     # readers take the _outer generators: for the others the optimizer derives a filter on the
     # array's size, pushes it down to the text and so works the hashes out many times over
     while step < width:
         # pair each hash with that of the words that follow, until a window is full
-        df = df.withColumn("hashes", F.zip_with("hashes", F.slice("hashes", F.lit(step + 1), F.greatest(F.size("hashes"), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
+        df = df.withColumn(hashes, F.zip_with(hashes, F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes), F.lit(1))), lambda a, b: F.xxhash64(a, b)))
         step *= 2
     return df
 
@@ -74,20 +87,21 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     words of each. Items of fewer than ``WINDOW`` words have windows of ``SHORT_WINDOW``;
     those with fewer words still can't be told from ordinary prose and have none."""
     words = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct().select(
-        "item_id", canonical_words(F.col("text")).alias("c"), raw_words(F.col("text")).alias("r")
+        "item_id", canonical_words(F.col("text")).alias("c"), plain_words(F.col("text")).alias("p"), raw_words(F.col("text")).alias("r")
     )
     parts = []
     for width, fits in ((WINDOW, F.size("c") >= WINDOW), (SHORT_WINDOW, F.size("c").between(SHORT_WINDOW, WINDOW - 1))):
         n = F.size("c") - width + 1
-        held = _windows(words.filter(fits), "c", width).withColumn("n_windows", n)
-        held = held.select("item_id", "n_windows", "c", "r", F.posexplode_outer(F.slice("hashes", F.lit(1), F.col("n_windows"))).alias("at", "h"))
-        parts.append(
-            held.select(
-                "item_id", F.lit(width).alias("width"), "n_windows", "at", "h",
-                F.slice("c", F.col("at") + 1, F.lit(width)).alias("canon"), F.slice("r", F.col("at") + 1, F.lit(width)).alias("raw"),
-            )
-        )
-    return parts[0].union(parts[1])
+        for kind in ("c", "p"):
+            held = _windows(words.filter(fits), kind, width).withColumn("n_windows", n)
+            held = held.select("item_id", "n_windows", kind, "r", F.posexplode_outer(F.slice("hashes", F.lit(1), F.col("n_windows"))).alias("at", "h"))
+            parts.append(
+                held.select(
+                    "item_id", F.lit(width).alias("width"), "n_windows", "at", "h",
+                    F.slice(kind, F.col("at") + 1, F.lit(width)).alias("canon"), F.slice("r", F.col("at") + 1, F.lit(width)).alias("raw"),
+                )
+            )
+    return reduce(DataFrame.union, parts).distinct()
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
@@ -101,11 +115,12 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
     keyed = docs.select(F.md5(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
 
     def hashed(texts: DataFrame, width: int) -> DataFrame:
-        return _windows(texts.withColumn("c", canonical_words(F.col("text"))), "c", width)
+        texts = texts.withColumn("c", canonical_words(F.col("text"))).withColumn("p", plain_words(F.col("text")))
+        return _windows(_windows(texts, "c", width, "named"), "p", width, "lower")
 
     hit = None
     for width in widths:
-        places = hashed(keyed, width).select("text_key", F.explode_outer("hashes").alias("h"))
+        places = hashed(keyed, width).select("text_key", F.explode_outer(F.array_union("named", "lower")).alias("h"))
         own = places.join(sent(known.filter(F.col("width") == width).select("h")), "h", "left_semi").select("text_key")
         hit = own if hit is None else hit.union(own)
     hit = written(hit.distinct(), "hit-texts")
@@ -113,7 +128,9 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
 
     found = None
     for width in widths:
-        places = hashed(texts, width).select("text_key", F.posexplode_outer("hashes").alias("place", "h"))
+        both = F.arrays_zip("named", "lower")
+        places = hashed(texts, width).select("text_key", F.posexplode_outer(both).alias("place", "b"))
+        places = places.select("text_key", "place", F.explode_outer(F.array_distinct(F.array("b.named", "b.lower"))).alias("h"))
         own = places.join(sent(bench.filter(F.col("width") == width)), "h")
         found = own if found is None else found.unionByName(own)
     found = written(found, "hit-windows")
