@@ -4,8 +4,9 @@ Texts of documents and benchmark items are brought into a canonical form: number
 units after numbers, and names become typed placeholders, letters are lower-cased and
 punctuation goes. Windows of canonical words are joined by their hashes, and beside
 them windows of plain lower-cased words, in which names stand as they are: a copy in
-other case, or with other sentence ends, is told by these. Along each alignment the words behind the placeholders (slots) must map consistently: the same
-value of the item always to the same value of the document. So a question asked
+other case, or with other sentence ends, is told by these. Along each alignment the words behind the placeholders (slots) must map consistently: a value of
+the item to the document's value that stands for it most often, or to itself; a window
+in which it goes elsewhere is not counted, the others of the alignment are. So a question asked
 again with other names and numbers is found, while a text that only has the same
 frame with mixed-up values is not.
 """
@@ -139,15 +140,31 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
     own = F.transform("places", lambda p: F.struct(p["place"].alias("place"), p["width"].alias("width"), F.slice("r", p["place"] + 1, p["width"]).alias("own")))
     words = words.select("text_key", F.explode(own).alias("p"))
     pairs = found.join(words.select("text_key", "p.place", "p.width", "p.own"), ["text_key", "place", "width"])
-    # the slots of a window: (value in the item, value in the document) where the canonical word is a placeholder
-    slots = F.filter(F.arrays_zip("canon", "raw", "own"), lambda x: x["canon"] != x["raw"])
-    pairs = pairs.withColumn("slots", F.transform(slots, lambda x: F.struct(x["raw"].alias("item"), x["own"].alias("doc"))))
+    # the slots of a window: (place in the item, value in the item, value in the document) where the canonical word is a placeholder
+    slots = F.filter(F.arrays_zip(F.sequence("at", F.col("at") + F.col("width") - 1).alias("i"), "canon", "raw", "own"), lambda x: x["canon"] != x["raw"])
+    pairs = pairs.withColumn("slots", F.transform(slots, lambda x: F.struct(x["i"].alias("i"), x["raw"].alias("item"), x["own"].alias("doc"))))
     aligned = pairs.groupBy("text_key", "item_id", "width", "n_windows", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
+        F.collect_set(F.struct("at", "slots")).alias("held")
     )
-    consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
-    changed = F.exists("slots", lambda s: s["item"] != s["doc"])
-    whole = aligned.filter(consistent).groupBy("text_key", "item_id", "width", "n_windows").agg(
+    # each value of the item goes with the document's value that stands for it at most places; of equally frequent
+    # ones with the unchanged one. Only windows that say otherwise are dropped
+    counted = F.array_distinct(F.flatten(F.transform("held", lambda w: w["slots"])))
+    aligned = aligned.withColumn("all", counted)
+    votes = F.transform(
+        F.array_distinct(F.transform("all", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc")))),
+        lambda v: F.struct(
+            v["item"].alias("item"), F.size(F.filter("all", lambda s: (s["item"] == v["item"]) & (s["doc"] == v["doc"]))).alias("n"),
+            (v["item"] == v["doc"]).alias("same"), v["doc"].alias("doc"),
+        ),
+    )
+    aligned = aligned.withColumn("votes", votes)
+    first = F.filter("votes", lambda v: ~F.exists("votes", lambda o: (o["item"] == v["item"]) & (F.struct(o["n"], o["same"], o["doc"]) > F.struct(v["n"], v["same"], v["doc"]))))
+    aligned = aligned.withColumn("first", F.transform(first, lambda v: F.struct(v["item"].alias("item"), v["doc"].alias("doc"))))
+    agrees = lambda s: (s["item"] == s["doc"]) | F.array_contains("first", F.struct(s["item"].alias("item"), s["doc"].alias("doc")))
+    aligned = aligned.withColumn("held", F.filter("held", lambda w: F.forall(w["slots"], agrees)))
+    aligned = aligned.withColumn("ats", F.array_distinct(F.transform("held", lambda w: w["at"])))
+    changed = F.exists("held", lambda w: F.exists(w["slots"], lambda s: s["item"] != s["doc"]))
+    whole = aligned.filter(F.size("ats") > 0).groupBy("text_key", "item_id", "width", "n_windows").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("n_covered"), F.max(changed).alias("changed")
     )
     due = F.when(F.col("width") == WINDOW, F.lit(covered) * F.col("n_windows")).otherwise(F.col("n_windows"))

@@ -22,3 +22,14 @@ def test_names_that_open_sentences(spark):
     other = ITEM.replace("Nadia", "Xenia").replace("Ivan", "Yvo").replace("Olga", "Zoe").replace("Boris", "Quentin")
     r = judged(spark, {1: other})[1, 0]
     assert r.kind == "reparameterised" and r.n_covered == r.n_windows
+
+
+def test_one_changed_value_costs_its_own_windows_only(spark):
+    item = "At the market Olga has 12 apples and gives 5 kg to Boris, then Olga buys 12 pears for 7 dollars each day"
+    docs = {
+        1: item.replace("Olga has 12", "Nadia has 30"),  # 17 words in one verbatim run
+        2: " ".join(f"{c}x {k + 20} {c}y" for k, c in enumerate("abcdefghi")),  # the item's equal values go to as many others
+    }
+    equal = " ".join(f"{c}x 7 {c}y" for c in "abcdefghi")
+    got = judged(spark, docs, (item, equal))
+    assert {k: (r.kind, r.n_covered) for k, r in got.items()} == {(1, 0): ("verbatim", 10)}
