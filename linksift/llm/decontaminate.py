@@ -23,6 +23,8 @@ from linksift.llm.common import text_or_empty, written
 WINDOW = 8
 SHORT_WINDOW = 4
 COVERED = 0.5
+#: Words of an item in one run that count however long the item is.
+RUN = 13
 #: Windows of the benchmark up to which they are sent to all tasks; beyond, both sides are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -107,7 +109,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """(text_key, item_id, n_windows, n_covered, kind) for each distinct text and each item
-    of which it holds enough windows. kind: verbatim or reparameterised."""
+    of which it holds enough windows, or a run of ``RUN`` words. kind: verbatim or reparameterised."""
     bench = written(benchmark_windows(benchmark), "benchmark-windows")
     n = bench.count()
     sent = (lambda df: F.broadcast(df)) if n <= BROADCAST_WINDOWS else (lambda df: df)
@@ -149,7 +151,8 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
     # each value of the item goes with the document's value that stands for it at most places; of equally frequent
     # ones with the unchanged one. Only windows that say otherwise are dropped
     counted = F.array_distinct(F.flatten(F.transform("held", lambda w: w["slots"])))
-    aligned = aligned.withColumn("all", counted)
+    # written step by step: the optimizer would put each list's expression wherever the list is read, also inside loops
+    aligned = written(aligned.withColumn("all", counted), "alignments")
     votes = F.transform(
         F.array_distinct(F.transform("all", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc")))),
         lambda v: F.struct(
@@ -157,18 +160,27 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
             (v["item"] == v["doc"]).alias("same"), v["doc"].alias("doc"),
         ),
     )
-    aligned = aligned.withColumn("votes", votes)
+    aligned = written(aligned.withColumn("votes", votes).drop("all"), "alignment-votes")
     first = F.filter("votes", lambda v: ~F.exists("votes", lambda o: (o["item"] == v["item"]) & (F.struct(o["n"], o["same"], o["doc"]) > F.struct(v["n"], v["same"], v["doc"]))))
     aligned = aligned.withColumn("first", F.transform(first, lambda v: F.struct(v["item"].alias("item"), v["doc"].alias("doc"))))
+    aligned = written(aligned.drop("votes"), "alignment-values")
     agrees = lambda s: (s["item"] == s["doc"]) | F.array_contains("first", F.struct(s["item"].alias("item"), s["doc"].alias("doc")))
-    aligned = aligned.withColumn("held", F.filter("held", lambda w: F.forall(w["slots"], agrees)))
-    aligned = aligned.withColumn("ats", F.array_distinct(F.transform("held", lambda w: w["at"])))
-    changed = F.exists("held", lambda w: F.exists(w["slots"], lambda s: s["item"] != s["doc"]))
-    whole = aligned.filter(F.size("ats") > 0).groupBy("text_key", "item_id", "width", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("n_covered"), F.max(changed).alias("changed")
-    )
+    differs = lambda w: F.exists(w["slots"], lambda s: s["item"] != s["doc"])
+    # other values in a window of hardly anything but placeholders, as in tables of numbers and lists of names, say nothing
+    telling = lambda w: ~differs(w) | (F.size(w["slots"]) * 4 <= F.col("width") * 3)
+    aligned = aligned.withColumn("held", F.filter("held", lambda w: F.forall(w["slots"], agrees) & telling(w)))
+    aligned = aligned.withColumn("ats", F.array_sort(F.array_distinct(F.transform("held", lambda w: w["at"]))))
+    aligned = written(aligned.drop("first").filter(F.size("ats") > 0), "alignment-windows")
+    changed = F.exists("held", differs)
+    # places in a row keep their distance to their numbers in the sorted list
+    rows = F.transform("ats", lambda at, i: at - i)
+    longest = F.array_max(F.transform(F.array_distinct(rows), lambda g: F.size(F.filter(rows, lambda r: r == g))))
+    whole = aligned.groupBy("text_key", "item_id", "width", "n_windows").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("n_covered"), F.max(changed).alias("changed"),
+        F.max(longest + F.col("width") - 1).alias("run"),
+    )
     due = F.when(F.col("width") == WINDOW, F.lit(covered) * F.col("n_windows")).otherwise(F.col("n_windows"))
-    return whole.filter(F.col("n_covered") >= due).select(
+    return whole.filter((F.col("n_covered") >= due) | (F.col("run") >= RUN)).select(
         "text_key", "item_id", "n_windows", "n_covered", F.when(F.col("changed"), "reparameterised").otherwise("verbatim").alias("kind")
     )
 

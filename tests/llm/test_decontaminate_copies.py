@@ -33,3 +33,15 @@ def test_one_changed_value_costs_its_own_windows_only(spark):
     equal = " ".join(f"{c}x 7 {c}y" for c in "abcdefghi")
     got = judged(spark, docs, (item, equal))
     assert {k: (r.kind, r.n_covered) for k, r in got.items()} == {(1, 0): ("verbatim", 10)}
+
+
+def test_runs_of_long_items_and_bare_placeholders(spark):
+    item = " ".join(f"{a}{b}q" for a in "abcdefghij" for b in "klmnopqrst")  # 100 words
+    words = item.split()
+    table, names = " ".join(map(str, range(100, 140))), " ".join(f"{a.upper()}ane" for a in "abcdefghijklmnopqrst")
+    docs = {
+        1: "plain text before " + " ".join(words[30:43]) + " and after", 2: "plain text before " + " ".join(words[30:42]) + " and after",
+        3: " ".join(map(str, range(500, 540))), 4: table, 5: names.replace("ane", "ole"), 6: names, 7: " ".join(words[:6] + ["other"] + words[7:13]),
+    }
+    got = judged(spark, docs, (item, table, names))
+    assert {k: r.kind for k, r in got.items()} == {(1, 0): "verbatim", (4, 1): "verbatim", (6, 2): "verbatim"}
