@@ -11,7 +11,7 @@ twice is found twice and a long text costs no more than its length.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -118,15 +118,15 @@ class Scanner:
             for j, pair in enumerate(zip(w, w[1:])):
                 self.seeds[pair].append((name, j))
 
-    def windows(self, text: list[str], name: str, hits: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-        """Stretches of the text where the template may stand, from the places of shared pairs."""
+    def windows(self, name: str, size: int, hits: list[tuple[int, int]]) -> Iterator[tuple[int, int, list[int]]]:
+        """Stretches of the text where the template may stand, and the diagonals of each, from the places of shared pairs."""
         n = len(self.words[name])
         slack = max(4, n // 2)
-        starts = sorted({i - j for i, j in hits})
-        while starts:
-            near = [s for s in starts if s - starts[0] <= slack]
-            yield max(0, near[0] - slack), min(len(text), near[-1] + n + slack)
-            starts = starts[len(near) :]
+        starts, at = sorted({i - j for i, j in hits}), 0
+        while at < len(starts):
+            end = bisect_right(starts, starts[at] + slack)
+            yield max(0, starts[at] - slack), min(size, starts[end - 1] + n + slack), starts[at:end]
+            at = end
 
     def scan(self, text: str) -> list[tuple[str, int, int, int, int, float]]:
         words = words_of(text)
@@ -141,16 +141,30 @@ class Scanner:
         found = []
         for name, pairs in hits.items():
             template = self.words[name]
-            for lo, hi in self.windows(words, name, pairs):
+            n, own = len(template), set(template)
+
+            def put(lo: int, hi: int, name: str = name, template: list[str] = template) -> bool:
                 got = align(words[lo:hi], template)
                 share = len(got) / len(template)
-                if got and share >= self.coverage and len(got) >= self.density * (got[-1][0] - got[0][0] + 1):
-                    found.append((-share, lo + got[0][0], name, lo + got[-1][0], len(got)))
+                fits = bool(got) and share >= self.coverage and len(got) >= self.density * (got[-1][0] - got[0][0] + 1)
+                if fits:
+                    found.append((-share, got[-1][0] - got[0][0], lo + got[0][0], name, lo + got[-1][0], len(got)))
+                return fits
+
+            for lo, hi, starts in self.windows(name, len(words), pairs):
+                if put(lo, hi) and len(starts) == 1:
+                    continue
+                # between neighbours of the same words no word is unique: again without them
+                for s in starts:
+                    a, b = max(0, s), s + n
+                    if sum(map(own.__contains__, words[a:b])) >= self.coverage * n:
+                        put(a, b)
         spans = [m.span() for m in WORD.finditer(text)] if found else []
         out, taken = [], defaultdict(list)
-        for share, a, name, b, n in sorted(found):  # of overlapping finds of a template the best stays
-            if all(b < x or y < a for x, y in taken[name]):
-                taken[name].append((a, b))
+        for share, _, a, name, b, n in sorted(found):  # of overlapping finds of a template the best and shortest stays
+            k = bisect_left(taken[name], (a, b))
+            if (k == 0 or taken[name][k - 1][1] < a) and (k == len(taken[name]) or b < taken[name][k][0]):
+                taken[name].insert(k, (a, b))
                 out.append((name, spans[a][0], spans[b][1], n, len(self.words[name]), -share))
         return sorted(out, key=lambda r: (r[1], r[0]))
 
