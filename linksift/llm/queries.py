@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linksift.llm import ann, decontaminate, jaccard_join, license_scan, packing, pieces, quality, sharding, token_counts, url_filter
+from linksift.llm import ann, collocations, decontaminate, jaccard_join, license_scan, line_dedup, packing, pieces, quality, sharding, token_counts, url_filter, whitening
 from linksift.llm.common import fresh_path, table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into pieces with merge dropout, and decoded again."""
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), seed=17, with_ids=False)
+
+
+@query("op11_line_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more share."""
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op11_line_dedup"] = line_dedup.oracle_sql(min_docs=10, min_chars=1)
+
+
+@query("op12_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by their weakest cut."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+ORACLE["op12_collocations"] = collocations.oracle_sql(least=100, longest=5, top=2000)
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors projected on their 32 leading components at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
