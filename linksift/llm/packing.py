@@ -17,8 +17,9 @@ unpacks with numpy without touching what stands before it.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ from pyspark.sql.window import Window
 from linksift.llm.common import text_or_empty, written
 
 BLOCK_IDS = 1 << 16
-#: Stands for a piece that begins or ends with white space; it has no ids of its own.
-ODD = b"odd"
+#: Stands for a piece that begins or ends with white space; ids have fewer bits, so none look like it.
+ODD = b"\xff\xff\xff"
 #: Marks that a byte-level pre-tokenizer keeps together behind a word.
 MARKS = ".,;:!?*$%&#@+=~^|/\\\")]}_-"
 BLOCK_SCHEMA = "part int, first long, bits int, n_ids long, doc_ids array<long>, doc_lens array<long>, payload binary"
@@ -62,107 +63,106 @@ def unpack(payload: bytes, bits: int, n: int, start: int = 0) -> np.ndarray:
     return np.packbits(wide, axis=1, bitorder="little").view("<u4").reshape(-1)
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable bytes stand
+    for themselves, the others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+class Words(dict):
+    """The ids of words, worked out when first asked for.
+
+    What has been used since the table was last half full stays, so frequent words are never
+    lost, and there are never more than ``limit`` of them.
+    """
+
+    def __init__(self, find: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self.find, self.limit, self.before = find, limit, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.find(word)
+        if 2 * len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordCache:
     """Encodes whole texts with a byte-level tokenizer, each distinct word once.
 
     Byte-level pre-tokenizers end a word before any single blank that stands between
-    two other characters, so the ids of a text are those of its pieces cut there. New
-    pieces go to the library in one text a batch; their ids are told apart by the
-    bytes they stand for. Texts with other runs of white space are cut at safe blanks
-    only. ``limit`` bounds the memory: a full cache takes no more, and starts anew where
-    an eighth of the pieces are not in it.
+    two other characters, so the ids of a text are those of its pieces cut there. Inside
+    a piece they end a word of letters before a mark and after it, and take the last
+    character of a run of other white space by itself. So letters go to the library's model as
+    one word, marks and white space are looked up, and what is none of these (numbers, letters
+    mixed with marks, added tokens) goes to the library as it stands. Texts with other runs
+    of white space are cut at safe blanks only. ``limit`` bounds the memory.
     """
 
     SAFE = re.compile(r"(?<=\S) (?=\S)")
+    RUN = re.compile(r"([\t-\r]+)")
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.vocabulary = self.tok.get_vocab_size(with_added_tokens=True)
-        self.limit = limit
-        self.known: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
         # other pre-tokenizers may end words elsewhere: their texts go to the library whole
-        self.by_word = isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tok.normalizer is None
-        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
-        # a byte-level token has one character for each byte; added tokens stand for themselves
-        self.width = np.zeros(self.vocabulary, np.int64)
-        for word, i in self.tok.get_vocab(with_added_tokens=True).items():
-            self.width[i] = len(word.encode()) if word in special else len(word)
+        self.by_word = isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel) and self.tok.normalizer is None and not self.tok.pre_tokenizer.add_prefix_space
+        self.letters, self.model = byte_letters(), self.tok.model
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.inside = Words(lambda w: self.find(w, " "), limit)
+        self.first = Words(lambda w: self.find(w, ""), limit // 4)
+        self.marks = Words(self.library, limit // 16)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """Ids of " " + word for words without white space at their ends.
-
-        Letters and the marks behind them are encoded apart, as the pre-tokenizer does
-        it: there are far fewer of either than of both together.
-        """
-        split, new = [], set()
-        for w in words:
-            core = w.rstrip(MARKS)
-            if len(core) < len(w) and core.isalpha():
-                split.append((w, core, w[len(core) :]))
-                if core not in self.known:
-                    new.add(core)
-            else:
-                new.add(w)
-        self.ask(list(new))
-        for w, core, marks in split:
-            if marks not in self.marks:
-                self.marks[marks] = self.library(marks)
-            self.known[w] = self.known[core] + self.marks[marks]
-
-    def ask(self, words: list[str]) -> None:
-        """The library's ids of many words, by one text."""
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            text = " " + " ".join(some)
-            ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in some), np.int64, len(some)))
-            reached = np.cumsum(self.width[ids])
-            cuts = np.searchsorted(reached, ends) + 1
-            raw, before = ids.tobytes(), 0
-            if reached[-1] != ends[-1] or (reached[cuts - 1] != ends).any():
-                raise ValueError("the tokenizer does not keep bytes; it can't be used word by word")
-            for word, cut in zip(some, (4 * cuts).tolist()):
-                self.known[word] = raw[before:cut]
-                before = cut
+    def find(self, word: str, blank: str) -> bytes:
+        """Ids of a word with or without the blank before it; ``ODD`` if white space is at an end."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return ODD
+        core = word.rstrip(MARKS)
+        if core.isalpha():
+            if len(core) < len(word):
+                return (self.inside if blank else self.first)[core] + self.marks[word[len(core) :]]
+            raw = core if core.isascii() else "".join([self.letters[b] for b in core.encode()])
+            found = [t.id for t in self.model.tokenize((self.letters[32] if blank else "") + raw)]
+            return struct.pack(f"<{len(found)}I", *found)
+        parts = self.RUN.split(word)
+        if len(parts) == 1 or any(t in word for t in self.added):  # added tokens cut a text before anything else
+            return self.library(blank + word)
+        out = [self.inside[parts[0]] if blank else self.first[parts[0]]]
+        for run, part in zip(parts[1::2], parts[2::2]):
+            out += [self.marks[run[:-1]] if len(run) > 1 else b"", self.marks[run[-1]], self.first[part]]
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit integers."""
         if not self.by_word:
             return [self.library(t) for t in texts]
-        cuts = [t.split(" ") for t in texts]
-        found = [list(map(self.known.get, cut)) for cut in cuts]
-        holes, new = [], set()
-        for cut, ids in zip(cuts, found):
-            ids[0] = b""
-            holes.append([i for i, x in enumerate(ids) if x is None] if None in ids else ())
-            new.update([cut[i] for i in holes[-1]])
-        odd = [w for w in new if not w or w[0].isspace() or w[-1].isspace()]
-        self.known.update(dict.fromkeys(odd, ODD))
-        self.learn(list(new.difference(odd)))
-        out = []
-        for text, cut, ids, hole in zip(texts, cuts, found, holes):
-            for i in hole:
-                ids[i] = self.known[cut[i]]
-            if ODD in ids or not cut[0] or cut[0][0].isspace() or cut[0][-1].isspace():
-                safe = self.SAFE.split(text)
-                out.append(b"".join([self.library(safe[0]) if safe[0] else b"", *(ids if (ids := self.known.get(w, ODD)) != ODD else self.library(" " + w) for w in safe[1:])]))
-            else:
-                ids[0] = self.library(cut[0])
-                out.append(b"".join(ids))
-        if len(self.known) > self.limit:  # keep what came first, unless it no longer fits the texts
-            if 2 * len(new) > sum(map(len, cuts)) / 4:
-                self.known = {}
-            else:
-                for w in new:
-                    self.known.pop(w, None)
+        out, look = [], self.inside.__getitem__
+        for text in texts:
+            head, *rest = text.split(" ")
+            ids = self.first[head] + b"".join(map(look, rest))
+            out.append(self.by_safe_blanks(text) if ODD in ids else ids)
         return out
 
+    def by_safe_blanks(self, text: str) -> bytes:
+        """A text with special white space, cut at blanks that stand between other characters only."""
+        head, *rest = self.SAFE.split(text)
+        parts = [self.library(head) if head else b""]
+        for piece in rest:
+            ids = ODD if " " in piece else self.inside[piece]
+            parts.append(self.library(" " + piece) if ODD in ids else ids)
+        return b"".join(parts)
+
 
 _encoders: dict[str, WordCache] = {}
 
