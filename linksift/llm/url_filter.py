@@ -7,6 +7,10 @@ segments and branches that behave alike, are merged into one wildcard. A templat
 purity is its share of blocked pages, shrunk towards the template of the tree over all
 hosts, and that towards the overall share. Pages without a rule go by the purity.
 
+The tree has as many levels as the paths. Only branches that hold blocked and allowed pages
+are followed down: below one of a single kind no share can differ, so all that is left of
+its paths are wildcards. Literal ``*`` and ``{`` in a path are escaped as %2A and %7B.
+
 Every expression below is SQL text that Spark and DuckDB read alike, so the same
 definitions serve ``filter_urls`` and ``oracle_sql``.
 """
@@ -22,14 +26,14 @@ from linksift.llm.common import written
 
 #: (verdict, host, path prefix); the longest rule that fits wins
 Rule = tuple[str, str, str]
-LEVELS = 4  # segments told apart; deeper ones share the template of the fourth
 SUPPORT = 5  # pages that a literal branch needs
 STRENGTH = 10.0  # pages' worth of the prior
 REJECT = 0.5
-ANY_HOST = "*"
+ANY_HOST = "/"  # names the tree over all hosts; a host holds no slash
 
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PATTERN = "^.*?://([^/?#]*)([^?#]*)"
+ESCAPED = "replace(replace(path, '*', '%2A'), '{', '%7B')"
 #: blocked share of the branch against its siblings, |z| >= 2, without division
 KEEP = (
     f"n >= {SUPPORT} AND lab > 0 AND all_lab > lab AND "
@@ -58,26 +62,33 @@ def parsed(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     split = pages.select("page_id", F.translate(part(1), _AZ, _AZ.lower()).alias("host"), part(2).alias("path"))
     return split.select(
         "page_id", "host", "path", F.expr(rule_sql(rules, None)).alias("rule"), F.expr(rule_sql(rules, 0)).alias("ruled"),
-        F.expr("array_join(filter(split(regexp_replace(path, '[0-9]+', '{n}'), '/'), x -> x <> ''), '/')").alias("typed"),
+        F.expr(f"array_join(filter(split(regexp_replace({ESCAPED}, '[0-9]+', '{{n}}'), '/'), x -> x <> ''), '/')").alias("typed"),
     )
 
 
 def templates(groups: DataFrame) -> DataFrame:
     """The template of each (host, typed): ``groups`` has host, typed, n, lab, bad."""
-    segs = F.split("typed", "/")
-    held = groups.select("*", *[F.get(segs, F.lit(d)).alias(f"s{d + 1}") for d in range(LEVELS)], F.lit("").alias("template"))
-    held = held.withColumn("s1", F.expr("nullif(s1, '')"))
-    for d in range(1, LEVELS + 1):
-        child = held.filter(f"s{d} IS NOT NULL").groupBy("host", "template", f"s{d}").agg(*[F.sum(c).alias(c) for c in ("n", "lab", "bad")])
-        child = written(child, "url-branches")
-        node = child.groupBy("host", "template").agg(F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
-        kept = child.join(node, ["host", "template"]).filter(KEEP).select("host", "template", f"s{d}", F.lit(True).alias("kept"))
-        grown = F.when(F.col(f"s{d}").isNull(), F.col("template")).otherwise(
-            F.concat("template", F.lit("/"), F.when(F.col("kept"), F.col(f"s{d}")).otherwise(F.lit("*")))
-        )
-        held = held.join(kept, ["host", "template", f"s{d}"], "left").withColumn("template", grown).drop("kept")
-        held = written(held, "url-level")
-    return held.select("host", "typed", "template", "n", "lab", "bad")
+    segs = F.filter(F.split("typed", "/"), lambda x: x != "")
+    live = groups.select("*", segs.alias("segs"), F.lit("").alias("template"))
+    done, d = None, 0
+    while True:
+        node = live.groupBy("host", "template").agg(F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
+        mixed = written(node.filter("all_bad > 0 AND all_bad < all_lab"), "url-mixed").withColumn("mixed", F.lit(True))
+        marked = live.join(mixed.select("host", "template", "mixed"), ["host", "template"], "left")
+        goes_on = F.coalesce(F.col("mixed"), F.lit(False)) & (F.size("segs") > d)
+        rest = F.concat("template", F.repeat(F.lit("/*"), F.greatest(F.size("segs") - d, F.lit(0))))
+        ended = marked.filter(~goes_on).select("host", "typed", rest.alias("template"), "n", "lab", "bad")
+        done = ended if done is None else done.unionByName(ended)
+        live = written(marked.filter(goes_on).drop("mixed").withColumn("s", F.get("segs", F.lit(d))), "url-level")
+        if live.isEmpty():
+            return done
+        child = live.groupBy("host", "template", "s").agg(*[F.sum(c).alias(c) for c in ("n", "lab", "bad")])
+        # shares are compared among the branches that go on; pages that end at the node have no branch
+        of = child.groupBy("host", "template").agg(F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad"))
+        kept = child.join(of, ["host", "template"]).filter(KEEP).select("host", "template", "s", F.lit(True).alias("kept"))
+        step = F.concat("template", F.lit("/"), F.when(F.col("kept"), F.col("s")).otherwise(F.lit("*")))
+        live = written(live.join(kept, ["host", "template", "s"], "left").withColumn("template", step).drop("kept", "s"), "url-level")
+        d += 1
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], labels: DataFrame | None = None) -> DataFrame:
@@ -124,27 +135,29 @@ def oracle_sql(rules: Sequence[Rule]) -> str:
     sql = [
         f"split0 AS (SELECT page_id, translate({part(1)}, '{_AZ}', '{_AZ.lower()}') AS host, {part(2)} AS path FROM pages)",
         f"parsed AS (SELECT *, {rule_sql(rules, None)} AS rule, {rule_sql(rules, 0)} AS ruled, array_to_string(list_filter("
-        "string_split(regexp_replace(path, '[0-9]+', '{n}', 'g'), '/'), lambda x: x <> ''), '/') AS typed FROM split0)",
+        f"string_split(regexp_replace({ESCAPED}, '[0-9]+', '{{n}}', 'g'), '/'), lambda x: x <> ''), '/') AS typed FROM split0)",
         "own AS (SELECT host, typed, count(*) AS n, count(ruled) AS lab, count(*) FILTER (ruled = 'block') AS bad FROM parsed GROUP BY ALL)",
         "total AS (SELECT CASE WHEN coalesce(sum(lab), 0) = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(sum(bad) AS DOUBLE) / sum(lab) END AS prior FROM own)",
-        f"level0 AS (SELECT *, string_split(typed, '/') AS segs, '' AS template FROM (FROM own UNION ALL "
-        f"SELECT '{ANY_HOST}', typed, sum(n), sum(lab), sum(bad) FROM own GROUP BY typed))",
+        f"start AS (SELECT *, list_filter(string_split(typed, '/'), lambda x: x <> '') AS segs FROM (FROM own UNION ALL "
+        f"SELECT '{ANY_HOST}', typed, CAST(sum(n) AS BIGINT), CAST(sum(lab) AS BIGINT), CAST(sum(bad) AS BIGINT) FROM own GROUP BY typed))",
+        # a row goes on while its node holds pages of both kinds; d is -1 once its template is whole
+        "walk AS (SELECT 0 AS d, host, typed, n, lab, bad, segs, '' AS template FROM start UNION ALL "
+        "SELECT CASE WHEN goes_on THEN d + 1 ELSE -1 END, host, typed, n, lab, bad, segs, CASE WHEN NOT goes_on THEN template || repeat('/*', greatest(len(segs) - d, 0)) "
+        f"WHEN {KEEP.replace('n >=', 'child_n >=', 1).replace('lab > 0', 'child_lab > 0', 1).replace('all_lab > lab', 'all_lab > child_lab', 1).replace('bad * (all_lab - lab) - (all_bad - bad) * lab', 'child_bad * (all_lab - child_lab) - (all_bad - child_bad) * child_lab', 1).replace('* lab * (all_lab - lab)', '* child_lab * (all_lab - child_lab)', 1)} "
+        "THEN template || '/' || segs[d + 1] ELSE template || '/*' END FROM ("
+        "SELECT *, sum(n) OVER c AS child_n, sum(lab) OVER c AS child_lab, sum(bad) OVER c AS child_bad, "
+        "sum(CASE WHEN goes_on THEN lab ELSE 0 END) OVER w AS all_lab, sum(CASE WHEN goes_on THEN bad ELSE 0 END) OVER w AS all_bad FROM ("
+        "SELECT *, sum(bad) OVER w > 0 AND sum(bad) OVER w < sum(lab) OVER w AND len(segs) > d AS goes_on FROM walk WHERE d >= 0 WINDOW w AS (PARTITION BY host, template)) "
+        "WINDOW c AS (PARTITION BY host, template, goes_on, segs[d + 1]), w AS (PARTITION BY host, template)))",
+        "tree AS (SELECT host, typed, template, lab, bad FROM walk WHERE d = -1)",
     ]
-    for d in range(1, LEVELS + 1):
-        sql += [
-            f"child{d} AS (SELECT host, template, nullif(segs[{d}], '') AS s, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad FROM level{d - 1} GROUP BY ALL)",
-            f"kept{d} AS (SELECT host, template, s FROM (SELECT *, sum(lab) OVER w AS all_lab, sum(bad) OVER w AS all_bad FROM child{d} WHERE s IS NOT NULL"
-            f" WINDOW w AS (PARTITION BY host, template)) WHERE {KEEP})",
-            f"level{d} AS (SELECT l.* REPLACE (CASE WHEN nullif(segs[{d}], '') IS NULL THEN l.template WHEN k.s IS NULL THEN l.template || '/*' "
-            f"ELSE l.template || '/' || k.s END AS template) FROM level{d - 1} l LEFT JOIN kept{d} k ON l.host = k.host AND l.template = k.template AND k.s = l.segs[{d}])",
-        ]
     sql += [
-        f"weight AS (SELECT host, template, sum(lab) AS lab, sum(bad) AS bad FROM level{LEVELS} GROUP BY ALL)",
+        f"weight AS (SELECT host, template, sum(lab) AS lab, sum(bad) AS bad FROM tree GROUP BY ALL)",
         f"judged AS (SELECT t.host, t.typed, t.template, CASE WHEN (w.bad + {STRENGTH} * ((a.bad + CAST({STRENGTH} AS DOUBLE) * prior) / (a.lab + CAST({STRENGTH} AS DOUBLE))))"
-        f" / (w.lab + CAST({STRENGTH} AS DOUBLE)) >= {REJECT} THEN 'block' ELSE 'allow' END AS learned FROM level{LEVELS} t JOIN weight w USING (host, template)"
-        f" JOIN level{LEVELS} g ON g.host = '{ANY_HOST}' AND g.typed = t.typed JOIN weight a ON a.host = '{ANY_HOST}' AND a.template = g.template, total WHERE t.host <> '{ANY_HOST}')",
+        f" / (w.lab + CAST({STRENGTH} AS DOUBLE)) >= {REJECT} THEN 'block' ELSE 'allow' END AS learned FROM tree t JOIN weight w USING (host, template)"
+        f" JOIN tree g ON g.host = '{ANY_HOST}' AND g.typed = t.typed JOIN weight a ON a.host = '{ANY_HOST}' AND a.template = g.template, total WHERE t.host <> '{ANY_HOST}')",
     ]
     return (
-        f"WITH {', '.join(sql)} SELECT page_id, p.host, path, rule, coalesce(ruled, learned, 'allow') AS verdict, template "
+        f"WITH RECURSIVE {', '.join(sql)} SELECT page_id, p.host, path, rule, coalesce(ruled, learned, 'allow') AS verdict, template "
         "FROM parsed p LEFT JOIN judged j ON p.host = j.host AND p.typed = j.typed"
     )

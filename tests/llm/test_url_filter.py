@@ -8,6 +8,7 @@ URLS = [
     None, "", "no scheme", "http://", "HTTP://Example.ORG/es/1?q", "http://a.example.org/en/12#x", "https://example.org?x=1", "ftp://notexample.org/es/",
     "http://xorg/", "x://y://z/w", "http://shop.example.com/de/5", "http://shop.example.com/fr/", "http://com/de/", "http://h/" + "a/" * 3000, "http://É.example.net/Ü/1",
     "http://a.net/b'c/1", "http://a.net/b'c/1", "http://a.net//", "http://user@org/x", "http://org:80/x",
+    "http://*/a/b", "http://x.net/a/b", "http://y.net/c", "http://x.net/*/{n}", "http://x.net/*/7", "http://x.net/a/*", "http:///a/b",
 ]
 
 
@@ -52,3 +53,37 @@ def test_branches_of_different_purity_stay(spark):
     # hosts with labels have literal branches; the others are judged by the tree over all hosts
     assert {r.template for r in got if r.host == "h0.net"} == {"/ads/*", "/news/*"}
     assert {r.template for r in got if r.host == "h1.net"} == {"/*/*"}
+
+
+def test_rows_stay_single(spark):
+    urls = ["http://*/a/b", "http://x.net/a/b", "http://y.net/c", "http:///a/b"]
+    got = filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), URL_RULES).collect()
+    assert sorted(r.page_id for r in got) == [0, 1, 2, 3] and all(r.template for r in got)
+
+
+def test_deep_branches(spark):
+    # what tells the pages apart stands at the seventh segment; some paths end above it
+    urls = [(i, f"http://h.net/2024/05/12/shop/de/list/{'ads' if i % 2 else 'news'}/{i}/x") for i in range(200)]
+    urls += [(i, f"http://h.net/2024/{'05/12' if i % 3 else '*'}") for i in range(200, 260)]
+    labels = [(i, i % 2) for i in range(0, 200, 3)] + [(i, 0) for i in range(200, 230)]
+    pages, known = spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")
+    got = {r.page_id: r for r in filter_urls(pages, [], known).collect()}
+    assert len(got) == 260
+    assert all(got[i].verdict == ("block" if i % 2 else "allow") for i in range(200))
+    assert got[1].template.endswith("/ads/*/*") and got[1].template.count("/") == 9
+
+
+def test_deep_branches_against_sql(spark):
+    # the rules label the pages: /de/ below com is blocked, /fr/ allowed
+    import random
+
+    r = random.Random(2)
+    urls = [f"http://h{i % 2}.com/{r.choice(['de', 'fr', 'es'])}/" + "/".join(r.choice(["a", "b", "7", "*"]) for _ in range(r.randint(0, 7))) for i in range(500)]
+    rules = (("block", "com", "/de/a"), ("allow", "com", "/fr"), ("block", "com", "/es/b/7"), ("allow", "com", "/es/b/a"), ("block", "com", "/de/b/b/a"), ("allow", "com", "/de/b/b/b"))
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame({"page_id": range(len(urls)), "url": urls}))
+    want = sorted(con.execute(oracle_sql(rules)).fetchall(), key=str)
+    got = sorted(map(tuple, filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()), key=str)
+    assert got == want
+    # a branch below the first segment stays literal
+    assert max(i for row in got for i, s in enumerate(row[5].split("/")) if s not in ("", "*")) >= 2
