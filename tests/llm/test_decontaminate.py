@@ -20,17 +20,17 @@ def test_kinds(spark, bench, no_docs):
         1: FILL + ITEM + ". " + FILL,
         2: FILL + ITEM.replace(" and ", "; AND ").replace("then", "THEN").replace(" pears", "\n - pears"),
         3: ITEM.replace("Olga", "Nadia").replace("12", "30").replace("5 kg", "8 lbs").replace("Boris", "Ivan").replace("7 dollars", "9 euros"),
-        4: ITEM.replace("Olga has 12", "Nadia has 30"),  # the same name and number again with other values
+        4: ITEM.replace("Olga has 12", "Nadia has 30"),  # a name and a number changed once only, but 17 of 23 words in one run
         5: FILL, 6: None, 7: "", 8: "short item, of FIVE words!", 9: "too few words", 10: " ".join(ITEM.split()[:9]),
     }
     df = spark.createDataFrame([(k, v, "x", "y") for k, v in docs.items()] + [(None, ITEM, "x", "y"), (1, docs[1], "x", "y")], "doc_id long, text string, h string, place string")
     got = contaminated(df, bench).collect()
     kinds = {(r.doc_id, r.item_id): r.kind for r in got}
-    assert kinds == {(1, 1): "verbatim", (2, 1): "verbatim", (3, 1): "reparameterised", (8, 2): "verbatim", (None, 1): "verbatim"}
+    assert kinds == {(1, 1): "verbatim", (2, 1): "verbatim", (3, 1): "reparameterised", (4, 1): "verbatim", (8, 2): "verbatim", (None, 1): "verbatim"}
     assert sum(r.doc_id == 1 for r in got) == 2  # repeated rows are judged each
     kept = clean_documents(df, bench)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 7, 9, 10]
+    assert sorted(r.doc_id for r in kept.collect()) == [5, 6, 7, 9, 10]
     assert contaminated(no_docs, bench).count() == 0
     assert contaminated(df, bench.limit(0)).count() == 0
 
