@@ -49,6 +49,10 @@ def prepared(df: DataFrame) -> DataFrame:
     return require_features(df).withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in FEATURES})
 
 
+def gram_stage(dim: int = 256) -> CharNGramHasher:
+    return CharNGramHasher(inputCol="url", outputCol="_ngrams", numFeatures=dim)
+
+
 def build_preprocessor(use_ngrams: bool = True, dim: int = 256, cuts: list[list[float]] | None = None) -> Pipeline:
     """31 standardised features (or, with ``cuts``, their cut numbers), 19 as they are, hashed n-grams."""
     if cuts is None:
@@ -61,7 +65,7 @@ def build_preprocessor(use_ngrams: bool = True, dim: int = 256, cuts: list[list[
         leading = [f"_cut_{c}" for c in CONTINUOUS_FEATURES]
         splits = [[-float("inf"), *c, float("inf")] for c in cuts]
         first = [Bucketizer(splitsArray=splits, inputCols=list(CONTINUOUS_FEATURES), outputCols=leading)]
-    grams = [CharNGramHasher(inputCol="url", outputCol="_ngrams", numFeatures=dim)] if use_ngrams else []
+    grams = [gram_stage(dim)] if use_ngrams else []
     tail = ["_ngrams"] if use_ngrams else []
     last = VectorAssembler(inputCols=[*leading, *PASSTHROUGH_FEATURES, *tail], outputCol="features")
     return Pipeline(stages=[*first, *grams, last])
@@ -404,6 +408,18 @@ def _areas(scored: DataFrame, group: list[str]) -> DataFrame:
     return stepped.groupBy(*group).agg(area.alias("auc"))
 
 
+def tested_features(model: Member | Blend | Calibrated) -> frozenset[str]:
+    """The features that some tree of the model tests, or that have a weight in it."""
+    if isinstance(model, Calibrated):
+        return frozenset().union(*[tested_features(m) for m, _ in model.pairs])
+    if isinstance(model, Blend):
+        return frozenset().union(*[tested_features(m) for m in model.members])
+    # the vector begins with the single features in this order
+    order = (*CONTINUOUS_FEATURES, *PASSTHROUGH_FEATURES)
+    weights = model.clf.coefficients if isinstance(model.clf, LogisticRegressionModel) else model.clf.featureImportances
+    return frozenset(c for c, w in zip(order, weights.toArray()) if w != 0)
+
+
 def permutation_importance(
     df: DataFrame,
     score: Callable[[DataFrame], DataFrame],
@@ -411,12 +427,19 @@ def permutation_importance(
     seed: int = 42,
     key: str = "url",
     columns: tuple[str, ...] = FEATURES,
+    tested: frozenset[str] | None = None,
+    grams: CharNGramHasher | None = None,
 ) -> DataFrame:
     """(feature, mean, std): loss of ROC-AUC when one feature is shuffled, largest first.
 
     All rows take part. In each repeat a row takes the values of the row at another
     place, in the order of a hash; all copies - feature x repeat - are scored in one pass.
+    Features that no part of the model tests (see ``tested_features``) lose nothing by it and
+    need no copies. With ``grams`` a row's n-grams are hashed once for all its copies.
     """
+    idle = [c for c in columns if tested is not None and c not in tested]
+    columns = tuple(c for c in columns if c not in idle)
+    df = grams.transform(df) if grams is not None else df
     n = df.count()
     placed = _numbered(df, [], [key, F.lit(seed)], n, "_pos")
     rounds = placed.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_round"))
@@ -431,6 +454,9 @@ def permutation_importance(
     ).drop("_other")
     scored = score(swapped).select("_feature", "_round", "label", F.col("probability").alias("score"))
     aucs = _areas(scored, ["_feature", "_round"])
+    if idle:
+        still = aucs.filter("_feature = ''").select(F.explode(F.array(*[F.lit(c) for c in idle])).alias("_feature"), F.lit(1).alias("_round"), "auc")
+        aucs = aucs.unionByName(still)
     # a row for each feature and repeat
     base = F.max(F.when(F.col("_feature") == "", F.col("auc"))).over(W.partitionBy())
     return (

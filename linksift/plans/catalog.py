@@ -22,7 +22,9 @@ from linksift.operators.models import (
     calibrate,
     cross_validate,
     fit_model,
+    gram_stage,
     permutation_importance,
+    tested_features,
     vector_names,
 )
 from linksift.operators.ngrams import char_ngrams
@@ -523,7 +525,12 @@ def q_perm_importance(spark, sf):
     """Importance on the held-out part for a forest that was fitted on the other part."""
     rows = stratified_split(T_.feature_table(spark, sf), KEY)
     forest = fit_model(rows.filter("part = 'train'"), "rf", QUICK, KEY)
-    return rounded(permutation_importance(rows.filter("part = 'test'"), forest.score, QUICK.permutation_repeats, key="url_id"))
+    return rounded(
+        permutation_importance(
+            rows.filter("part = 'test'"), forest.score, QUICK.permutation_repeats, key="url_id",
+            tested=tested_features(forest), grams=gram_stage(QUICK.ngram_dim),
+        )
+    )
 
 
 def q_tree_contributions(spark, sf):
@@ -548,7 +555,8 @@ def q_online_update(spark, sf):
     parsed = with_url_features(T_.feedback(spark, sf), flags=False).filter("error IS NULL")
     batch = parsed.select(F.col("true_label").alias("label"), *FEATURES)
     state = online_update(empty_state(), batch, rate=EPOCH_RATE)
-    return rounded(state_table(spark, state).select("feature", "n", "mean", "scale", "coef", "intercept"))
+    # weights of counts can lie exactly between two numbers of six places
+    return rounded(state_table(spark, state).select("feature", "n", "mean", "scale", "coef", "intercept"), coef=9)
 
 
 def q_model_roundtrip(spark, sf):

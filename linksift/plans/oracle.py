@@ -490,7 +490,7 @@ _ONLINE = f"""fed AS (
 )"""
 _ONLINE_ROWS = "\nUNION ALL\n".join(
     f"""SELECT '{f}' AS feature, CAST(n AS BIGINT) AS n, round(m_{f}, 6) AS mean, round(s_{f}, 6) AS scale,
-  round(sign(-0.5 * g_{f}) * greatest(abs(-0.5 * g_{f}) - {d(0.5 * 1e-4 * 0.15)}, 0), 6) AS coef, round(-0.5 * b, 6) AS intercept FROM moments, pulls"""
+  round(sign(-0.5 * g_{f}) * greatest(abs(-0.5 * g_{f}) - {d(0.5 * 1e-4 * 0.15)}, 0), 9) AS coef, round(-0.5 * b, 6) AS intercept FROM moments, pulls"""
     for f in _ON
 )
 

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from linksift.config import JobConfig, fingerprint, read_settings, settings_row
+from linksift.constants import FEATURES
 from linksift.operators.evaluate import roc_auc
 from linksift.operators.explain import tree_contributions
-from linksift.operators.models import vector_names
+from linksift.operators.models import gram_stage, permutation_importance, tested_features, vector_names
 from linksift.operators.mutate import MUTATORS, mutate_urls
 from linksift.operators.ngrams import char_ngrams
 from linksift.operators.online import empty_state, online_update, state_from_table, state_table, with_online_prob
@@ -26,6 +27,18 @@ def test_forest_separates_the_corpus(spark, sf):
     assert roc_auc(scored).first()[0] > 0.9
 
 
+def test_importance_without_needless_copies(spark, sf):
+    """Features that no tree tests lose nothing, and grams hashed once change no figure."""
+    member = T_.forest(spark, sf)
+    rows = T_.feature_table(spark, sf).limit(60)
+    tested = tested_features(member)
+    some = (*sorted(tested)[:3], *[c for c in FEATURES if c not in tested][:2])
+    assert 0 < len(tested) < len(FEATURES)
+    whole = permutation_importance(rows, member.score, 2, key="url_id", columns=some).collect()
+    short = permutation_importance(rows, member.score, 2, key="url_id", columns=some, tested=tested, grams=gram_stage(T_.QUICK.ngram_dim)).collect()
+    assert [tuple(r) for r in short] == [tuple(r) for r in whole] and len(short) == 5
+
+
 def test_contributions_explain_the_forest(spark, sf):
     """Without the weighting of steps, path sums end at the leaf; with it they keep sign and bound."""
     member = T_.forest(spark, sf)
