@@ -16,9 +16,11 @@ so the phrase is counted in exactly the steps t to t + shards - 1, whether the b
 right or not. A false hit costs the count of a phrase that stays below the threshold; it
 changes no count.
 
-Inside a task the grams of a block of texts are numbered exactly (a gram is the
-number of its first words and its last word), not hashed; counts travel with the
-phrase's text.
+The corpus is cut into words once: a shard's rows are blocks of a few megabytes of text of one
+language, as the block's distinct words and their numbers in order. Grams of a block are
+numbered exactly, as a pair of the number of their first words and their last word.
+Between tasks a phrase travels as 128 bits of hashes of its language and words; a last scan
+spells out those that reached the threshold.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +43,8 @@ SHARDS = 3
 #: Bits of the bitmap of phrases over the threshold; the size of what is broadcast, whatever the input.
 FILTER_BITS = 1 << 25
 PROBES, CHUNK_BITS = 4, 1 << 16
-#: Characters of text whose grams are numbered together.
-BLOCK = 1 << 23
+#: Characters of text whose words are numbered together.
+BLOCK = 1 << 22
 STOPS = ".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + STOPS.encode(), b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(STOPS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -55,139 +57,179 @@ def _scramble(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[str], lang: str) -> np.ndarray:
-    salt = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), salt) for w in words), np.uint64, len(words))
+def word_hashes(words: list[bytes], lang: str) -> np.ndarray:
+    """Two 64-bit hashes of each word in a language."""
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(w, seed) for w in words]), "<u8").reshape(-1, 2)
 
 
 def longer_hash(gram: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from the one of its first words and that of its last word."""
+    """Hashes of phrases from those of their first words and those of their last word."""
     with np.errstate(over="ignore"):
         return _scramble(gram * _MIX + last)
 
 
-def _places(h: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    step = _scramble(h ^ _MIX) | np.uint64(1)
+def _place(h: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """The bit of each hash for one of the probes."""
     with np.errstate(over="ignore"):
-        for i in range(PROBES):
-            yield (h + np.uint64(i) * step) % np.uint64(bits)
+        return (h + np.uint64(probe) * (_scramble(h ^ _MIX) | np.uint64(1)) if probe else h) % np.uint64(bits)
 
 
 def holds(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Whether the bitmap may hold each hash; never false for one that was put in."""
     found = np.ones(len(h), bool)
-    for at in _places(h, 8 * len(bitmap)):
-        found &= (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    left = np.arange(len(h))
+    for i in range(PROBES):  # most that are not in it go at the first probe
+        at = _place(h[left], i, 8 * len(bitmap))
+        hit = (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        found[left[~hit]] = False
+        left = left[hit]
     return found
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
-    """Numbers of the words of some texts in order (-1 between pieces), and the words."""
+def tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words of some texts, and their numbers in order (-1 between pieces)."""
     raw = "\n".join(texts).encode("utf-8", "surrogatepass").translate(_TABLE).replace(b"\n", b" \n ")
     split = pc.split_pattern(pa.array([raw], pa.large_binary()), b" ").values.dictionary_encode()
-    number, words = split.indices.to_numpy(), split.dictionary
-    kind = np.zeros(len(words), np.int8)
-    for mark, of in ((b"", 1), (b"\n", 2)):
-        at = pc.index(words, pa.scalar(mark, words.type)).as_py()
-        if at >= 0:
-            kind[at] = of
-    number = number[kind[number] != 1]
-    return np.where(kind[number] == 2, -1, number).astype(np.int64), words
+    number, words = split.indices.to_numpy(), split.dictionary.to_pylist()
+    new = np.full(len(words), -1, np.int32)
+    kept = np.array([w not in (b"", b"\n") for w in words], bool)
+    new[kept] = np.arange(kept.sum())
+    blank = words.index(b"") if b"" in words else -1
+    return [w for w in words if w not in (b"", b"\n")], new[number[number != blank]]
 
 
-def grams(texts: list[str], lang: str, now: np.ndarray | None, old: np.ndarray | None, longest: int, words_too: bool) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of what is active in some texts of one language.
-
-    ``now`` is the bitmap before this step, ``old`` the one a full cycle earlier: what it
-    activates has been counted everywhere. The phrase "" stands for the number of words.
-    """
-    number, words = tokens(texts)
-    inside = number >= 0
-    if not inside.any():
-        return
-    if words_too:
-        count = np.bincount(number[inside], minlength=len(words))
-        seen = np.flatnonzero(count)
-        yield words.take(pa.array(seen)), count[seen]
-        yield pa.array([b""], words.type), np.array([count.sum()])
-    if now is None:
-        return
-    of_word = word_hashes([w.decode("utf-8", "surrogatepass") for w in words.to_pylist()], lang)
-    n = len(number)
-    # of the gram of the present length that begins at each place
-    frequent, done = np.zeros(n, bool), np.zeros(n, bool)
-    frequent[inside] = holds(now, of_word)[number[inside]]
-    if old is not None:
-        done[inside] = holds(old, of_word)[number[inside]]
-    gram, hashed = number.copy(), np.where(inside, of_word[number], 0).astype(np.uint64)
-    for length in range(2, longest + 1):
-        at = np.flatnonzero(frequent[:-1] & frequent[1:])  # a place between pieces is never frequent
-        if not len(at):
-            return
-        last = number[at + length - 1]
-        over = done[at] & done[at + 1]
-        _, first, gram_of = np.unique(gram[at] * (len(words) + 1) + last, return_index=True, return_inverse=True)
-        count = np.bincount(gram_of[~over], minlength=len(first))
-        seen = np.flatnonzero(count)
-        if len(seen):
-            begin = at[first[seen]]
-            yield pc.binary_join_element_wise(*[words.take(pa.array(number[begin + j])) for j in range(length)], pa.scalar(b" ", words.type)), count[seen]
-        if length == longest:
-            return
-        h = longer_hash(hashed[at], of_word[last])
-        by_gram = h[first]
-        frequent, done = np.zeros(n, bool), np.zeros(n, bool)
-        frequent[at] = holds(now, by_gram)[gram_of]
-        if old is not None:
-            done[at] = holds(old, by_gram)[gram_of]
-        gram[at], hashed[at] = gram_of, h
-
-
-def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool) -> DataFrame:
-    """lang, phrase and f (its occurrences in the shard) of all active phrases."""
+def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
+    """shard, lang, words (parted by blanks) and numbers (32-bit integers) of each block."""
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text")).filter("text <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, old = sent.value
         held: dict[str, list[str]] = {}
         size: dict[str, int] = {}
+        turn = TaskContext.get().partitionId()
 
-        def flush(lang: str) -> Iterator[pa.RecordBatch]:
-            for phrases, counts in grams(held.pop(lang), lang, now, old, longest, words_too):
-                size[lang] = 0
-                for at in range(0, len(counts), 100_000):
-                    some = phrases[at : at + 100_000].cast(pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(counts[at : at + 100_000], pa.int64())], ["lang", "phrase", "f"])
-            size[lang] = 0
+        def block(lang: str) -> pa.RecordBatch:
+            nonlocal turn
+            size.pop(lang)
+            words, number = tokens(held.pop(lang))
+            turn += 1
+            row = [pa.array([turn % shards], pa.int32()), pa.array([lang], pa.string()), pa.array([b" ".join(words)], pa.binary()), pa.array([number.astype("<i4").tobytes()], pa.binary())]
+            return pa.RecordBatch.from_arrays(row, ["shard", "lang", "words", "numbers"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
                 for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
                     held.setdefault(lang, []).append(text)
                     size[lang] = size.get(lang, 0) + len(text)
                     if size[lang] >= BLOCK:
-                        yield from flush(lang)
+                        yield block(lang)
+                    elif sum(size.values()) >= 4 * BLOCK:  # many languages at once
+                        yield block(max(size, key=size.get))
         for lang in list(held):
-            yield from flush(lang)
+            yield block(lang)
+
+    return rows.mapInArrow(run, "shard int, lang string, words binary, numbers binary")
+
+
+class Grams:
+    """The grams of one block whose subphrases are in the bitmap ``now``.
+
+    ``old`` is the bitmap a full cycle earlier: what it activates has been counted everywhere.
+    """
+
+    def __init__(self, lang: str, words: bytes, numbers: bytes, now: np.ndarray | None, old: np.ndarray | None):
+        self.words = words.split(b" ") if words else []
+        self.number = np.frombuffer(numbers, "<i4").astype(np.int64)
+        self.inside = self.number >= 0
+        self.of_word = word_hashes(self.words, lang)
+        self.now, self.old = now, old
+
+    def counted_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and counts of all words; no subphrase need be frequent for them."""
+        return self.of_word, np.bincount(self.number[self.inside], minlength=len(self.words))
+
+    def levels(self, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]]:
+        """For each length from 2 on: hashes and counts of the grams to be counted, and
+        the length, hashes and a place of each gram of that length that the bitmap holds."""
+        n, size = len(self.number), len(self.words)
+        if self.now is None or not size:
+            return
+
+        def in_old(h: np.ndarray) -> np.ndarray:
+            return holds(self.old, h[:, 0]) if self.old is not None else np.zeros(len(h), bool)
+
+        # by place: does a frequent gram of the present length begin here, and which
+        frequent, done, gram, hashes = np.zeros(n, bool), np.zeros(n, bool), self.number, self.of_word
+        frequent[self.inside] = holds(self.now, hashes[:, 0])[self.number[self.inside]]
+        done[self.inside] = in_old(hashes)[self.number[self.inside]]
+        for length in range(2, longest + 1):
+            at = np.flatnonzero(frequent[:-1] & frequent[1:])  # a place between pieces is never frequent
+            if not len(at):
+                return
+            last = self.number[at + length - 1]
+            key = gram[at] * size + last
+            due, f = np.unique(key[~(done[at] & done[at + 1])], return_counts=True)
+            counted = longer_hash(hashes[due // size], self.of_word[due % size])
+            in_now = holds(self.now, longer_hash(hashes[gram[at], 0], self.of_word[last, 0]))
+            at, key = at[in_now], key[in_now]
+            distinct, first, of = np.unique(key, return_index=True, return_inverse=True)
+            hashes = longer_hash(hashes[distinct // size], self.of_word[distinct % size])
+            yield counted, f, length, hashes, at[first]
+            frequent, done, gram = np.zeros(n, bool), np.zeros(n, bool), np.full(n, -1, np.int64)
+            frequent[at], done[at], gram[at] = True, in_old(hashes)[of], of
+
+    def spelled(self, place: np.ndarray, length: int) -> list[bytes]:
+        return [b" ".join([self.words[i] for i in self.number[p : p + length].tolist()]) for p in place.tolist()]
+
+
+def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool) -> DataFrame:
+    """h1, h2 and f (occurrences in a block) of all active phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, old = sent.value
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = Grams(*(batch.column(c)[row].as_py() for c in range(3)), now, old)
+                for h, f in [block.counted_words()] * words_too + [level[:2] for level in block.levels(longest)]:
+                    for at in range(0, len(f), 100_000):
+                        two = h[at : at + 100_000].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(f[at : at + 100_000], pa.int64())], ["h1", "h2", "f"])
+
+    return shard.mapInArrow(run, "h1 long, h2 long, f long")
+
 
-    return shard.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+def spell(blocks: DataFrame, sent: Broadcast, longest: int) -> DataFrame:
+    """lang, phrase, h1, h2, n of the phrases that the bitmap holds, some more than once; and
+    each block's number of words n with the phrase ""."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang = batch.column(0)[row].as_py()
+                block = Grams(lang, batch.column(1)[row].as_py(), batch.column(2)[row].as_py(), sent.value, None)
+                found = [([b""], np.zeros((1, 2), np.uint64), int(block.inside.sum()))]
+                if sent.value is not None and block.words:
+                    seen = np.flatnonzero(holds(sent.value, block.of_word[:, 0]))
+                    found.append(([block.words[i] for i in seen.tolist()], block.of_word[seen], 0))
+                found += [(block.spelled(place, length), h, 0) for _, _, length, h, place in block.levels(longest)]
+                for phrases, h, n in found:
+                    two, m = np.ascontiguousarray(h).view(np.int64), len(phrases)
+                    text = pa.array(phrases, pa.binary()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), text, pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array([n] * m, pa.int64())], ["lang", "phrase", "h1", "h2", "n"])
+
+    return blocks.mapInArrow(run, "lang string, phrase string, h1 long, h2 long, n long")
 
 
 def put(bitmap: np.ndarray | None, phrases: DataFrame, bits: int) -> np.ndarray | None:
-    """The bitmap with some phrases put in. They are hashed on the executors; the driver
-    gets pieces of the bitmap, at most its own size."""
+    """The bitmap with some phrases (their h1) put in. Their bits are set on the executors; the
+    driver gets pieces of the bitmap, at most its own size."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.zeros(batch.num_rows, np.uint64)
-            for i, (lang, phrase) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                parts = word_hashes(phrase.split(" "), lang)
-                h = parts[:1]
-                for j in range(1, len(parts)):
-                    h = longer_hash(h, parts[j : j + 1])
-                out[i] = h[0]
-            at = np.unique(np.concatenate(list(_places(out, bits)))).astype(np.int64) if len(out) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(at // CHUNK_BITS), pa.array(at % CHUNK_BITS, pa.int64())], ["chunk", "bit"])
+            h = batch.column(0).to_numpy().view(np.uint64)
+            at = np.unique(np.concatenate([_place(h, i, bits) for i in range(PROBES)])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at // CHUNK_BITS), pa.array(at % CHUNK_BITS)], ["chunk", "bit"])
 
     def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         flat = np.zeros(CHUNK_BITS, np.uint8)
@@ -214,11 +256,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     if bits % CHUNK_BITS:
         raise ValueError(f"the number of bits must be a multiple of {CHUNK_BITS}")
     spark: SparkSession = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"), F.xxhash64("doc_id").alias("h"))
     path = fresh_path(spark, "phrase-shards")
-    dealt = rows.filter("text <> ''").select("lang", "text", F.pmod(F.xxhash64("h", "text"), F.lit(shards)).cast("int").alias("shard"))
-    dealt.write.partitionBy("shard").parquet(path)
-    corpus = spark.read.schema("lang string, text string, shard int").parquet(path)
+    coded_blocks(docs, shards).write.partitionBy("shard").parquet(path)
+    blocks = spark.read.schema("lang string, words binary, numbers binary, shard int").parquet(path)
 
     bitmaps: list[np.ndarray | None] = [None]  # before this step and the ones a cycle back
     state: DataFrame | None = None
@@ -226,19 +266,24 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     while step < shards or not _same(bitmaps[-1], bitmaps[0]):
         now, old = bitmaps[-1], bitmaps[0] if step >= shards else None
         sent = spark.sparkContext.broadcast((now, old))
-        found = scan(corpus.filter(F.col("shard") == step % shards).select("lang", "text"), sent, longest, step < shards)
-        found = found.select("lang", "phrase", "f", F.lit(step).alias("since"), F.lit(False).alias("known"))
+        found = scan(blocks.filter(F.col("shard") == step % shards).select("lang", "words", "numbers"), sent, longest, step < shards)
+        found = found.select("h1", "h2", "f", F.lit(step).alias("since"), F.lit(False).alias("known"))
         if state is not None:
             # phrases whose cycle is over stay only if they reached the threshold
-            held = state.filter((F.col("since") > step - shards) | (F.col("f") >= least) | (F.col("phrase") == ""))
-            held = held.withColumn("known", F.col("f") >= least)
-            found = held.union(found).groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.min("since").alias("since"), F.max("known").alias("known"))
-        state = written(found, f"phrases-{step}")
+            held = state.filter((F.col("since") > step - shards) | (F.col("f") >= least)).withColumn("known", F.col("f") >= least)
+            found = held.union(found)
+        merged = found.groupBy("h1", "h2").agg(F.sum("f").alias("f"), F.min("since").alias("since"), F.max("known").alias("known"))
+        state = written(merged, f"phrases-{step}")
         sent.destroy()
-        reached = state.filter((F.col("f") >= least) & ~F.col("known") & (F.col("phrase") != ""))
-        bitmaps = [*bitmaps, put(now, reached.select("lang", "phrase"), bits)][-shards - 1 :]
+        bitmaps = [*bitmaps, put(now, state.filter((F.col("f") >= least) & ~F.col("known")).select("h1"), bits)][-shards - 1 :]
         step += 1
-    return state.filter((F.col("f") >= least) | (F.col("phrase") == "")).select("lang", "phrase", "f")
+    sent = spark.sparkContext.broadcast(bitmaps[-1])
+    spelled = written(spell(blocks.select("lang", "words", "numbers"), sent, longest), "spelled")
+    sent.destroy()
+    counts = state.filter(F.col("f") >= least).select("h1", "h2", "f")
+    names = spelled.filter("phrase <> ''").select("lang", "phrase", "h1", "h2").dropDuplicates(["h1", "h2"])
+    total = spelled.filter("phrase = ''").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter("f > 0")
+    return counts.join(names, ["h1", "h2"]).select("lang", "phrase", "f").union(total)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, percent: int = KEPT_PERCENT, **how: int) -> DataFrame:

@@ -78,15 +78,19 @@ def test_counts_do_not_depend_on_the_bitmap(spark):
     assert {(r.lang, r.phrase): r.f for r in small.collect()} == want == {(r.lang, r.phrase): r.f for r in wide.collect()}
 
 
-def test_blocks(spark, monkeypatch):
+def test_blocks():
     rows = [("en", f"one two three {i % 5} four five six. one two") for i in range(50)]
+    full = np.full(1 << 13, 255, np.uint8)
     got = Counter()
     for at in range(0, 50, 7):
-        for phrases, f in c.grams([t for _, t in rows[at : at + 7]], "en", np.full(1 << 13, 255, np.uint8), None, 5, True):
-            for p, a in zip(phrases.to_pylist(), f.tolist()):
-                got[p.decode()] += a
-    f, n = counts(rows, 5)
-    assert got == Counter({" ".join(p): a for p, a in f["en"].items()}) + Counter({"": n["en"]})
+        words, number = c.tokens([t for _, t in rows[at : at + 7]])
+        block = c.Grams("en", b" ".join(words), number.astype("<i4").tobytes(), full, None)
+        got.update({w.decode(): a for w, a in zip(block.words, block.counted_words()[1].tolist())})
+        for h, f, length, all_h, place in block.levels(5):
+            order = {tuple(x): a for x, a in zip(h.tolist(), f.tolist())}
+            got.update({p.decode(): order[tuple(x)] for p, x in zip(block.spelled(place, length), all_h.tolist())})
+    f, _ = counts(rows, 5)
+    assert got == Counter({" ".join(p): a for p, a in f["en"].items()})
 
 
 def test_long_products(spark):
