@@ -41,3 +41,18 @@ def tokenizer_file(name: str) -> str:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+#: A key is heavy if it has one of so many rows or more; there can be no more heavy keys than that.
+HEAVY = 100_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join with a table of one row a key, in which ``size`` is (a bound from above of) the
+    number of rows of ``left`` with that key, of ``total`` in all. Heavy keys are broadcast, at most
+    ``HEAVY`` of them whatever the input; the others are joined by key, none of them hot."""
+    heavy_from = F.col(size) * HEAVY >= F.lit(total)
+    heavy, light = right.filter(heavy_from), right.filter(~heavy_from)
+    few = F.broadcast(heavy)
+    rest = left.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return left.join(few, key).unionByName(rest.join(light, key))

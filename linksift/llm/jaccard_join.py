@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linksift.llm.common import text_or_empty, written
+from linksift.llm.common import spread_join, text_or_empty, written
 from linksift.llm.components import connected_components
 
 WORDS = 5
@@ -358,14 +358,20 @@ def _pair_tasks(pairs: DataFrame, block: int = INDEX_BLOCK) -> DataFrame:
 def _list_tasks(places: DataFrame, component: DataFrame) -> DataFrame:
     """Tasks for the members of long lists that are still in different groups.
 
-    Lists that share members form a family, so that two members of many common lists
-    meet in one task only. In each family the members outside its largest group are
-    queries against all members, block by block.
+    Only lists with members of two groups or more are looked at, and for their connections
+    with one row for each (list, group), however many members of it are on the list. Groups
+    that share such lists form a family, so that two members of many common lists meet in one
+    task only. In each family the members outside its largest group are queries against all
+    members on such lists, block by block.
     """
-    edges = places.select(F.col("token").alias("a"), F.col("cid").alias("b"))
-    family = connected_components(edges).select(F.col("node").alias("cid"), F.col("component").alias("family"))
-    members = places.select("cid").distinct().join(family, "cid").join(component.withColumnRenamed("node", "cid"), "cid", "left")
-    members = written(members.select("cid", "family", F.coalesce("component", "cid").alias("part")), "families")
+    part_of = component.withColumnsRenamed({"node": "cid", "component": "part"})
+    on = written(places.join(part_of, "cid", "left").select("token", "cid", F.coalesce("part", "cid").alias("part")), "list-parts")
+    open_lists = written(on.groupBy("token").agg(F.count(F.lit(1)).alias("places"), F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("token", "places"), "open-lists")
+    on = written(spread_join(on, open_lists, "token", "places", on.count()).select("token", "cid", "part"), "open-places")
+    # a list's name is a shingle, a group's that of a class: told apart by a hash of either kind
+    edges = on.select(F.xxhash64(F.lit("list"), "token").alias("a"), F.xxhash64(F.lit("group"), "part").alias("b"), "part").distinct()
+    family = connected_components(edges).select(F.col("node").alias("b"), F.col("component").alias("family")).join(edges.select("b", "part").distinct(), "b")
+    members = written(on.select("cid", "part").distinct().join(family.select("part", "family"), "part").select("cid", "family", "part"), "families")
     groups = members.groupBy("family", "part").agg(F.count(F.lit(1)).alias("k"))
     shape = groups.groupBy("family").agg(F.sum("k").alias("k"), F.max_by("part", F.struct("k", "part")).alias("main"), F.max("k").alias("main_k"))
     shape = shape.filter("k > main_k").select(
@@ -421,8 +427,8 @@ def similar_groups(
     short = written(short.select("a", "b"), "short-pairs")
     places = written(found.filter("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("cid"), F.col("n_b").alias("own")).distinct(), "long-places")
     # the first member of a long list is the one with the fewest shingles of its own: nearest to what all share
-    hub = places.groupBy("token").agg(F.min_by("cid", F.struct("own", "cid")).alias("hub"), F.min("own").alias("hub_own"))
-    star = written(places.join(hub, "token").filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "hub_own").distinct(), "stars")
+    hub = places.groupBy("token").agg(F.min_by("cid", F.struct("own", "cid")).alias("hub"), F.min("own").alias("hub_own"), F.count(F.lit(1)).alias("places"))
+    star = written(spread_join(places, written(hub, "hubs"), "token", "places", places.count()).filter("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b"), "hub_own").distinct(), "stars")
     pairs = written(short.union(star.select("a", "b")).distinct(), "pairs")
 
     # one row of text for each class that is compared
