@@ -2,13 +2,15 @@
 
 Merge-type (BPE) segmentation joins, again and again, the neighbouring symbols whose
 union is the best piece. With dropout each candidate merge is struck off the agenda
-with some probability; here a keyed hash of the word and of the candidate's place in it
-decides, so the same seed gives the same cut on any cluster, another seed another
+with some probability. A hash decides, keyed by the seed, the document's id, the place of
+the word in the document and the candidate's place in the word: every occurrence of a word is
+drawn for itself, the same seed gives the same cut on any cluster, another seed another
 cut, and no dropout the library's own. Every segmentation decodes to the text.
 
-``variants`` cuts of a word are in use at a time: a keyed hash of the document's id
-picks one for the whole document. That makes the cut of a word a function of
-(seed, variant, word), which a worker keeps for the next time.
+What does not depend on the key is kept by a worker: the merges that the agenda takes for a
+word (its course), and the courses after some of them are struck. An occurrence follows
+the word's course up to its own first struck merge and goes on with the course after that one.
+Courses are found when an occurrence first needs them; none is left out.
 """
 
 from __future__ import annotations
@@ -18,23 +20,25 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linksift.llm.common import text_or_empty
 
 DROPOUT = 0.1
-VARIANTS = 4
-#: Words longer than this go through the agenda one by one, shorter ones many at once.
-MANY = 24
-KEPT = 600_000
+#: Longer words go through the agenda once for each occurrence, shorter ones share courses.
+SHARED = 24
+#: A worker forgets its courses beyond this many; they are found again when needed.
+KEPT = 400_000
+#: Characters of text that are cut at a time.
+AT_A_TIME = 1_000_000
 BLANK = "▁"
 WORD = re.compile(" +[^ ]*")
-_NEVER = np.iinfo(np.int64).max
+_GOLDEN, _FULL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -48,216 +52,259 @@ def _key(*parts: object) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
+def _place(a: int, b: int, e: int) -> int:
+    """The candidate that joins [a, b) and [b, e), as a 64-bit number."""
+    return ((a << 42) ^ (b << 21) ^ e) * _GOLDEN & _FULL
+
+
+class Grown:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, dtype: str):
+        self.data, self.n = np.zeros(1 << 12, dtype), 0
+
+    def extend(self, values: list[int]) -> None:
+        if self.n + len(values) > len(self.data):
+            room = np.zeros(max(len(values), len(self.data)), self.data.dtype)
+            self.data = np.concatenate((self.data, room))
+        self.data[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class Courses:
+    """Courses of words: the merges taken, the course after each one is struck, the ids in the end.
+
+    Course v owns the merges ``begin[v]`` to ``begin[v] + size[v]`` and the ids
+    ``out_begin[v]`` to ``out_begin[v] + out_size[v]``; ``child`` is -1 where the course after a
+    struck merge is not known yet.
+    """
+
+    def __init__(self) -> None:
+        self.root: dict[str, int] = {}
+        self.of: list[tuple[str, frozenset, int, list]] = []
+        self.place, self.child = Grown("u8"), Grown("i8")
+        self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown("i8") for _ in range(5))
+
+
 class Pieces:
     """A merge-type SentencePiece model with byte pieces and no normalisation."""
 
-    def __init__(self, path: str, seed: int, dropout: float, variants: int):
+    def __init__(self, path: str, seed: int, dropout: float):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = sp.get_piece_size()
-        self.size, self.seed, self.dropout, self.variants = size, seed, dropout, variants
+        self.size, self.seed, self.dropout = size, seed, dropout
         self.byte = np.full(256, -1, np.int64)
-        self.raw: list[bytes] = []
+        raw: list[bytes] = []
         best: dict[str, tuple[int, float]] = {}
         for i in range(size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
-                self.raw.append(bytes([int(piece[3:5], 16)]))
+                raw.append(bytes([int(piece[3:5], 16)]))
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
-                self.raw.append(b"")
+                raw.append(b"")
             else:
-                self.raw.append(piece.replace(BLANK, " ").encode())
+                raw.append(piece.replace(BLANK, " ").encode())
                 best[piece] = (i, sp.get_score(i))
                 if BLANK in piece.lstrip(BLANK):
                     raise ValueError("pieces across words are not supported")
         if (self.byte < 0).any():
             raise ValueError("the model has no byte pieces; some texts could not be decoded")
+        self.raw = pa.array(raw, pa.large_binary())
         self.char = {p if p != BLANK else " ": i for p, (i, _) in best.items() if len(p) == 1}
         # the lower the rank, the better the merge; equal scores rank by their ids
-        ranks = {p: r for r, p in enumerate(sorted(best, key=lambda p: (-best[p][1], best[p][0])))}
-        table = [
-            (best[p[:k]][0] * size + best[p[k:]][0], ranks[p], i)
-            for p, (i, _) in best.items() for k in range(1, len(p)) if p[:k] in best and p[k:] in best
-        ]
-        self.pair, self.rank, self.merged = (np.array(c, np.int64) for c in zip(*sorted(table)))
-        self.of_rank = np.zeros(len(ranks), np.int64)
-        self.of_rank[self.rank] = self.merged
-        self.find = dict(zip(self.pair.tolist(), self.rank.tolist()))
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of the merge of each pair of symbols; never, where there is none."""
-        code = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair, code), len(self.pair) - 1)
-        return np.where((self.pair[at] == code) & (left >= 0) & (right >= 0), self.rank[at], _NEVER)
-
-    def struck(self, key: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Whether the candidate that joins [start, middle) and [middle, end) is dropped."""
-        if not self.dropout:
-            return np.zeros(np.broadcast(key, start).shape, bool)
+        ordered = sorted(best, key=lambda p: (-best[p][1], best[p][0]))
+        self.of_rank = [best[p][0] for p in ordered]
+        self.rank = {
+            best[p[:k]][0] * size + best[p[k:]][0]: r
+            for r, p in enumerate(ordered) for k in range(1, len(p)) if p[:k] in best and p[k:] in best
+        }
+        self.courses = Courses()
+
+    def struck(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether the candidate at a place is dropped for the occurrence with a key."""
         with np.errstate(over="ignore"):
-            place = (start.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-            h = _mix(_mix(key + place * np.uint64(0x9E3779B97F4A7C15)))
-        return (h >> np.uint64(11)).astype(float) < self.dropout * float(1 << 53)
-
-    def out(self, symbols: list[int], word: str, starts: list[int]) -> bytes:
-        """Ids as little-endian 32-bit integers; characters without a piece as their bytes."""
-        if min(symbols) >= 0:
-            return np.array(symbols, "<u4").tobytes()
-        ids: list[int] = []
-        for s, a in zip(symbols, starts):
-            ids += [s] if s >= 0 else self.byte[list(word[a].encode("utf-8", "surrogatepass"))].tolist()
-        return np.array(ids, "<u4").tobytes()
+            return (_mix(key + place) >> np.uint64(11)) < np.uint64(int(self.dropout * (1 << 53)))
+
+    def struck_one(self, key: int, place: int) -> bool:
+        return bool(self.dropout) and bool(self.struck(np.array([key], np.uint64), np.array([place], np.uint64))[0])
 
-    def agenda(self, word: str, key: int) -> bytes:
-        """One word by a heap of candidate merges."""
+    def agenda(self, word: str, struck) -> tuple[list[tuple[int, int, int]], list[int]]:
+        """The merges taken, in order, and the ids of one word, by a heap of candidate
+        merges; ``struck(a, b, e)`` says which are dropped."""
         n = len(word)
         symbol = [self.char.get(c, -1) for c in word]
         end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
         heap: list[tuple[int, int, int, int]] = []
+        taken = []
 
         def add(a: int) -> None:
             b = after[a]
             if b >= 0 and symbol[a] >= 0 and symbol[b] >= 0:
-                rank = self.find.get(symbol[a] * self.size + symbol[b])
+                rank = self.rank.get(symbol[a] * self.size + symbol[b])
                 if rank is not None:
                     heapq.heappush(heap, (rank, a, b, end[b]))
 
         for i in range(n):
             add(i)
-        k = np.array([key], np.uint64)
         while heap:
             rank, a, b, e = heapq.heappop(heap)
             if symbol[a] == -2 or symbol[b] == -2 or after[a] != b or end[b] != e or end[a] != b:
                 continue  # one side has grown since
-            if self.find.get(symbol[a] * self.size + symbol[b]) != rank or self.struck(k, np.array([a]), np.array([b]), np.array([e]))[0]:
+            if self.rank.get(symbol[a] * self.size + symbol[b]) != rank or struck(a, b, e):
                 continue
-            symbol[a], symbol[b], end[a], after[a] = int(self.of_rank[rank]), -2, e, after[b]
+            taken.append((a, b, e))
+            symbol[a], symbol[b], end[a], after[a] = self.of_rank[rank], -2, e, after[b]
             if after[a] >= 0:
                 before[after[a]] = a
             add(a)
             if before[a] >= 0:
                 add(before[a])
-        left = [i for i in range(n) if symbol[i] != -2]
-        return self.out([symbol[i] for i in left], word, left)
-
-    def many(self, words: list[str], keys: np.ndarray) -> list[bytes]:
-        """Words of one length at once: in each round every word takes its best merge."""
-        n = len(words[0])
-        rows = np.arange(len(words))
-        symbol = np.array([[self.char.get(c, -1) for c in w] for w in words], np.int64).reshape(-1, n)
-        start = np.tile(np.arange(n + 1), (len(words), 1))
-        key, width = keys.astype(np.uint64), np.full(len(words), n)
-        rank = np.full((len(words), n), _NEVER)
-        if n > 1:
-            rank[:, :-1] = self.ranks(symbol[:, :-1], symbol[:, 1:])
-            rank[:, :-1][self.struck(key[:, None], start[:, :-2], start[:, 1:-1], start[:, 2:])] = _NEVER
-        live, columns = rows, np.arange(n + 1)
+        ids: list[int] = []
+        for i, s in enumerate(symbol):
+            if s >= 0:
+                ids.append(s)
+            elif s == -1:  # a character without a piece: its bytes
+                ids += self.byte[list(word[i].encode("utf-8", "surrogatepass"))].tolist()
+        return taken, ids
+
+    def add_courses(self, wanted: list[tuple[str, frozenset, int]]) -> range:
+        """Courses of (word, struck merges, merges at the start that stand in earlier courses)."""
+        c = self.courses
+        first = len(c.of)
+        places, outs, sizes, out_sizes = [], [], [], []
+        for word, gone, skip in wanted:
+            taken, ids = self.agenda(word, lambda *m, gone=gone: m in gone)
+            c.of.append((word, gone, skip, taken[skip:]))
+            places += [_place(*m) for m in taken[skip:]]
+            outs += ids
+            sizes.append(len(taken) - skip)
+            out_sizes.append(len(ids))
+        c.begin.extend((np.cumsum([c.place.n, *sizes])[:-1]).tolist())
+        c.out_begin.extend((np.cumsum([c.out.n, *out_sizes])[:-1]).tolist())
+        c.size.extend(sizes)
+        c.out_size.extend(out_sizes)
+        c.place.extend(np.array(places, np.uint64))
+        c.child.extend([-1] * len(places))
+        c.out.extend(outs)
+        return range(first, len(c.of))
+
+    def follow(self, course: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The course on which each occurrence ends; -1 stays."""
+        if not self.dropout:
+            return course
+        c, course = self.courses, course.copy()
+        live = np.flatnonzero(course >= 0)
         while len(live):
-            at = rank[live].argmin(1)
-            go = rank[live, at] != _NEVER
-            live, at = live[go], at[go]
-            if not len(live):
-                break
-            symbol[live, at] = self.of_rank[rank[live, at]]
-            # the symbol after the merged one goes; those behind it move up
-            move = np.minimum(columns + (columns > at[:, None]), n)
-            start[live] = np.take_along_axis(start[live], move, 1)
-            symbol[live] = np.take_along_axis(symbol[live], np.minimum(move[:, :-1], n - 1), 1)
-            rank[live] = np.take_along_axis(rank[live], np.minimum(move[:, :-1], n - 1), 1)
-            width[live] -= 1
-            rank[live, width[live] - 1] = _NEVER
-            for side in (at - 1, at):
-                ok = (side >= 0) & (side + 1 < width[live])
-                r, c = live[ok], side[ok]
-                new = self.ranks(symbol[r, c], symbol[r, c + 1])
-                new[self.struck(key[r], start[r, c], start[r, c + 1], start[r, c + 2])] = _NEVER
-                rank[r, c] = new
-        flat = symbol.astype("<u4").tobytes()
-        known = (symbol >= 0).all(1)
-        return [
-            flat[4 * n * i : 4 * (n * i + w)] if ok else self.out(symbol[i, :w].tolist(), words[i], start[i, :w].tolist())
-            for i, (w, ok) in enumerate(zip(width.tolist(), known.tolist()))
-        ]
-
-    def learn(self, words: list[str], variant: int) -> dict[str, bytes]:
-        got: dict[str, bytes] = {}
-        salt = _key(self.seed, variant)
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
-        for n, some in by_length.items():
-            keys = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), salt) for w in some], np.uint64)
-            if n > MANY:
-                got.update((w, self.agenda(w, k)) for w, k in zip(some, keys.tolist()))
-                continue
-            for at in range(0, len(some), 20_000):
-                part = some[at : at + 20_000]
-                got.update(zip(part, self.many(part, keys[at : at + 20_000])))
-        return got
-
-    def variant_of(self, doc_id: int | None) -> int:
-        return _key(self.seed, "document", doc_id) % self.variants
-
-    def encode(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        """Ids of each text, cut as its variant says."""
+            v = course[live]
+            size = c.size.data[v]
+            ends = np.cumsum(size)
+            at = np.arange(ends[-1]) - np.repeat(ends - size - c.begin.data[v], size)
+            hit = np.flatnonzero(self.struck(np.repeat(key[live], size), c.place.data[at]))
+            own = np.searchsorted(ends, hit, "right")
+            first = np.ones(len(hit), bool)
+            first[1:] = own[1:] != own[:-1]
+            merge, live = at[hit[first]], live[own[first]]
+            unknown = np.unique(merge[c.child.data[merge] < 0])
+            if len(unknown):
+                wanted = []
+                for m, v in zip(unknown.tolist(), (np.searchsorted(c.begin.data[: c.begin.n], unknown, "right") - 1).tolist()):
+                    word, gone, skip, taken = c.of[v]
+                    j = m - int(c.begin.data[v])
+                    wanted.append((word, gone | {taken[j]}, skip + j))
+                c.child.data[unknown] = self.add_courses(wanted)
+            course[live] = c.child.data[merge]
+        return course
+
+    def encode(self, texts: list[str], doc_ids: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text begins (with the end of the last)."""
+        if len(self.courses.of) > KEPT:
+            self.courses = Courses()
         cuts = [WORD.findall(" " + t) if t else [] for t in texts]
-        found = [list(map(self.known[v].get, cut)) for cut, v in zip(cuts, variants)]
-        new: list[set[str]] = [set() for _ in range(self.variants)]
-        for cut, ids, v in zip(cuts, found, variants):
-            if None in ids:
-                new[v].update([w for w, x in zip(cut, ids) if x is None])
-        fresh = [self.learn(sorted(words), v) for v, words in enumerate(new)]
-        out = [b"".join([fresh[v][w] if x is None else x for w, x in zip(cut, ids)] if None in ids else ids) for cut, ids, v in zip(cuts, found, variants)]
-        if sum(map(len, self.known)) > KEPT and 8 * sum(map(len, new)) > sum(map(len, cuts)):
-            self.known = [{} for _ in range(self.variants)]  # the texts have changed
-        if sum(map(len, self.known)) <= KEPT:
-            for v, got in enumerate(fresh):
-                self.known[v].update((w, x) for w, x in got.items() if len(w) <= MANY)
-        return out
-
-    def decode(self, ids: bytes) -> str:
-        text = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "surrogatepass")
-        return text[1:]
+        counts = np.array([len(cut) for cut in cuts], np.int64)
+        words = list(chain.from_iterable(cuts))
+        ends = np.cumsum(counts)
+        c = self.courses
+        found = list(map(c.root.get, words))
+        if None in found:
+            new = sorted({w for w, v in zip(words, found) if v is None and len(w) <= SHARED})
+            c.root.update(zip(new, self.add_courses([(w, frozenset(), 0) for w in new])))
+            found = [c.root.get(w, -1) if v is None else v for w, v in zip(words, found)]
+        place = np.arange(len(words)) - np.repeat(ends - counts, counts)
+        salt = np.array([_key(self.seed, "document", i) for i in doc_ids], np.uint64)
+        with np.errstate(over="ignore"):
+            key = _mix(np.repeat(salt, counts) + place.astype(np.uint64) * np.uint64(_GOLDEN))
+        course = self.follow(np.array(found, np.int64), key)
+        out, begin, size = c.out.data[: c.out.n], c.out_begin.data[course], c.out_size.data[course]
+        alone = np.flatnonzero(course < 0)
+        if len(alone):
+            long = [self.agenda(words[i], lambda *m, k=int(key[i]): self.struck_one(k, _place(*m)))[1] for i in alone.tolist()]
+            size[alone] = [len(x) for x in long]
+            begin[alone] = len(out) + np.cumsum(size[alone]) - size[alone]
+            out = np.concatenate((out, np.array(list(chain.from_iterable(long)), np.int64)))
+        to = np.concatenate(([0], np.cumsum(size)))
+        ids = out[np.arange(to[-1]) - np.repeat(to[:-1] - begin, size)]
+        return ids.astype("<i4"), to[np.concatenate(([0], ends))]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of ids[bounds[i]:bounds[i+1]]."""
+        bytes_of = self.raw.take(pa.array(ids, pa.int32()))
+        offsets, data = (np.frombuffer(bytes_of.buffers()[1], np.int64) if len(ids) else np.zeros(1, np.int64)), bytes_of.buffers()[2]
+        data = memoryview(data) if data is not None else memoryview(b"")
+        at = offsets[bounds].tolist()
+        return [str(data[a:b], "utf-8", "surrogatepass")[1:] for a, b in zip(at, at[1:])]
 
 
 _models: dict[tuple, Pieces] = {}
 
 
-def model(path: str, seed: int, dropout: float, variants: int) -> Pieces:
-    """The model of this Python worker with the words it has cut so far."""
-    key = (path, seed, dropout, variants)
+def model(path: str, seed: int, dropout: float) -> Pieces:
+    """The model of this Python worker with the courses it has found so far."""
+    key = (path, seed, dropout)
     if key not in _models:
         _models.clear()
         _models[key] = Pieces(*key)
     return _models[key]
 
 
-def encode_pieces(docs: DataFrame, path: str, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, with_ids: bool = True) -> DataFrame:
+def _portions(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts of about ``AT_A_TIME`` characters together; a longer text alone."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > AT_A_TIME:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def encode_pieces(docs: DataFrame, path: str, seed: int = 0, dropout: float = DROPOUT, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (ids as little-endian 32-bit integers), lossless (the
     pieces decode to the text), and piece_ids if asked for; a row for each document.
 
     A null text is encoded as an empty one, which has no pieces. Equal ids and texts have
-    equal pieces; other columns are not read. A projection: nothing is shuffled.
+    equal pieces (null ids count as equal); other columns are not read. A text without blanks is
+    one word. A projection: nothing is shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path, seed, dropout, variants)
+        m = model(path, seed, dropout)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                ids, texts = some.column(0).to_pylist(), some.column(1).to_pylist()
-                coded = m.encode(texts, [m.variant_of(i) for i in ids])
-                sizes = np.array([len(x) // 4 for x in coded], np.int64)
+            every = batch.column(1).to_pylist()
+            for lo, hi in _portions(every):
+                texts, doc_ids = every[lo:hi], batch.column(0).slice(lo, hi - lo)
+                ids, bounds = m.encode(texts, doc_ids.to_pylist())
+                at = bounds.tolist()
                 arrays = [
-                    some.column(0), pa.array(sizes), pa.array([zlib.crc32(x) for x in coded], pa.int64()), pa.array([m.decode(x) == t for x, t in zip(coded, texts)], pa.bool_()),
+                    doc_ids, pa.array(np.diff(bounds)), pa.array([zlib.crc32(ids[a:b]) for a, b in zip(at, at[1:])], pa.int64()),
+                    pa.array([x == t for x, t in zip(m.decode(ids, bounds), texts)], pa.bool_()),
                 ]
                 if with_ids:
-                    flat = pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32())
-                    arrays.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat))
+                    arrays.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids)))
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_pieces", "ids_crc32", "lossless", "piece_ids"][: len(arrays)])
 
     return rows.mapInArrow(encode, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean" + ", piece_ids array<int>" * with_ids)
@@ -267,9 +314,11 @@ def decode_pieces(coded: DataFrame, path: str) -> DataFrame:
     """doc_id, text of documents given as doc_id, piece_ids; null ids decode to an empty text."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path, 0, 0.0, 1)
+        m = model(path, 0, 0.0)
         for batch in batches:
-            texts = [m.decode(np.array(x or [], "<u4").tobytes()) for x in batch.column(1).to_pylist()]
+            lists = [np.array(x or [], "<i4") for x in batch.column(1).to_pylist()]
+            bounds = np.cumsum([0, *map(len, lists)])
+            texts = m.decode(np.concatenate([np.zeros(0, "<i4"), *lists]), bounds)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return coded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("piece_ids").cast("array<int>").alias("piece_ids")).mapInArrow(decode, "doc_id long, text string")

@@ -91,8 +91,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_merge_dropout")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document cut into pieces with merge dropout, and decoded again."""
-    return pieces.encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), seed=17, with_ids=False)
+    """The pieces of every document with merge dropout, decoded again as a check."""
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), seed=17)
 
 
 @query("op11_line_dedup")
