@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,13 +33,16 @@ from linksift.llm.common import text_or_empty
 DROPOUT = 0.1
 #: Longer words go through the agenda once for each occurrence, shorter ones share courses.
 SHARED = 24
+#: Words up to each of these lengths are cut together.
+LENGTHS = (6, 10, 16, SHARED)
 #: A worker forgets its courses beyond this many; they are found again when needed.
-KEPT = 400_000
+KEPT = 600_000
 #: Characters of text that are cut at a time.
-AT_A_TIME = 1_000_000
+AT_A_TIME = 3_000_000
 BLANK = "▁"
 WORD = re.compile(" +[^ ]*")
 _GOLDEN, _FULL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_NEVER = np.iinfo(np.int32).max
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -57,13 +61,19 @@ def _place(a: int, b: int, e: int) -> int:
     return ((a << 42) ^ (b << 21) ^ e) * _GOLDEN & _FULL
 
 
+def _places(a: np.ndarray, b: np.ndarray, e: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        a, b, e = (x.astype(np.uint64) for x in (a, b, e))
+        return ((a << np.uint64(42)) ^ (b << np.uint64(21)) ^ e) * np.uint64(_GOLDEN)
+
+
 class Grown:
     """A numpy array that grows at its end."""
 
     def __init__(self, dtype: str):
         self.data, self.n = np.zeros(1 << 12, dtype), 0
 
-    def extend(self, values: list[int]) -> None:
+    def extend(self, values: np.ndarray) -> None:
         if self.n + len(values) > len(self.data):
             room = np.zeros(max(len(values), len(self.data)), self.data.dtype)
             self.data = np.concatenate((self.data, room))
@@ -81,9 +91,9 @@ class Courses:
 
     def __init__(self) -> None:
         self.root: dict[str, int] = {}
-        self.of: list[tuple[str, frozenset, int, list]] = []
+        self.of: list[tuple[str, tuple[int, ...], int]] = []
         self.place, self.child = Grown("u8"), Grown("i8")
-        self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown("i8") for _ in range(5))
+        self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown(t) for t in ("i8", "i8", "i8", "i8", "i4"))
 
 
 class Pieces:
@@ -121,24 +131,111 @@ class Pieces:
             best[p[:k]][0] * size + best[p[k:]][0]: r
             for r, p in enumerate(ordered) for k in range(1, len(p)) if p[:k] in best and p[k:] in best
         }
+        self.symbol_of = np.full(0x110000, -1, np.int32)
+        self.symbol_of[:128] = self.byte[:128]  # one byte, which is in no merge
+        self.symbol_of[[ord(c) for c in self.char]] = list(self.char.values())
+        self.result = np.array(self.of_rank, np.int32)
+        self._index()
         self.courses = Courses()
 
+    def _index(self) -> None:
+        """The pairs that merge, hashed into a table of at most an eighth of its places."""
+        self.bits = (8 * len(self.rank)).bit_length()
+        self.slot_pair, self.slot_rank = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, _NEVER, np.int32)
+        code, rank = np.array(list(self.rank), np.int64), np.array(list(self.rank.values()), np.int32)
+        at = self._slot(code)
+        while len(code):
+            at = np.where(self.slot_pair[at] == -1, at, (at + 1) & ((1 << self.bits) - 1))
+            free = self.slot_pair[at] == -1
+            self.slot_pair[at[free]] = code[free]  # of several for one place the last stays
+            got = self.slot_pair[at] == code
+            self.slot_rank[at[got]] = rank[got]
+            code, rank, at = code[~got], rank[~got], at[~got]
+
+    def _slot(self, code: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (code.astype(np.uint64) * np.uint64(_GOLDEN) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of symbols; never, where there is none."""
+        code = left.astype(np.int64) * self.size + right
+        code[(left < 0) | (right < 0)] = -2
+        at = self._slot(code)
+        held = self.slot_pair[at]
+        out = np.where(held == code, self.slot_rank[at], _NEVER)
+        open_ = np.flatnonzero((held != code) & (held != -1) & (code != -2))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            held = self.slot_pair[at[open_]]
+            same = held == code[open_]
+            out[open_[same]] = self.slot_rank[at[open_[same]]]
+            open_ = open_[~same & (held != -1)]
+        return out
+
+    def many(self, words: list[str], gone: list[tuple[int, ...]], n: int) -> tuple[np.ndarray, ...]:
+        """Words of up to n characters at once, in each round every word takes its best merge: the
+        places of the merges taken and their number, the symbols, their number and where they start."""
+        rows = len(words)
+        struck = np.zeros((rows, max(map(len, gone))), np.uint64)  # no candidate has place 0
+        for i, g in enumerate(gone):
+            struck[i, : len(g)] = g
+        symbol = self.symbol_of[np.array(words, f"U{n}").view("u4").reshape(rows, n)]
+        start = np.tile(np.arange(n + 1, dtype=np.int8), (rows, 1))
+        width, steps = np.array(list(map(len, words))), np.zeros(rows, np.int64)
+        taken = np.zeros((rows, n - 1), np.uint64)
+        rank = np.full((rows, n), _NEVER, np.int32)
+
+        def allowed(r: np.ndarray, c: np.ndarray) -> np.ndarray:
+            new = self.ranks(symbol[r, c], symbol[r, c + 1])
+            if struck.shape[1]:
+                some = np.flatnonzero(new != _NEVER)
+                x, y = r[some], c[some]
+                out = (struck[x] == _places(start[x, y], start[x, y + 1], start[x, y + 2])[:, None]).any(1)
+                new[some[out]] = _NEVER
+            return new
+
+        r, c = np.nonzero(np.arange(1, n) < width[:, None])
+        rank[r, c] = allowed(r, c)
+        live, columns = np.arange(rows), np.arange(n + 1)
+        while len(live):
+            at = rank[live].argmin(1)
+            go = rank[live, at] != _NEVER
+            live, at = live[go], at[go]
+            if not len(live):
+                break
+            taken[live, steps[live]] = _places(start[live, at], start[live, at + 1], start[live, at + 2])
+            steps[live] += 1
+            symbol[live, at] = self.result[rank[live, at]]
+            # the symbol after the merged one goes; those behind it move up
+            move = np.minimum(columns + (columns > at[:, None]), n)
+            start[live] = start.reshape(-1)[move + (live * (n + 1))[:, None]]
+            move = np.minimum(move[:, :-1], n - 1) + (live * n)[:, None]
+            symbol[live] = symbol.reshape(-1)[move]
+            rank[live] = rank.reshape(-1)[move]
+            width[live] -= 1
+            rank[live, width[live] - 1] = _NEVER
+            for side in (at - 1, at):
+                ok = (side >= 0) & (side + 1 < width[live])
+                rank[live[ok], side[ok]] = allowed(live[ok], side[ok])
+        return taken, steps, symbol, width, start
+
     def struck(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Whether the candidate at a place is dropped for the occurrence with a key."""
         with np.errstate(over="ignore"):
             return (_mix(key + place) >> np.uint64(11)) < np.uint64(int(self.dropout * (1 << 53)))
 
     def struck_one(self, key: int, place: int) -> bool:
-        return bool(self.dropout) and bool(self.struck(np.array([key], np.uint64), np.array([place], np.uint64))[0])
+        x = key + place & _FULL
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _FULL
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _FULL
+        return (x ^ (x >> 31)) >> 11 < int(self.dropout * (1 << 53))
 
-    def agenda(self, word: str, struck) -> tuple[list[tuple[int, int, int]], list[int]]:
-        """The merges taken, in order, and the ids of one word, by a heap of candidate
-        merges; ``struck(a, b, e)`` says which are dropped."""
+    def agenda(self, word: str, key: int) -> list[int]:
+        """The ids of one occurrence of a word, by a heap of candidate merges."""
         n = len(word)
-        symbol = [self.char.get(c, -1) for c in word]
+        symbol = self.symbol_of[list(map(ord, word))].tolist()
         end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
         heap: list[tuple[int, int, int, int]] = []
-        taken = []
 
         def add(a: int) -> None:
             b = after[a]
@@ -153,9 +250,8 @@ class Pieces:
             rank, a, b, e = heapq.heappop(heap)
             if symbol[a] == -2 or symbol[b] == -2 or after[a] != b or end[b] != e or end[a] != b:
                 continue  # one side has grown since
-            if self.rank.get(symbol[a] * self.size + symbol[b]) != rank or struck(a, b, e):
+            if self.rank.get(symbol[a] * self.size + symbol[b]) != rank or self.struck_one(key, _place(a, b, e)):
                 continue
-            taken.append((a, b, e))
             symbol[a], symbol[b], end[a], after[a] = self.of_rank[rank], -2, e, after[b]
             if after[a] >= 0:
                 before[after[a]] = a
@@ -167,29 +263,49 @@ class Pieces:
             if s >= 0:
                 ids.append(s)
             elif s == -1:  # a character without a piece: its bytes
-                ids += self.byte[list(word[i].encode("utf-8", "surrogatepass"))].tolist()
-        return taken, ids
+                ids += self.bytes_of(word[i])
+        return ids
 
-    def add_courses(self, wanted: list[tuple[str, frozenset, int]]) -> range:
-        """Courses of (word, struck merges, merges at the start that stand in earlier courses)."""
+    def add_courses(self, wanted: list[tuple[str, tuple[int, ...], int]]) -> np.ndarray:
+        """Courses of (word, places of its struck merges, merges at the start that stand in earlier courses)."""
         c = self.courses
-        first = len(c.of)
-        places, outs, sizes, out_sizes = [], [], [], []
-        for word, gone, skip in wanted:
-            taken, ids = self.agenda(word, lambda *m, gone=gone: m in gone)
-            c.of.append((word, gone, skip, taken[skip:]))
-            places += [_place(*m) for m in taken[skip:]]
-            outs += ids
-            sizes.append(len(taken) - skip)
-            out_sizes.append(len(ids))
-        c.begin.extend((np.cumsum([c.place.n, *sizes])[:-1]).tolist())
-        c.out_begin.extend((np.cumsum([c.out.n, *out_sizes])[:-1]).tolist())
-        c.size.extend(sizes)
-        c.out_size.extend(out_sizes)
-        c.place.extend(np.array(places, np.uint64))
-        c.child.extend([-1] * len(places))
-        c.out.extend(outs)
-        return range(first, len(c.of))
+        number = np.zeros(len(wanted), np.int64)
+        by_length: dict[int, list[int]] = {}
+        for i, (word, _, _) in enumerate(wanted):
+            by_length.setdefault(LENGTHS[bisect_left(LENGTHS, len(word))], []).append(i)
+        for most, of_length in by_length.items():
+            for lo in range(0, len(of_length), 20_000):
+                at = of_length[lo : lo + 20_000]
+                words, gone, skip = zip(*[wanted[i] for i in at])
+                taken, steps, symbol, width, start = self.many(list(words), list(gone), most)
+                skip = np.array(skip, np.int64)
+                number[at] = np.arange(len(c.of), len(c.of) + len(at))
+                c.of.extend(wanted[i] for i in at)
+                c.begin.extend(c.place.n + np.cumsum(steps - skip) - (steps - skip))
+                c.size.extend(steps - skip)
+                order = np.arange(taken.shape[1])
+                c.place.extend(taken[(order >= skip[:, None]) & (order < steps[:, None])])
+                c.child.extend(np.full(int((steps - skip).sum()), -1))
+                held = np.arange(symbol.shape[1]) < width[:, None]
+                odd = np.flatnonzero(((symbol < 0) & held).any(1))
+                # other characters without a piece are written as their bytes, behind the rest
+                outs = []
+                for i, row in zip(odd.tolist(), symbol[odd].tolist()):
+                    outs.append(list(chain.from_iterable([x] if x >= 0 else self.bytes_of(words[i][a]) for x, a in zip(row[: width[i]], start[i].tolist()))))
+                held[odd] = False
+                sizes = width.copy()
+                sizes[odd] = 0
+                where = c.out.n + np.cumsum(sizes) - sizes
+                c.out.extend(symbol[held])
+                sizes[odd] = [len(x) for x in outs]
+                where[odd] = c.out.n + np.cumsum(sizes[odd]) - sizes[odd]
+                c.out.extend(np.array(list(chain.from_iterable(outs)), np.int64))
+                c.out_begin.extend(where)
+                c.out_size.extend(sizes)
+        return number
+
+    def bytes_of(self, char: str) -> list[int]:
+        return self.byte[list(char.encode("utf-8", "surrogatepass"))].tolist()
 
     def follow(self, course: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The course on which each occurrence ends; -1 stays."""
@@ -210,10 +326,10 @@ class Pieces:
             unknown = np.unique(merge[c.child.data[merge] < 0])
             if len(unknown):
                 wanted = []
-                for m, v in zip(unknown.tolist(), (np.searchsorted(c.begin.data[: c.begin.n], unknown, "right") - 1).tolist()):
-                    word, gone, skip, taken = c.of[v]
-                    j = m - int(c.begin.data[v])
-                    wanted.append((word, gone | {taken[j]}, skip + j))
+                parent = np.searchsorted(c.begin.data[: c.begin.n], unknown, "right") - 1
+                for v, place, nth in zip(parent.tolist(), c.place.data[unknown].tolist(), (unknown - c.begin.data[parent]).tolist()):
+                    word, gone, skip = c.of[v]
+                    wanted.append((word, (*gone, place), skip + nth))
                 c.child.data[unknown] = self.add_courses(wanted)
             course[live] = c.child.data[merge]
         return course
@@ -230,7 +346,7 @@ class Pieces:
         found = list(map(c.root.get, words))
         if None in found:
             new = sorted({w for w, v in zip(words, found) if v is None and len(w) <= SHARED})
-            c.root.update(zip(new, self.add_courses([(w, frozenset(), 0) for w in new])))
+            c.root.update(zip(new, self.add_courses([(w, (), 0) for w in new]).tolist()))
             found = [c.root.get(w, -1) if v is None else v for w, v in zip(words, found)]
         place = np.arange(len(words)) - np.repeat(ends - counts, counts)
         salt = np.array([_key(self.seed, "document", i) for i in doc_ids], np.uint64)
@@ -240,10 +356,10 @@ class Pieces:
         out, begin, size = c.out.data[: c.out.n], c.out_begin.data[course], c.out_size.data[course]
         alone = np.flatnonzero(course < 0)
         if len(alone):
-            long = [self.agenda(words[i], lambda *m, k=int(key[i]): self.struck_one(k, _place(*m)))[1] for i in alone.tolist()]
+            long = [self.agenda(words[i], int(key[i])) for i in alone.tolist()]
             size[alone] = [len(x) for x in long]
             begin[alone] = len(out) + np.cumsum(size[alone]) - size[alone]
-            out = np.concatenate((out, np.array(list(chain.from_iterable(long)), np.int64)))
+            out = np.concatenate((out, np.array(list(chain.from_iterable(long)), np.int32)))
         to = np.concatenate(([0], np.cumsum(size)))
         ids = out[np.arange(to[-1]) - np.repeat(to[:-1] - begin, size)]
         return ids.astype("<i4"), to[np.concatenate(([0], ends))]
