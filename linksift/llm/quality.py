@@ -173,13 +173,16 @@ def remainder(key: str = "doc_id") -> Column:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> AdditiveModel:
     """Fit on at most ``fit_rows`` labelled documents that are not held out.
 
-    The sample is those with the smallest hashes of their ids. It is small enough to be
-    broadcast, so the documents are read once, nothing but the sample's features
-    leaves the tasks, and no text is shuffled. Null labels and ids, and labels of no
-    document, take no part; a document that stands twice counts at most twice.
+    The sample is the pairs of id and label with the smallest hashes of their ids. They are few
+    enough to be broadcast, so the documents are read once; features are worked out where the
+    texts lie, and nothing else leaves the tasks. Null labels and ids, and labels of no
+    document, take no part. An id counts once for each of its labels, however often it stands
+    in either table; of several texts the one with the smallest features counts, so the
+    sample doesn't depend on the order of tasks.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(remainder() != 0)
+    known = known.withColumn("quality", (F.col("quality") > 0).cast("int")).distinct()
     n = known.count()
     order = F.xxhash64("doc_id")
     if n > 2 * fit_rows:  # a hash threshold, so that no task sends more than its share to the sample
@@ -192,8 +195,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Additiv
             out = pd.DataFrame(feature_matrix(b["text"]), columns=list(FEATURES))
             yield out.assign(y=(b["quality"].to_numpy() > 0).astype(float), doc_id=b["doc_id"].to_numpy())
 
-    chosen = texts.join(F.broadcast(sample), "doc_id").limit(2 * fit_rows)
-    got = chosen.mapInPandas(rows, ", ".join(f"{f} double" for f in (*FEATURES, "y")) + ", doc_id long").toPandas()
+    chosen = texts.join(F.broadcast(sample), "doc_id")
+    held = chosen.mapInPandas(rows, ", ".join(f"{f} double" for f in (*FEATURES, "y")) + ", doc_id long")
+    got = held.groupBy("doc_id", "y").agg(F.min(F.struct(*FEATURES)).alias("f")).select("doc_id", "y", "f.*").toPandas()
     got = got.sort_values(["doc_id", "y", *FEATURES])
     return fit_tables(got[list(FEATURES)].to_numpy(float), got["y"].to_numpy(float))
 

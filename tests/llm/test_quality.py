@@ -46,3 +46,35 @@ def test_labels_of_held_out_rows_say_nothing(spark, documents, sf):
     other = labels.selectExpr("doc_id", "CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
     score = lambda lab: sorted((r.doc_id, r.score) for r in quality_scores(documents, lab).collect())
     assert score(labels) == score(other)
+
+
+def test_repeated_ids_count_once_a_label(spark):
+    rows = [(i, ("word " * (i % 30 + 1)) if i % 2 else "| 1 2 3 " * (i % 30 + 1)) for i in range(1, 400)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = docs.union(spark.createDataFrame([(1, rows[0][1])] * 500, docs.schema))
+    more = labels.union(spark.createDataFrame([(1, 1)] * 50 + [(2, 0)] * 50, labels.schema))
+    score = lambda d, lab: sorted({(r.doc_id, r.score) for r in quality_scores(d, lab, fit_rows=150).collect()})
+    want = score(docs, labels)
+    assert score(hot.repartition(7), more.repartition(5)) == score(hot.coalesce(1), more.coalesce(1)) == want
+    # two texts of one id: the one with the smaller features counts, whatever the order
+    two = docs.union(spark.createDataFrame([(i, t + " other, text") for i, t in rows[:50]], docs.schema))
+    assert score(two.repartition(9), labels) == score(two.orderBy("text").coalesce(1), labels)
+
+
+def test_no_single_task_takes_the_texts(spark, documents, sf, monkeypatch):
+    import linksift.llm.quality as quality
+
+    plans = []
+    plain = type(documents).toPandas
+    monkeypatch.setattr(type(documents), "toPandas", lambda self: (plans.append(self._jdf.queryExecution().executedPlan().toString()), plain(self))[1])
+    quality.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert len(plans) == 1
+    above, _, below = plans[0].partition("MapInPandas")  # the texts come below, features above
+    assert below and "SinglePartition" not in above
+
+
+def test_very_long_texts(spark):
+    docs = spark.createDataFrame([(1, "word and more, " * 30_000), (2, "x" * 400_000), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    assert all(0 <= r.score <= 1 for r in quality_scores(docs, labels).collect())
