@@ -6,6 +6,10 @@ aligned in the same way. Coverage is the share of the template's words that foun
 their place. Alignments are tried where a text shares a pair of neighbouring words
 with a template, in a window of about the template's length, so a notice that stands
 twice is found twice and a long text costs no more than its length.
+
+Near relatives differ by a word or two: a version number, "Lesser", "SA". Such telling
+words must all be matched where the template has them, and none may stand
+among the matched words where it has none.
 """
 
 from __future__ import annotations
@@ -25,6 +29,13 @@ COVERAGE = 0.8
 #: Least share of the words between the first and the last match that are matches.
 DENSITY = 0.5
 WORD = re.compile(r"[^\W_]+(?:[.'\-][^\W_]+)*")
+#: Words that tell licenses of one family apart. Version numbers do so as well.
+TELLING = frozenset(
+    "lesser library affero nc sa nd by-nc by-sa by-nd by-nc-sa by-nc-nd noncommercial sharealike noderivatives noderivs "
+    "attribution attribution-noncommercial attribution-sharealike attribution-noderivatives "
+    "attribution-noncommercial-sharealike attribution-noncommercial-noderivatives apache mit gnu mozilla eclipse creative".split()
+)
+NUMBER = re.compile(r"v?\d+(?:\.\d+)*")
 SCHEMA = "doc_id long, license string, start_char long, end_char long, matched int, template_words int, coverage double"
 
 #: Public license notices.
@@ -113,6 +124,8 @@ class Scanner:
         self.coverage, self.density = coverage, density
         self.words = {name: words_of(text) for name, text in templates.items()}
         self.words = {name: w for name, w in self.words.items() if len(w) > 1}
+        # places of each template's words that must be matched
+        self.needed = {name: {j for j, x in enumerate(w) if x in TELLING or NUMBER.fullmatch(x)} for name, w in self.words.items()}
         self.seeds: dict[tuple[str, str], list[tuple[str, int]]] = defaultdict(list)
         for name, w in self.words.items():
             for j, pair in enumerate(zip(w, w[1:])):
@@ -147,6 +160,10 @@ class Scanner:
                 got = align(words[lo:hi], template)
                 share = len(got) / len(template)
                 fits = bool(got) and share >= self.coverage and len(got) >= self.density * (got[-1][0] - got[0][0] + 1)
+                if fits:
+                    matched = {i for i, _ in got}
+                    between = range(got[0][0], got[-1][0] + 1)
+                    fits = self.needed[name].issubset(j for _, j in got) and not any(i not in matched and words[lo + i] in TELLING for i in between)
                 if fits:
                     found.append((-share, got[-1][0] - got[0][0], lo + got[0][0], name, lo + got[-1][0], len(got)))
                 return fits
@@ -173,7 +190,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     """A row for each template found in each document: doc_id, license, the characters from
     the first to the last matched word, and the coverage.
 
-    Null and empty texts and an empty table of templates give no row; other columns are
+    A find must match the template's version numbers and words of ``TELLING`` and have no
+    other word of ``TELLING`` between its first and last match. Two templates may both be found on the
+    same words (a notice's line and the whole notice). Null and empty texts and an empty table of templates give no row; other columns are
     not read; repeated rows are scanned each. Templates of a single word are left out.
     A projection: nothing is shuffled.
     """

@@ -1,7 +1,7 @@
 import random
 from itertools import combinations
 
-from linksift.llm.license_scan import TEMPLATES, Scanner, align, longest_increasing, scan_licenses
+from linksift.llm.license_scan import COVERAGE, DENSITY, TEMPLATES, Scanner, align, longest_increasing, scan_licenses
 
 
 def test_longest_increasing_against_brute_force():
@@ -46,3 +46,16 @@ def test_spans_are_characters(spark):
     text = "İİ 🙂 Released under the MIT License now"
     r = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert text[r.start_char : r.end_char] == "Released under the MIT License"
+
+
+def test_near_relatives_are_told_apart():
+    scanner = Scanner(TEMPLATES, COVERAGE, DENSITY)
+    for text in (
+        "Licensed under CC BY 4.0", "Licensed under CC BY-SA 4.0", "This work is licensed under the GNU General Public License, version 2",
+        "This work is licensed under the GNU Lesser General Public License, version 3", "This work is licensed under the GNU Affero General Public License, version 3",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "Licensed under the Apache License, Version 1.1",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    ):
+        assert scanner.scan(text) == [], text
+    for name, text in TEMPLATES.items():
+        assert name in [hit[0] for hit in scanner.scan("Some words before. " + text + " And after, Affero GPL version 7.")]
