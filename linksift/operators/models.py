@@ -104,18 +104,31 @@ class Member:
     prep: PipelineModel
     clf: RandomForestClassificationModel | GBTClassificationModel | LogisticRegressionModel
 
-    def score(self, df: DataFrame, name: str = "probability") -> DataFrame:
-        return _score_members(df, [self], [name])
+    def score(self, df: DataFrame, name: str = "probability", leaves: str = "") -> DataFrame:
+        return _score_members(df, [self], [name], leaves)
 
     def save(self, path: str) -> None:
         self.prep.write().overwrite().save(f"{path}/prep")
         self.clf.write().overwrite().save(f"{path}/clf")
 
 
-def _score_members(df: DataFrame, members: list[Member], names: list[str]) -> DataFrame:
-    """Add one probability column per member; members with the same preprocessing share its vector."""
+def tree_parts(model: Member | Blend | Calibrated, leaves: str) -> dict[str, RandomForestClassificationModel | GBTClassificationModel]:
+    """The tree ensembles of a model, by the columns in which ``score(..., leaves=leaves)`` leaves the leaf numbers."""
+    if isinstance(model, Calibrated):
+        parts = [tree_parts(m, f"{leaves}{i}_") for i, (m, _) in enumerate(model.pairs)]
+        return {column: clf for part in parts for column, clf in part.items()}
+    members = model.members if isinstance(model, Blend) else [model]
+    return {f"{leaves}{i}": m.clf for i, m in enumerate(members) if not isinstance(m.clf, LogisticRegressionModel)}
+
+
+def _score_members(df: DataFrame, members: list[Member], names: list[str], leaves: str = "") -> DataFrame:
+    """Add one probability column per member; members with the same preprocessing share its vector.
+
+    With ``leaves`` the tree ensembles also add the leaf of each tree, see ``tree_parts``.
+    """
     own = [c for c in df.columns if c not in names]
     out = df.select(*own)
+    told = tree_parts(Blend(members), leaves) if leaves else {}
     by_prep: dict[int, list[int]] = {}
     for i, m in enumerate(members):
         by_prep.setdefault(id(m.prep), []).append(i)
@@ -127,10 +140,13 @@ def _score_members(df: DataFrame, members: list[Member], names: list[str]) -> Da
         for i in positions:
             clf = members[i].clf.copy()
             clf.setPredictionCol(f"_y{i}").setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_raw{i}")
+            if f"{leaves}{i}" in told:
+                clf.setLeafCol(f"{leaves}{i}")
             seen = clf.transform(seen)
         restored = [F.col("_as_given")[c].alias(c) if c in FEATURES else F.col(c) for c in (*own, *added)]
-        added += [names[i] for i in positions]
-        out = seen.select(*restored, *[_second(f"_p{i}").alias(names[i]) for i in positions])
+        ended = [f"{leaves}{i}" for i in positions if f"{leaves}{i}" in told]
+        added += [*[names[i] for i in positions], *ended]
+        out = seen.select(*restored, *[_second(f"_p{i}").alias(names[i]) for i in positions], *ended)
     return out
 
 
@@ -141,10 +157,11 @@ class Blend:
     members: list[Member]
     meta: LogisticRegressionModel | None = None
 
-    def score(self, df: DataFrame, name: str = "probability") -> DataFrame:
+    def score(self, df: DataFrame, name: str = "probability", leaves: str = "") -> DataFrame:
         own = [c for c in df.columns if c != name]
         columns = [f"_m{i}" for i in range(len(self.members))]
-        out = _score_members(df.select(*own), self.members, columns)
+        out = _score_members(df.select(*own), self.members, columns, leaves)
+        told = tree_parts(self, leaves) if leaves else {}
         if self.meta is None:
             p = sum((F.col(c) for c in columns), F.lit(0.0)) / len(columns)
         else:
@@ -153,7 +170,7 @@ class Blend:
                 F.lit(float(self.meta.intercept)),
             )
             p = 1.0 / (1.0 + F.exp(-z))
-        return out.select(*own, p.alias(name))
+        return out.select(*own, p.alias(name), *told)
 
     def preps(self) -> tuple[list[PipelineModel], list[int]]:
         """The distinct preprocessing pipelines, and which one each member uses."""
@@ -309,18 +326,19 @@ class Calibrated:
 
     pairs: list[tuple[Member | Blend, Sigmoid | IsotonicRegressionModel]]
 
-    def score(self, df: DataFrame, name: str = "probability") -> DataFrame:
+    def score(self, df: DataFrame, name: str = "probability", leaves: str = "") -> DataFrame:
         own = [c for c in df.columns if c != name]
         out = df.select(*own)
         columns = [f"_c{i}" for i in range(len(self.pairs))]
-        for column, (model, calibrator) in zip(columns, self.pairs):
-            out = model.score(out, column)
+        told = tree_parts(self, leaves) if leaves else {}
+        for i, (column, (model, calibrator)) in enumerate(zip(columns, self.pairs)):
+            out = model.score(out, column, leaves and f"{leaves}{i}_")
             if isinstance(calibrator, Sigmoid):
                 out = out.withColumn(column, calibrator.apply(F.col(column)))
             else:
                 mapped = calibrator.transform(out.withColumn("x", F.col(column)))
                 out = mapped.withColumn(column, F.col("_iso")).drop("x", "_iso")
-        return out.select(*own, (sum((F.col(c) for c in columns), F.lit(0.0)) / len(columns)).alias(name))
+        return out.select(*own, (sum((F.col(c) for c in columns), F.lit(0.0)) / len(columns)).alias(name), *told)
 
     def save(self, path: str) -> None:
         for i, (model, calibrator) in enumerate(self.pairs):

@@ -17,7 +17,7 @@ from linksift.operators import mutate as X
 from linksift.operators import ranking as K
 from linksift.operators import reasons as R
 from linksift.operators.bootstrap import bootstrap_ci
-from linksift.operators.explain import tree_contributions
+from linksift.operators.explain import explained_score, path_table, top_contributions, tree_contributions, with_contributions
 from linksift.operators.models import (
     calibrate,
     cross_validate,
@@ -25,7 +25,6 @@ from linksift.operators.models import (
     gram_stage,
     permutation_importance,
     tested_features,
-    vector_names,
 )
 from linksift.operators.ngrams import char_ngrams
 from linksift.operators.online import empty_state, online_update, state_table
@@ -232,13 +231,13 @@ def flat_scan(scored: DataFrame) -> DataFrame:
     nested = {"reasons", "flags", "tokens", "contributions", "conformal_set"}
     flat = [c for c in ("url_id", *SCAN_COLUMNS) if c not in nested]
     return scored.select(
-        *flat, F.size("reasons").alias("n_reasons"), F.size("tokens").alias("n_tokens"),
+        *flat, F.size("reasons").alias("n_reasons"), F.size("tokens").alias("n_tokens"), F.size("contributions").alias("n_contributions"),
         F.to_json("conformal_set").alias("conformal_set"), F.to_json("flags").alias("flags"),
     )
 
 
 def forest_scorer(spark, sf) -> Scorer:
-    return Scorer(score=T_.forest(spark, sf).score, threshold=0.5, conformal_q=0.4, model_hash="forest")
+    return Scorer(score=explained_score(T_.forest(spark, sf)), threshold=0.5, conformal_q=0.4, model_hash="forest")
 
 
 def q_scan_batch(spark, sf):
@@ -533,8 +532,18 @@ def q_perm_importance(spark, sf):
     )
 
 
+def q_top_contributions(spark, sf):
+    """The three features that move a fixed small forest most, for every readable URL."""
+    parsed = with_url_features(url_corpus(spark, sf), similarity=False, flags=False).filter(F.col("error").isNull())
+    explained = with_contributions(
+        parsed.select("url_id", *T_.SMALL_FOREST_FEATURES), T_.small_forest_leaves(), path_table(T_.small_forest_nodes(spark)), list(T_.SMALL_FOREST_FEATURES)
+    )
+    ranked = explained.select("url_id", "base_value", F.posexplode(top_contributions(3)).alias("pos", "top"))
+    return ranked.select("url_id", (F.col("pos") + 1).alias("rank"), F.col("top.key").alias("feature"), r6("top.value").alias("amount"), r6("base_value").alias("base_value"))
+
+
 def q_tree_contributions(spark, sf):
-    explained = tree_contributions(T_.feature_table(spark, sf), T_.forest(spark, sf), vector_names(QUICK))
+    explained = tree_contributions(T_.feature_table(spark, sf), T_.forest(spark, sf))
     return rounded(
         explained.select("url_id", "base_value", F.explode("contributions").alias("feature", "amount"))
     )
@@ -672,6 +681,7 @@ QUERIES: dict[str, Query] = {
     "cross_validate": q_cross_validate,
     "perm_importance": q_perm_importance,
     "tree_contributions": q_tree_contributions,
+    "top_contributions": q_top_contributions,
     "mutated_urls": q_mutated_urls,
     "adversarial_probe": q_adversarial_probe,
     "online_update": q_online_update,

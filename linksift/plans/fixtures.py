@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linksift.config import JobConfig
 from linksift.constants import SIMILARITY_FREE_SCORE
 from linksift.operators import models as M
+from linksift.operators.explain import NODE_SCHEMA
 from linksift.operators.parse import with_url_features
 from linksift.operators.reasons import RULES_SCHEMA, default_rules
 from linksift.operators.registry import REGISTRY_SCHEMA
@@ -30,6 +31,19 @@ EXTRA_RULES = (
     ("own_kind", "http", "low", 0.2, "no_such_kind", True),
     ("told_only", "verify", "info", 0.7, "contains", True),
 )
+# A small forest: (tree, node, left, right, feature, threshold, class-1 share, weight). Weights and
+# thresholds are such that no two features gain the same amount.
+SMALL_FOREST_FEATURES = ("url_length", "dots", "suspicious_tld", "has_ip")
+SMALL_FOREST = (
+    (0, 0, 1, 4, "url_length", 40.5, 0.5, 100.0), (0, 1, 2, 3, "dots", 1.5, 0.3125, 64.0), (0, 2, -1, -1, None, None, 0.125, 40.0),
+    (0, 3, -1, -1, None, None, 0.625, 24.0), (0, 4, 5, 6, "suspicious_tld", 0.5, 0.84375, 36.0), (0, 5, -1, -1, None, None, 0.75, 20.0),
+    (0, 6, -1, -1, None, None, 0.96875, 16.0),
+    (1, 0, 1, 2, "suspicious_tld", 0.5, 0.46875, 90.0), (1, 1, -1, -1, None, None, 0.375, 70.0), (1, 2, 3, 4, "url_length", 30.5, 0.8125, 20.0),
+    (1, 3, -1, -1, None, None, 0.71875, 11.0), (1, 4, -1, -1, None, None, 0.9375, 9.0),
+    (2, 0, 1, 6, "has_ip", 0.5, 0.53125, 110.0), (2, 1, 2, 5, "dots", 2.5, 0.4375, 95.0), (2, 2, 3, 4, "dots", 1.5, 0.34375, 60.0),
+    (2, 3, -1, -1, None, None, 0.28125, 33.0), (2, 4, -1, -1, None, None, 0.40625, 27.0), (2, 5, -1, -1, None, None, 0.59375, 35.0),
+    (2, 6, -1, -1, None, None, 0.90625, 15.0),
+)
 WATCH_ENTRIES = ("evil", "weebly", "  ")
 
 _made: dict[tuple, object] = {}
@@ -75,6 +89,28 @@ def timed(df: DataFrame, spark: SparkSession, sf_dir: str, key: str) -> DataFram
     return df.withColumn("_event", F.pmod(F.col(key), F.lit(events.count()))).join(events, "_event").drop("_event")
 
 
+def small_forest_nodes(spark: SparkSession) -> DataFrame:
+    rows = [
+        (t, n, left, right, SMALL_FOREST_FEATURES.index(f) if f else -1, share, weight)
+        for t, n, left, right, f, _, share, weight in SMALL_FOREST
+    ]
+    return spark.createDataFrame(rows, NODE_SCHEMA)
+
+
+def small_forest_leaves() -> Column:
+    """The leaf of each tree of the small forest, from the feature columns."""
+    nodes = {(t, n): (left, right, f, cut) for t, n, left, right, f, cut, _, _ in SMALL_FOREST}
+    numbers = {}
+    for t, n in sorted(k for k, v in nodes.items() if v[0] < 0):
+        numbers[t, n] = float(sum(at[0] == t for at in numbers))
+
+    def leaf(t: int, n: int) -> Column:
+        left, right, f, cut = nodes[t, n]
+        return F.lit(numbers[t, n]) if left < 0 else F.when(F.col(f) <= cut, leaf(t, left)).otherwise(leaf(t, right))
+
+    return F.array(*[leaf(t, 0) for t in sorted({t for t, _ in nodes})])
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction log of all scored URLs, at the times of events."""
     score = F.col("score")

@@ -16,7 +16,7 @@ from linksift.constants import (
     HOMOGLYPHS,
 )
 from linksift.operators.evaluate import GRID_QUANTILES, GRID_STEPS
-from linksift.plans.fixtures import EXTRA_RULES, WATCH_ENTRIES
+from linksift.plans.fixtures import EXTRA_RULES, SMALL_FOREST, SMALL_FOREST_FEATURES, WATCH_ENTRIES
 from linksift.sources.corpus import BAD_HOST_PARTS, VARIANTS
 
 
@@ -478,6 +478,25 @@ _MUTATED = f"""SELECT url_id, mutator, CAST(repeat AS INTEGER) AS repeat, CASE m
   ELSE array_to_string({_CHARS.format(f"CASE WHEN {_draw('(i - 1)')} < 1288490188 THEN upper(ch) ELSE ch END")}, '') END AS url
 FROM mutants"""
 
+# ----------------------------------------------------------- explanation ----
+
+
+def _node(row: tuple) -> str:
+    t, n, left, right, f, cut, share, weight = row
+    return f"({t}, {n}, {left}, {right}, {q(f) if f else 'NULL'}, {d(cut) if f else 'NULL'}, {d(share)}, {d(weight)})"
+
+
+_FOREST = f"""nodes(tree, id, lft, rgt, feature, cut, share, weight) AS (VALUES {', '.join(_node(r) for r in SMALL_FOREST)}),
+walk AS (
+  SELECT url_id, tree, id, CAST(NULL AS VARCHAR) AS feature, CAST(0 AS DOUBLE) AS amount FROM feats, nodes WHERE id = 0 AND error IS NULL
+  UNION ALL
+  SELECT w.url_id, w.tree, c.id, n.feature, (c.share - n.share) * (0.5 + 0.5 * c.weight / n.weight)
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.id = w.id AND n.lft >= 0 JOIN feats f ON f.url_id = w.url_id
+  JOIN nodes c ON c.tree = n.tree AND c.id = CASE WHEN CASE n.feature {' '.join(f"WHEN '{f}' THEN f.{f}" for f in SMALL_FOREST_FEATURES)} END <= n.cut THEN n.lft ELSE n.rgt END
+), moved AS (
+  SELECT url_id, feature, sum(amount) / (SELECT count(DISTINCT tree) FROM nodes) AS amount FROM walk WHERE feature IS NOT NULL GROUP BY url_id, feature
+)"""
+
 # ---------------------------------------------------------------- online ----
 
 _ON = FEATURES
@@ -570,6 +589,9 @@ FROM (VALUES {_RULE_VALUES}) AS r(name, pattern, severity, weight, kind, enabled
     "risk_score": _R + f"SELECT url_id, CASE WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk FROM reasoned",
     "top_risk": _R
     + f"SELECT url_id, url, risk, n_reasons, top_reason FROM (SELECT url_id, url, CASE WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk, CAST(len(reasons) AS INTEGER) AS n_reasons, reasons[1].text AS top_reason FROM reasoned) ORDER BY risk DESC, url_id LIMIT 20",
+    "top_contributions": "WITH RECURSIVE " + with_(CORPUS, PARTS, FEATS, _FOREST).removeprefix("WITH ")
+    + """SELECT url_id, CAST(rank AS INTEGER) AS rank, feature, round(amount, 6) AS amount, round((SELECT avg(share) FROM nodes WHERE id = 0), 6) AS base_value
+FROM (SELECT *, row_number() OVER (PARTITION BY url_id ORDER BY abs(amount) DESC, feature) AS rank FROM moved WHERE amount <> 0) WHERE rank <= 3""",
     "watchlist_override": _R
     + f"SELECT url_id, CASE WHEN {_WATCH} THEN 100 WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk, CASE WHEN {_WATCH} THEN 1 ELSE 0 END AS verdict, 0 AS abstain FROM reasoned",
     "scan_linear": _S

@@ -27,6 +27,7 @@ from linksift.operators.evaluate import (
     scan_thresholds,
     select_thresholds,
 )
+from linksift.operators.explain import explained_score
 from linksift.operators.mutate import adversarial_probe
 from linksift.operators.online import OnlineState, empty_state, state_from_table, state_table, with_online_prob
 from linksift.operators.parse import with_url_features
@@ -49,10 +50,11 @@ class TrainedModel:
     online: OnlineState | None = None
     schema_version: int = SCHEMA_VERSION
 
-    def scorer(self) -> Scorer:
+    def scorer(self, explain: bool = True) -> Scorer:
+        """What a scan needs; with ``explain`` every row gets its contributions too."""
         online = self.online
         return Scorer(
-            score=self.model.score,
+            score=explained_score(self.model) if explain else self.model.score,
             threshold=self.threshold,
             conformal_q=self.conformal_q if self.conformal_n else None,
             risk_model=self.risk_model,

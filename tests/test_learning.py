@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from linksift.config import JobConfig, fingerprint, read_settings, settings_row
 from linksift.constants import FEATURES
 from linksift.operators.evaluate import roc_auc
-from linksift.operators.explain import tree_contributions
-from linksift.operators.models import gram_stage, permutation_importance, tested_features, vector_names
+from linksift.operators import models as M
+from linksift.operators.explain import explained_score, tree_contributions
+from linksift.operators.models import gram_stage, permutation_importance, tested_features
 from linksift.operators.mutate import MUTATORS, mutate_urls
 from linksift.operators.ngrams import char_ngrams
 from linksift.operators.online import empty_state, online_update, state_from_table, state_table, with_online_prob
@@ -42,12 +43,88 @@ def test_importance_without_needless_copies(spark, sf):
 def test_contributions_explain_the_forest(spark, sf):
     """Without the weighting of steps, path sums end at the leaf; with it they keep sign and bound."""
     member = T_.forest(spark, sf)
-    rows = tree_contributions(T_.feature_table(spark, sf).limit(200), member, vector_names(T_.QUICK)).collect()
+    rows = tree_contributions(T_.feature_table(spark, sf).limit(200), member).collect()
     assert len({r.base_value for r in rows}) == 1 and 0 < rows[0].base_value < 1
     assert all(r.contributions and all(v != 0 for v in r.contributions.values()) for r in rows)
     assert all(abs(sum(r.contributions.values())) <= 1 for r in rows)
 
 
+def saved_trees(spark, clf, folder):
+    clf.write().overwrite().save(folder)
+    trees = {}
+    for r in spark.read.parquet(f"{folder}/data").collect():
+        trees.setdefault(r.treeID, {})[r.nodeData.id] = r.nodeData
+    return list(trees.values())
+
+
+def plain_contributions(trees, vector):
+    """One tree after the other, one node after the other."""
+    share = lambda n: n.impurityStats[1] / sum(n.impurityStats)
+    gained, base = {}, 0.0
+    for nodes in trees:
+        at = nodes[0]
+        base += share(at)
+        while at.leftChild >= 0:
+            value, cut = vector[at.split.featureIndex], at.split.leftCategoriesOrThreshold
+            goes_left = value <= cut[0] if at.split.numCategories < 0 else value in cut
+            to = nodes[at.leftChild if goes_left else at.rightChild]
+            change = (share(to) - share(at)) * (0.5 + 0.5 * sum(to.impurityStats) / sum(at.impurityStats))
+            gained[at.split.featureIndex] = gained.get(at.split.featureIndex, 0.0) + change
+            at = to
+    return gained, base
+
+
+@pytest.fixture(scope="module")
+def folded(spark, sf):
+    """A calibrated model: in each of two folds a vote of three kinds."""
+    cfg = replace(T_.QUICK, n_estimators=4, max_depth=4, boosting_iters=1, ngram_dim=4)
+    return M.calibrate(T_.feature_table(spark, sf), lambda df: M.fit_voting(df, cfg), folds=2, key=T_.KEY), cfg
+
+
+def test_contributions_of_calibrated_votes(spark, sf, folded, tmp_path):
+    """All forests of all folds count, and a join by key gives what the map-only way gives."""
+    model, cfg = folded
+    rows = T_.feature_table(spark, sf).filter("url_id % 19 = 0")
+    scored = {r.url_id: r for r in explained_score(model)(rows).collect()}
+    assert len(scored) == rows.count() > 40
+    plain = {r.url_id: r.probability for r in model.score(rows).collect()}
+    assert all(abs(r.probability - plain[i]) < 1e-12 for i, r in scored.items())
+    forests = [m for pair, _ in model.pairs for m in pair.members[:2]]
+    vectors = [{r.url_id: r.features.toArray() for r in m.prep.transform(M.prepared(rows)).select("url_id", "features").collect()} for m in forests]
+    names = M.vector_names(cfg)
+    saved = [saved_trees(spark, m.clf, str(tmp_path / f"f{i}")) for i, m in enumerate(forests)]
+    trees = sum(map(len, saved))
+    for url_id in scored:
+        total, base = {}, 0.0
+        for one, vector in zip(saved, vectors):
+            gained, b = plain_contributions(one, vector[url_id])
+            base += b
+            for f, v in gained.items():
+                total[names[f]] = total.get(names[f], 0.0) + v
+        got = scored[url_id]
+        assert trees == 16 and abs(got.base_value - base / trees) < 1e-12
+        assert all(abs(got.contributions.get(f, 0.0) - v / trees) < 1e-12 for f, v in total.items())
+        assert got.contributions.keys() <= total.keys()
+    for r in explained_score(model, most_steps=0)(rows).collect():
+        same = scored[r.url_id].contributions
+        assert all(abs(r.contributions.get(f, 0.0) - same.get(f, 0.0)) < 1e-12 for f in {*r.contributions, *same})
+
+
+def test_contributions_of_other_models(spark, sf, folded):
+    """Boosted trees alone are explained in margins; a linear model and error rows have none."""
+    _, cfg = folded
+    table = T_.feature_table(spark, sf)
+    boosted = M.fit_model(table, "hgb", cfg)
+    row = explained_score(boosted)(table.limit(5)).first()
+    assert row.contributions and row.base_value != 0
+    linear = explained_score(M.fit_model(table, "sgd", cfg))(table.limit(5))
+    assert "contributions" not in linear.columns
+    urls = spark.createDataFrame([("http://a.ga/x",), ("  ",)], "url string")
+    out = {r.url: r for r in scan(urls, TrainedModel(T_.forest(spark, sf), 0.5, None, 0, None, "h").scorer()).collect()}
+    assert out["http://a.ga/x"].contributions and out["http://a.ga/x"].base_value > 0
+    assert out["  "].contributions == {} and out["  "].base_value == 0
+
+
 def test_training_run_and_round_trip(spark, sf, tmp_path):
     cfg = JobConfig(
         n_estimators=5, max_depth=4, boosting_iters=3, bootstrap_iters=20, cv_folds=2, ngram_dim=16,
