@@ -11,6 +11,8 @@ from pyspark.errors import PySparkException
 
 from linksift.constants import DEFAULT_RULES, RULE_DEFAULTS
 from linksift.functions.text import contains_any, strip
+from linksift.operators.containment import containing
+from linksift.session import written
 
 REASON_TYPE = "struct<text:string,severity:string,weight:double,source:string>"
 RULES_SCHEMA = T.StructType(
@@ -25,6 +27,8 @@ RULES_SCHEMA = T.StructType(
 )
 # Rules and watch entries become literals of one projection, this many per array.
 LITERALS_PER_STEP = 200
+#: Watch entries and rules up to which they are constants of the plan; more of them are joined.
+MOST_LITERALS = 1_000
 
 
 def reason(text: Column | str, severity: str, weight: float, source: str = "heuristic") -> Column:
@@ -168,16 +172,25 @@ def _rule_hit(kind: str, pattern: str) -> Column | None:
     return None
 
 
-def apply_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+def apply_rules(df: DataFrame, rules: DataFrame, most_literals: int = MOST_LITERALS) -> DataFrame:
     """Add ``rule_reasons``: a reason per enabled rule that hits, in rule order.
 
-    The frame needs the part columns. A regular expression must be a constant to
-    be compiled once, so the rules (settings of a job, not data) are read first
-    and become literals of a projection over the URLs: no join, no pair table.
-    A long rule set is laid out over several projections.
+    The frame needs the part columns. Rules are settings of a job: up to ``most_literals``
+    of them become constants of a projection over the URLs, without a join; a long rule set is
+    laid out over several projections. Beyond that, only regular expressions (they must be
+    constants to be compiled once) stay in the plan; the other kinds are joined with the URLs.
+    Streams always take constants.
     """
-    spark = df.sparkSession
-    rows = [r for r in rules.select(RULES_SCHEMA.fieldNames()).collect() if r.enabled]
+    rules = rules.select(RULES_SCHEMA.fieldNames()).filter("enabled")
+    rows = (rules if df.isStreaming else rules.limit(most_literals + 1)).collect()
+    if len(rows) > most_literals and not df.isStreaming:
+        return _joined_rules(df, rules)
+    hits = [hit for _, hit in _literal_hits(df.sparkSession, rows)]
+    return _laid_out(df, "rule_reasons", hits, REASON_TYPE)
+
+
+def _literal_hits(spark: SparkSession, rows: list) -> list[tuple]:
+    """(row, reason or NULL) for every rule whose kind and pattern can hit."""
     usable = usable_patterns(spark, [r.pattern for r in rows if r.kind == "regex"])
     hits = []
     for r in rows:
@@ -185,31 +198,89 @@ def apply_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
             continue
         test = _rule_hit(r.kind, r.pattern)
         if test is not None:
-            hits.append(F.when(test, reason(f"rule: {r.name}", r.severity, r.weight, "rule")))
-    steps = [hits[i : i + LITERALS_PER_STEP] for i in range(0, len(hits), LITERALS_PER_STEP)]
-    out = df.withColumn("rule_reasons", F.array().cast(f"array<{REASON_TYPE}>"))
-    for step in steps:
-        out = out.withColumn(
-            "rule_reasons",
-            F.when(F.col("error").isNull(), F.concat("rule_reasons", F.array_compact(F.array(*step)))).otherwise(
-                F.col("rule_reasons")
-            ),
-        )
+            hits.append((r, F.when(test, reason(f"rule: {r.name}", r.severity, r.weight, "rule"))))
+    return hits
+
+
+def _laid_out(df: DataFrame, name: str, hits: list[Column], kind: str) -> DataFrame:
+    """Add the array of those hits that are not NULL; error rows have none."""
+    out = df.withColumn(name, F.array().cast(f"array<{kind}>"))
+    for i in range(0, len(hits), LITERALS_PER_STEP):
+        found = F.concat(name, F.array_compact(F.array(*hits[i : i + LITERALS_PER_STEP])))
+        out = out.withColumn(name, F.when(F.col("error").isNull(), found).otherwise(F.col(name)))
     return out
 
 
+def _joined_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same reasons by joins: hosts and top-level domains by key, parts of URLs by rare grams.
+
+    Each distinct URL meets its rules once. Rules keep their order by a number that is
+    written with them.
+    """
+    numbered = written(rules.withColumn("no", F.monotonically_increasing_id()), "rules")
+    text = F.concat(F.lit("rule: "), F.col("name"))
+    why = F.struct(text.alias("text"), "severity", "weight", F.lit("rule").alias("source"))
+    # an empty pattern is part of every URL and has no gram: such rules stay constants, like regular expressions
+    constant = (F.col("kind") == "regex") | (F.col("pattern") == "")
+    reasons = numbered.filter(~constant).select(F.col("no").alias("entry_id"), "kind", "pattern", why.alias("why"))
+    urls = df.filter("error IS NULL").select("u_trim", "u_host", "u_tld").distinct()
+    urls = written(urls, "rule-urls")
+
+    low = F.lower("pattern")
+    parts = reasons.filter(F.col("kind").isin("contains", "prefix", "suffix"))
+    found = containing(urls.select(F.lower("u_trim").alias("text")), parts.select("entry_id", low.alias("needle")))
+    told = found.join(parts.select("entry_id", "kind", low.alias("needle"), "why"), "entry_id")
+    fits = (
+        F.when(F.col("kind") == "prefix", F.col("text").startswith(F.col("needle")))
+        .when(F.col("kind") == "suffix", F.col("text").endswith(F.col("needle")))
+        .otherwise(True)
+    )
+    told = told.filter(fits).select("text", "entry_id", "why")
+    hits = urls.withColumn("text", F.lower("u_trim")).join(told, "text").select("u_trim", "entry_id", "why")
+    for kind, column in (("host_equals", "u_host"), ("tld", "u_tld")):
+        keyed = reasons.filter(F.col("kind") == kind).select(F.col("pattern").alias(column), "entry_id", "why")
+        hits = hits.unionByName(urls.join(keyed, column).select("u_trim", "entry_id", "why"))
+    per_url = hits.groupBy("u_trim").agg(F.collect_list(F.struct("entry_id", "why")).alias("_joined"))
+
+    kept = numbered.filter(constant).orderBy("no").collect()
+    numbers = [
+        F.when(hit.isNotNull(), F.struct(F.lit(r.no).alias("entry_id"), hit.alias("why")))
+        for r, hit in _literal_hits(df.sparkSession, kept)
+    ]
+    kind = f"struct<entry_id:bigint,why:{REASON_TYPE}>"
+    out = _laid_out(df, "_matched", numbers, kind).join(per_url, "u_trim", "left")
+    none = F.array().cast(f"array<{kind}>")
+    whole = F.concat("_matched", F.coalesce("_joined", none))
+    in_order = F.transform(F.array_sort(whole, lambda a, b: F.signum(a["entry_id"] - b["entry_id"]).cast("int")), lambda h: h["why"])
+    given = F.when(F.col("error").isNull(), in_order).otherwise(F.array().cast(f"array<{REASON_TYPE}>"))
+    return out.withColumn("rule_reasons", given).select(*df.columns, "rule_reasons")
+
+
 # ------------------------------------------------------------ watchlist ----
 
 
-def apply_watchlist(df: DataFrame, watchlist: DataFrame, url_col: str = "url") -> DataFrame:
-    """Add ``watch_hit``: some non-empty entry is part of the lower-cased URL."""
-    entry = F.lower(strip(F.col("entry")))
-    entries = [r[0] for r in watchlist.select(entry.alias("e")).filter("e <> ''").distinct().collect()]
-    entries.sort()
-    out = df.withColumn("watch_hit", F.lit(False))
+def apply_watchlist(
+    df: DataFrame, watchlist: DataFrame, url_col: str = "url", urls: DataFrame | None = None, most_literals: int = MOST_LITERALS
+) -> DataFrame:
+    """Add ``watch_hit``: some non-empty entry is part of the lower-cased URL.
+
+    Up to ``most_literals`` entries are constants of the plan. More of them are joined with the
+    distinct URLs by rare grams; ``urls`` may name a frame that holds the same URLs and is
+    cheaper to read than ``df``. Streams always take constants.
+    """
+    entries = watchlist.select(F.lower(strip(F.col("entry"))).alias("needle")).filter("needle <> ''").distinct()
     url = F.lower(strip(F.coalesce(F.col(url_col), F.lit(""))))
-    for i in range(0, len(entries), LITERALS_PER_STEP):
-        out = out.withColumn("watch_hit", F.col("watch_hit") | contains_any(url, entries[i : i + LITERALS_PER_STEP]))
+    rows = (entries if df.isStreaming else entries.limit(most_literals + 1)).collect()
+    if len(rows) > most_literals and not df.isStreaming:
+        texts = (df if urls is None else urls).select(url.alias("text"))
+        hits = containing(texts, entries.withColumn("entry_id", F.xxhash64("needle")))
+        hits = written(hits.select(F.col("text").alias("_watched")).distinct().withColumn("watch_hit", F.lit(True)), "watch-hits")
+        out = df.drop("watch_hit").withColumn("_watched", url).join(hits, "_watched", "left").drop("_watched")
+        return out.withColumn("watch_hit", F.coalesce("watch_hit", F.lit(False)))
+    out = df.withColumn("watch_hit", F.lit(False))
+    needles = sorted(r[0] for r in rows)
+    for i in range(0, len(needles), LITERALS_PER_STEP):
+        out = out.withColumn("watch_hit", F.col("watch_hit") | contains_any(url, needles[i : i + LITERALS_PER_STEP]))
     return out
 
 

@@ -170,7 +170,7 @@ def scan(
     )
     if watchlist is not None:
         hit = F.col("watch_hit")
-        out = R.apply_watchlist(out, watchlist).withColumns(
+        out = R.apply_watchlist(out, watchlist, urls=df).withColumns(
             {
                 "reasons": F.when(hit, F.concat("reasons", F.array(R.watch_reason()))).otherwise(F.col("reasons")),
                 "risk": F.when(hit, 100).otherwise(F.col("risk")),

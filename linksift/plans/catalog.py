@@ -226,6 +226,18 @@ def q_watchlist_override(spark, sf):
     )
 
 
+def q_watchlist_joined(spark, sf):
+    """A watchlist that grows with the pages, joined with the URLs."""
+    out = R.apply_watchlist(url_corpus(spark, sf), T_.many_entries(spark, sf), most_literals=0)
+    return out.select("url_id", F.col("watch_hit").cast("int").alias("watch_hit"))
+
+
+def q_rules_joined(spark, sf):
+    """Rules that grow with the pages, joined with the URLs; one row per hit."""
+    hits = R.apply_rules(with_url_parts(url_corpus(spark, sf)), T_.many_rules(spark, sf), most_literals=0)
+    return hits.select("url_id", F.explode("rule_reasons").alias("r")).select("url_id", "r.text", "r.severity", "r.weight")
+
+
 def flat_scan(scored: DataFrame) -> DataFrame:
     """A scan without nested columns."""
     nested = {"reasons", "flags", "tokens", "contributions", "conformal_set"}
@@ -632,6 +644,8 @@ QUERIES: dict[str, Query] = {
     "risk_score": q_risk_score,
     "top_risk": q_top_risk,
     "watchlist_override": q_watchlist_override,
+    "watchlist_joined": q_watchlist_joined,
+    "rules_joined": q_rules_joined,
     "scan_batch": q_scan_batch,
     "scan_linear": q_scan_linear,
     "scan_json": q_scan_json,

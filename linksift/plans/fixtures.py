@@ -12,7 +12,8 @@ from linksift.operators.explain import NODE_SCHEMA
 from linksift.operators.parse import with_url_features
 from linksift.operators.reasons import RULES_SCHEMA, default_rules
 from linksift.operators.registry import REGISTRY_SCHEMA
-from linksift.plans.train import labelled_features, written
+from linksift.plans.train import labelled_features
+from linksift.session import written
 from linksift.sources.corpus import url_corpus
 from linksift.sources.tables import table
 
@@ -142,6 +143,31 @@ def watchlist(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(e,) for e in WATCH_ENTRIES], "entry string")
 
 
+def many_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A watchlist that grows with the pages: their hosts in capitals, and a word with each page's number."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.upper(F.regexp_extract("url", "://([^/]+)", 1))
+    number = F.concat(F.lit(" Invoice"), F.col("page_id").cast("string"))
+    return pages.select(F.explode(F.array(host, number)).alias("entry"))
+
+
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules, and rules of each simple kind for the numbers, hosts and zones of the pages."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.col("page_id").cast("string")
+    host = F.lower(F.regexp_extract("url", "://([^/]+)", 1))
+    patterns = {
+        "contains": F.concat(F.lit("CASE="), number), "prefix": F.concat(F.lit("HTTPS://tinyurl.com/"), number),
+        "suffix": F.concat(F.lit("&F="), number), "host_equals": host, "tld": F.element_at(F.split(host, "[.]"), -1),
+    }
+    each = F.array(*[F.struct(F.lit(kind).alias("kind"), p.alias("pattern")) for kind, p in patterns.items()])
+    own = pages.select(F.inline(each)).distinct().select(
+        F.concat("kind", F.lit("-"), "pattern").alias("name"), "pattern", F.lit("low").alias("severity"), F.lit(0.1).alias("weight"), "kind",
+        F.lit(True).alias("enabled"),
+    )
+    return rules(spark).unionByName(own)
+
+
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One registry entry per event: the version is the event type, so versions repeat."""
     events = table(spark, sf_dir, "events")

@@ -560,6 +560,13 @@ _RULE_VALUES = ", ".join(
 )
 _RULE_COUNTS = "SELECT name, CAST(count(*) AS BIGINT) AS n_hits FROM (SELECT unnest(list_transform(rule_reasons, lambda r: r.text)) AS name FROM reasoned) GROUP BY name"
 
+_HOST = "regexp_extract(url, '://([^/]+)', 1)"
+_MANY_RULES = f"""many AS (
+  SELECT DISTINCT kind, pattern FROM (SELECT unnest([
+    {{'kind': 'contains', 'pattern': 'CASE=' || page_id}}, {{'kind': 'prefix', 'pattern': 'HTTPS://tinyurl.com/' || page_id}}, {{'kind': 'suffix', 'pattern': '&F=' || page_id}},
+    {{'kind': 'host_equals', 'pattern': lower({_HOST})}}, {{'kind': 'tld', 'pattern': split_part(lower({_HOST}), '.', -1)}}], recursive := true) FROM pages)
+)"""
+
 ORACLE: dict[str, str] = {
     "url_corpus": with_(CORPUS) + "SELECT url_id, page_id, variant, url, label FROM corpus",
     "url_lines": "SELECT url FROM pages",
@@ -592,6 +599,14 @@ FROM (VALUES {_RULE_VALUES}) AS r(name, pattern, severity, weight, kind, enabled
     "top_contributions": "WITH RECURSIVE " + with_(CORPUS, PARTS, FEATS, _FOREST).removeprefix("WITH ")
     + """SELECT url_id, CAST(rank AS INTEGER) AS rank, feature, round(amount, 6) AS amount, round((SELECT avg(share) FROM nodes WHERE id = 0), 6) AS base_value
 FROM (SELECT *, row_number() OVER (PARTITION BY url_id ORDER BY abs(amount) DESC, feature) AS rank FROM moved WHERE amount <> 0) WHERE rank <= 3""",
+    "watchlist_joined": _P
+    + f"""SELECT url_id, CAST(EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(trim(e)) AS e FROM (SELECT unnest([upper({_HOST}), ' Invoice' || page_id]) AS e FROM pages)) WHERE e <> '' AND contains(lower(u_trim), e)) AS INTEGER) AS watch_hit FROM parts""",
+    "rules_joined": with_(CORPUS, PARTS, FEATS, _MANY_RULES)
+    + f"""SELECT url_id, unnest(list_filter([{_RULE_HITS}], lambda r: r IS NOT NULL), recursive := true) FROM feats
+UNION ALL
+SELECT url_id, 'rule: ' || kind || '-' || pattern AS text, 'low' AS severity, {d(0.1)} AS weight FROM feats JOIN many ON error IS NULL AND CASE kind
+  WHEN 'contains' THEN contains(lower(u_trim), lower(pattern)) WHEN 'prefix' THEN starts_with(lower(u_trim), lower(pattern)) WHEN 'suffix' THEN ends_with(lower(u_trim), lower(pattern))
+  WHEN 'host_equals' THEN host = pattern ELSE tld = pattern END""",
     "watchlist_override": _R
     + f"SELECT url_id, CASE WHEN {_WATCH} THEN 100 WHEN error IS NULL THEN {risk('0.5')} ELSE 0 END AS risk, CASE WHEN {_WATCH} THEN 1 ELSE 0 END AS verdict, 0 AS abstain FROM reasoned",
     "scan_linear": _S

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml.regression import IsotonicRegressionModel
@@ -33,7 +32,7 @@ from linksift.operators.online import OnlineState, empty_state, state_from_table
 from linksift.operators.parse import with_url_features
 from linksift.operators.scoring import Scorer, fit_risk
 from linksift.operators.splits import half_split, stratified_split
-from linksift.session import shared_folder
+from linksift.session import written
 
 
 @dataclass
@@ -120,13 +119,6 @@ def labelled_features(df: DataFrame, rules: DataFrame | None = None) -> DataFram
     )
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: later steps read it instead of computing it again."""
-    path = shared_folder(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def train(
     labelled: DataFrame,
     cfg: JobConfig = JobConfig(),

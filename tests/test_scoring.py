@@ -5,9 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from linksift.operators.parse import with_url_features
-from linksift.operators.reasons import RULES_SCHEMA, apply_rules, default_rules
+from linksift.operators.containment import containing
+from linksift.operators.parse import with_url_features, with_url_parts
+from linksift.operators.reasons import RULES_SCHEMA, apply_rules, apply_watchlist, default_rules
 from linksift.operators.scoring import Scorer, alerts, fit_risk, plain_risk, scan, with_risk
+from linksift.plans import fixtures as T_
 from linksift.sinks import writers as S
 from linksift.sources.tables import read_rules, read_watchlist, url_lines
 
@@ -69,6 +71,40 @@ def test_watchlist_overrides(spark, tmp_path):
     assert row.reasons[-1].severity == "critical"
 
 
+def test_containing_against_brute_force(spark):
+    """Short, long, non-ASCII, repeated and empty needles, in short and empty texts too."""
+    texts = ["", "a", "abc", "abcd", "abcdabcd", "http://ab.cd/ef", "héllo wörld", "😀😀x", None, "abc", "x" * 3000 + "needle"]
+    needles = ["", "a", "bc", "abc", "abcd", "dabc", "wörl", "ö", "😀x", "needle", "xneedle", "nowhere", "http://ab.cd/ef", "longer than any", None, "abcd"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    entries = spark.createDataFrame(list(enumerate(needles)), "entry_id int, needle string")
+    got = sorted(tuple(r) for r in containing(df, entries).collect())
+    assert got == sorted({(t, i) for t in texts if t for i, n in enumerate(needles) if n and n in t})
+    assert containing(df, entries.limit(0)).count() == 0 and containing(df.limit(0), entries).count() == 0
+
+
+def test_many_rules_and_entries_are_joined(spark, sf):
+    """The joined way gives the literal way's rows, in rule order, for null, blank and broken URLs as well."""
+    given = [None, " ", "http://a.tk/login", "http://A.tk/login", "https://verify.example.com/x.html", "http://x.com/?case=1"]
+    corpus = with_url_parts(urls(spark, *given))
+    many = T_.rules(spark).unionByName(spark.createDataFrame([("all", "", "low", 0.1, "contains", True), ("host", "a.tk", "low", 0.3, "host_equals", True)], T_.rules(spark).schema))
+    plain, joined = apply_rules(corpus, many), apply_rules(corpus, many, most_literals=0)
+    assert joined.columns == plain.columns
+    assert sorted(joined.collect(), key=str) == sorted(plain.collect(), key=str)
+    watch = spark.createDataFrame([(" TK/",), ("",), (None,), ("é",), ("case=1",)], "entry string")
+    plain, joined = apply_watchlist(corpus, watch), apply_watchlist(corpus, watch, most_literals=0)
+    assert joined.columns == plain.columns
+    assert sorted(joined.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_a_hundred_thousand_entries(spark):
+    """A long list costs no plan of its own size."""
+    watch = spark.range(100_000).select(F.concat(F.lit("/case-"), "id", F.lit("-end")).alias("entry"))
+    df = spark.range(400).select(F.concat(F.lit("http://h"), F.col("id"), F.lit(".com/CASE-"), F.col("id") * 500, F.lit("-end?x")).alias("url"))
+    out = scan(df, Scorer(threshold=0.9), watchlist=watch)
+    assert len(out._jdf.queryExecution().analyzed().toString()) < 400_000
+    assert [r.n for r in out.groupBy("verdict").agg(F.count("*").alias("n")).orderBy("verdict").collect()] == [200, 200]
+
+
 def test_risk_rounds_half_to_even(spark):
     df = spark.createDataFrame([(0.125, 0.0), (0.375, 0.0)], "p double, s double")
     # 100 * 0.6 * p = 7.5 and 22.5
