@@ -13,6 +13,7 @@ frame with mixed-up values is not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -85,9 +86,36 @@ def _windows(df: DataFrame, words: str, width: int, hashes: str = "hashes") -> D
     return df
 
 
+PLACEHOLDERS = ("0", "xunitx", "xnamex")
+
+
+def _bare(df: DataFrame, words: str, width: int, name: str) -> DataFrame:
+    """Column ``name``: for each place of ``words`` whether more than three quarters of the window
+    from there are placeholders."""
+    df = df.withColumn(name, F.transform(words, lambda w: w.isin(*PLACEHOLDERS).cast("int")))
+    step = 1
+    while step < width:
+        df = df.withColumn(name, F.zip_with(name, F.slice(name, F.lit(step + 1), F.greatest(F.size(name), F.lit(1))), lambda a, b: a + F.coalesce(b, F.lit(0))))
+        step *= 2
+    return df.withColumn(name, F.transform(name, lambda n: n * 4 > width * 3))
+
+
+def _keyed_windows(df: DataFrame, width: int, kinds: dict[str, str]) -> DataFrame:
+    """For each words column of ``kinds`` an array with the key of each window: the hash of its words or,
+    in a window of hardly anything but placeholders, of the words ``r`` that stand behind
+    them. All runs of numbers look alike otherwise, and each would meet each."""
+    df = _windows(df, "r", width, "exact")
+    for words, name in kinds.items():
+        df = _bare(_windows(df, words, width, name), words, width, "bare")
+        key = lambda x: F.when(x["bare"], F.xxhash64(F.lit("exact"), x["exact"])).otherwise(x[name])  # noqa: B023, E731
+        df = df.withColumn(name, F.transform(F.arrays_zip(name, "exact", "bare"), key)).drop("bare")
+    return df.drop("exact")
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, width, n_windows, at, h, canon, raw: the windows of each item, with the
-    words of each. Items of fewer than ``WINDOW`` words have windows of ``SHORT_WINDOW``;
+    """item_id, width, n_windows, at, h, key, canon, raw: the windows of each item, with the
+    words of each. ``h`` is the hash of the words, ``key`` that by which windows are joined (see
+    ``_keyed_windows``). Items of fewer than ``WINDOW`` words have windows of ``SHORT_WINDOW``;
     those with fewer words still can't be told from ordinary prose and have none."""
     words = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).distinct().select(
         "item_id", canonical_words(F.col("text")).alias("c"), plain_words(F.col("text")).alias("p"), raw_words(F.col("text")).alias("r")
@@ -96,17 +124,29 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     for width, fits in ((WINDOW, F.size("c") >= WINDOW), (SHORT_WINDOW, F.size("c").between(SHORT_WINDOW, WINDOW - 1))):
         n = F.size("c") - width + 1
         for kind in ("c", "p"):
-            held = _windows(words.filter(fits), kind, width).withColumn("n_windows", n)
-            held = held.select("item_id", "n_windows", kind, "r", F.posexplode_outer(F.slice("hashes", F.lit(1), F.col("n_windows"))).alias("at", "h"))
+            held = _keyed_windows(_windows(words.filter(fits), kind, width), width, {kind: "keys"}).withColumn("n_windows", n)
+            both = F.slice(F.arrays_zip("hashes", "keys"), F.lit(1), F.col("n_windows"))
+            held = held.select("item_id", "n_windows", kind, "r", F.posexplode_outer(both).alias("at", "b"))
             parts.append(
                 held.select(
-                    "item_id", F.lit(width).alias("width"), "n_windows", "at", "h",
+                    "item_id", F.lit(width).alias("width"), "n_windows", "at", F.col("b.hashes").alias("h"), F.col("b.keys").alias("key"),
                     F.slice(kind, F.col("at") + 1, F.lit(width)).alias("canon"), F.slice("r", F.col("at") + 1, F.lit(width)).alias("raw"),
                 )
             )
     return reduce(DataFrame.union, parts).distinct()
 
 
+def matching_windows(
+    texts: DataFrame, windows: DataFrame, width: int, sent: Callable[[DataFrame], DataFrame] = F.broadcast
+) -> DataFrame:
+    """(text_key, place) and the columns of each window of an item that stands at this place of the text."""
+    words = texts.withColumn("c", canonical_words(F.col("text"))).withColumn("p", plain_words(F.col("text"))).withColumn("r", raw_words(F.col("text")))
+    keyed = _keyed_windows(words, width, {"c": "named", "p": "lower"})
+    places = keyed.select("text_key", F.posexplode_outer(F.arrays_zip("named", "lower")).alias("place", "b"))
+    places = places.select("text_key", "place", F.explode_outer(F.array_distinct(F.array("b.named", "b.lower"))).alias("key"))
+    return places.join(sent(windows), "key")
+
+
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = COVERED) -> DataFrame:
     """(text_key, item_id, n_windows, n_covered, kind) for each distinct text and each item
     of which it holds enough windows, or a run of ``RUN`` words. kind: verbatim or reparameterised."""
@@ -131,10 +171,7 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame, covered: float = C
 
     found = None
     for width in widths:
-        both = F.arrays_zip("named", "lower")
-        places = hashed(texts, width).select("text_key", F.posexplode_outer(both).alias("place", "b"))
-        places = places.select("text_key", "place", F.explode_outer(F.array_distinct(F.array("b.named", "b.lower"))).alias("h"))
-        own = places.join(sent(bench.filter(F.col("width") == width)), "h")
+        own = matching_windows(texts, bench.filter(F.col("width") == width), width, sent)
         found = own if found is None else found.unionByName(own)
     found = written(found, "hit-windows")
     places = found.groupBy("text_key").agg(F.collect_set(F.struct("place", "width")).alias("places"))
