@@ -19,7 +19,6 @@ import hashlib
 import heapq
 import re
 import zlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
 
@@ -36,9 +35,11 @@ SHARED = 24
 #: Words up to each of these lengths are cut together.
 LENGTHS = (6, 10, 16, SHARED)
 #: A worker forgets its courses beyond this many; they are found again when needed.
-KEPT = 600_000
+KEPT = 500_000
 #: Characters of text that are cut at a time.
-AT_A_TIME = 3_000_000
+AT_A_TIME = 1_500_000
+#: Occurrences whose candidates are drawn at a time.
+DRAWN = 50_000
 BLANK = "▁"
 WORD = re.compile(" +[^ ]*")
 _GOLDEN, _FULL = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -86,12 +87,14 @@ class Courses:
 
     Course v owns the merges ``begin[v]`` to ``begin[v] + size[v]`` and the ids
     ``out_begin[v]`` to ``out_begin[v] + out_size[v]``; ``child`` is -1 where the course after a
-    struck merge is not known yet.
+    struck merge is not known yet. It is a course of the word ``word[v]`` after the merge ``up[v]``
+    was struck (-1: none); its first ``skip[v]`` merges stand in the courses above it.
     """
 
     def __init__(self) -> None:
         self.root: dict[str, int] = {}
-        self.of: list[tuple[str, tuple[int, ...], int]] = []
+        self.words: list[str] = []
+        self.length, self.word, self.up, self.skip = (Grown(t) for t in ("i1", "i4", "i8", "i1"))
         self.place, self.child = Grown("u8"), Grown("i8")
         self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown(t) for t in ("i8", "i8", "i8", "i8", "i4"))
 
@@ -172,13 +175,12 @@ class Pieces:
             open_ = open_[~same & (held != -1)]
         return out
 
-    def many(self, words: list[str], gone: list[tuple[int, ...]], n: int) -> tuple[np.ndarray, ...]:
+    def many(self, words: list[str], gone: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
         """Words of up to n characters at once, in each round every word takes its best merge: the
-        places of the merges taken and their number, the symbols, their number and where they start."""
+        places of the merges taken and their number, the symbols, their number and where they start.
+        The rows of ``gone`` hold the places of struck merges, then zeros."""
         rows = len(words)
-        struck = np.zeros((rows, max(map(len, gone))), np.uint64)  # no candidate has place 0
-        for i, g in enumerate(gone):
-            struck[i, : len(g)] = g
+        struck = gone[:, gone.any(0)]  # no candidate has place 0
         symbol = self.symbol_of[np.array(words, f"U{n}").view("u4").reshape(rows, n)]
         start = np.tile(np.arange(n + 1, dtype=np.int8), (rows, 1))
         width, steps = np.array(list(map(len, words))), np.zeros(rows, np.int64)
@@ -266,21 +268,40 @@ class Pieces:
                 ids += self.bytes_of(word[i])
         return ids
 
-    def add_courses(self, wanted: list[tuple[str, tuple[int, ...], int]]) -> np.ndarray:
-        """Courses of (word, places of its struck merges, merges at the start that stand in earlier courses)."""
+    def add_words(self, words: list[str]) -> np.ndarray:
+        """The courses of new words without any struck merge."""
+        c, n = self.courses, len(words)
+        at = len(c.words) + np.arange(n)
+        c.words += words
+        c.length.extend(np.array(list(map(len, words)), np.int8))
+        return self.add_courses(at, np.zeros((n, 0), np.uint64), np.zeros(n, np.int64), np.full(n, -1))
+
+    def add_struck(self, merges: np.ndarray) -> np.ndarray:
+        """The courses after each of some merges is struck."""
+        c = self.courses
+        parent = np.searchsorted(c.begin.data[: c.begin.n], merges, "right") - 1
+        gone, merge, course = [], merges, parent
+        while (merge >= 0).any():
+            gone.append(np.where(merge >= 0, c.place.data[merge], np.uint64(0)))
+            merge = np.where(merge >= 0, c.up.data[course], -1)
+            course = np.searchsorted(c.begin.data[: c.begin.n], merge, "right") - 1
+        return self.add_courses(c.word.data[parent], np.stack(gone, 1), c.skip.data[parent] + merges - c.begin.data[parent], merges)
+
+    def add_courses(self, word: np.ndarray, gone: np.ndarray, skips: np.ndarray, up: np.ndarray) -> np.ndarray:
+        """Courses of words (their numbers) from the places of their struck merges, the number of
+        merges at the start that stand in earlier courses, and the merge struck last."""
         c = self.courses
-        number = np.zeros(len(wanted), np.int64)
-        by_length: dict[int, list[int]] = {}
-        for i, (word, _, _) in enumerate(wanted):
-            by_length.setdefault(LENGTHS[bisect_left(LENGTHS, len(word))], []).append(i)
-        for most, of_length in by_length.items():
+        number = np.zeros(len(word), np.int64)
+        length = np.searchsorted(LENGTHS, c.length.data[word])
+        for most, of_length in [(LENGTHS[i], np.flatnonzero(length == i)) for i in np.unique(length).tolist()]:
             for lo in range(0, len(of_length), 20_000):
                 at = of_length[lo : lo + 20_000]
-                words, gone, skip = zip(*[wanted[i] for i in at])
-                taken, steps, symbol, width, start = self.many(list(words), list(gone), most)
-                skip = np.array(skip, np.int64)
-                number[at] = np.arange(len(c.of), len(c.of) + len(at))
-                c.of.extend(wanted[i] for i in at)
+                words, skip = [c.words[i] for i in word[at].tolist()], skips[at]
+                taken, steps, symbol, width, start = self.many(words, gone[at], most)
+                number[at] = np.arange(c.word.n, c.word.n + len(at))
+                c.word.extend(word[at])
+                c.up.extend(up[at])
+                c.skip.extend(skip)
                 c.begin.extend(c.place.n + np.cumsum(steps - skip) - (steps - skip))
                 c.size.extend(steps - skip)
                 order = np.arange(taken.shape[1])
@@ -314,29 +335,29 @@ class Pieces:
         c, course = self.courses, course.copy()
         live = np.flatnonzero(course >= 0)
         while len(live):
-            v = course[live]
-            size = c.size.data[v]
-            ends = np.cumsum(size)
-            at = np.arange(ends[-1]) - np.repeat(ends - size - c.begin.data[v], size)
-            hit = np.flatnonzero(self.struck(np.repeat(key[live], size), c.place.data[at]))
-            own = np.searchsorted(ends, hit, "right")
-            first = np.ones(len(hit), bool)
-            first[1:] = own[1:] != own[:-1]
-            merge, live = at[hit[first]], live[own[first]]
+            merges, going = [], []
+            for lo in range(0, len(live), DRAWN):
+                some = live[lo : lo + DRAWN]
+                v = course[some]
+                size = c.size.data[v]
+                ends = np.cumsum(size)
+                at = np.arange(ends[-1]) - np.repeat(ends - size - c.begin.data[v], size)
+                hit = np.flatnonzero(self.struck(np.repeat(key[some], size), c.place.data[at]))
+                own = np.searchsorted(ends, hit, "right")
+                first = np.ones(len(hit), bool)
+                first[1:] = own[1:] != own[:-1]
+                merges.append(at[hit[first]])
+                going.append(some[own[first]])
+            merge, live = np.concatenate(merges), np.concatenate(going)
             unknown = np.unique(merge[c.child.data[merge] < 0])
             if len(unknown):
-                wanted = []
-                parent = np.searchsorted(c.begin.data[: c.begin.n], unknown, "right") - 1
-                for v, place, nth in zip(parent.tolist(), c.place.data[unknown].tolist(), (unknown - c.begin.data[parent]).tolist()):
-                    word, gone, skip = c.of[v]
-                    wanted.append((word, (*gone, place), skip + nth))
-                c.child.data[unknown] = self.add_courses(wanted)
+                c.child.data[unknown] = self.add_struck(unknown)
             course[live] = c.child.data[merge]
         return course
 
     def encode(self, texts: list[str], doc_ids: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins (with the end of the last)."""
-        if len(self.courses.of) > KEPT:
+        if self.courses.word.n > KEPT:
             self.courses = Courses()
         cuts = [WORD.findall(" " + t) if t else [] for t in texts]
         counts = np.array([len(cut) for cut in cuts], np.int64)
@@ -346,7 +367,7 @@ class Pieces:
         found = list(map(c.root.get, words))
         if None in found:
             new = sorted({w for w, v in zip(words, found) if v is None and len(w) <= SHARED})
-            c.root.update(zip(new, self.add_courses([(w, (), 0) for w in new]).tolist()))
+            c.root.update(zip(new, self.add_words(new).tolist()))
             found = [c.root.get(w, -1) if v is None else v for w, v in zip(words, found)]
         place = np.arange(len(words)) - np.repeat(ends - counts, counts)
         salt = np.array([_key(self.seed, "document", i) for i in doc_ids], np.uint64)
