@@ -45,6 +45,8 @@ FILTER_BITS = 1 << 25
 PROBES, CHUNK_BITS = 4, 1 << 16
 #: Characters of text whose words are numbered together.
 BLOCK = 1 << 22
+#: Phrases spelled out at a time.
+SPELLED = 20_000
 STOPS = ".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + STOPS.encode(), b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(STOPS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -208,12 +210,17 @@ def spell(blocks: DataFrame, sent: Broadcast, longest: int) -> DataFrame:
             for row in range(batch.num_rows):
                 lang = batch.column(0)[row].as_py()
                 block = Grams(lang, batch.column(1)[row].as_py(), batch.column(2)[row].as_py(), sent.value, None)
-                found = [([b""], np.zeros((1, 2), np.uint64), int(block.inside.sum()))]
-                if sent.value is not None and block.words:
-                    seen = np.flatnonzero(holds(sent.value, block.of_word[:, 0]))
-                    found.append(([block.words[i] for i in seen.tolist()], block.of_word[seen], 0))
-                found += [(block.spelled(place, length), h, 0) for _, _, length, h, place in block.levels(longest)]
-                for phrases, h, n in found:
+
+                def found() -> Iterator[tuple[list[bytes], np.ndarray, int]]:
+                    yield [b""], np.zeros((1, 2), np.uint64), int(block.inside.sum())
+                    if sent.value is not None and block.words:
+                        seen = np.flatnonzero(holds(sent.value, block.of_word[:, 0]))
+                        yield [block.words[i] for i in seen.tolist()], block.of_word[seen], 0
+                    for _, _, length, h, place in block.levels(longest):
+                        for at in range(0, len(place), SPELLED):
+                            yield block.spelled(place[at : at + SPELLED], length), h[at : at + SPELLED], 0
+
+                for phrases, h, n in found():
                     two, m = np.ascontiguousarray(h).view(np.int64), len(phrases)
                     text = pa.array(phrases, pa.binary()).cast(pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), text, pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array([n] * m, pa.int64())], ["lang", "phrase", "h1", "h2", "n"])
