@@ -36,20 +36,20 @@ UNITS = (
 )
 #: A word with a capital and small letters, wherever it stands: at a sentence start it may be an
 #: ordinary word, but then its slot holds the same value on both sides.
-NAME = r"(?<![\p{L}0-9])\p{Lu}\p{Ll}\p{L}*"
+NAME = r"(?=\p{Lu})(?<![\p{L}0-9])\p{Lu}\p{Ll}\p{L}*"  # the cheap look at the letter comes first
 NUMBER = r"[0-9]+(?:[.,:][0-9]+)*"
 WORD_END = r"[^0-9\p{L}·]+"
-UNIT = r"(?i)(?<=0)[^0-9\p{L}·]*(?:" + "|".join(UNITS) + r")(?![\p{L}0-9·])"
+UNIT = r"(?i)0[^0-9\p{L}·]*(?:" + "|".join(UNITS) + r")(?![\p{L}0-9·])"
 
 
 def _plain(text: Column) -> Column:
-    return F.translate(text, "·", " ")
+    return F.replace(text, F.lit("·"), F.lit(" "))  # translate looks every character up
 
 
 def _typed(text: Column) -> Column:
     """0 for a number and xunitx for a unit, in the text's own case."""
-    typed = F.regexp_replace(F.regexp_replace(_plain(text), NUMBER, "0"), UNIT, " xunitx")
-    return F.regexp_replace(typed, r"(?<=[0-9])(?=\p{L})", " ")
+    typed = F.regexp_replace(F.regexp_replace(_plain(text), NUMBER, "0"), UNIT, "0 xunitx")
+    return F.regexp_replace(typed, r"[0-9](?=\p{L})", "$0 ")
 
 
 def _words(text: Column) -> Column:
@@ -69,7 +69,7 @@ def plain_words(text: Column) -> Column:
 def raw_words(text: Column) -> Column:
     """The words that stand behind the canonical ones, place by place, lower-cased."""
     joined = F.regexp_replace(_plain(text), r"(?<=[0-9])[.,:](?=[0-9])", "·")
-    return _words(F.regexp_replace(joined, r"(?<=[0-9])(?=\p{L})", " "))
+    return _words(F.regexp_replace(joined, r"[0-9](?=\p{L})", "$0 "))
 
 
 def _windows(df: DataFrame, words: str, width: int, hashes: str = "hashes") -> DataFrame:
