@@ -10,7 +10,8 @@ cut, and no dropout the library's own. Every segmentation decodes to the text.
 What does not depend on the key is kept by a worker: the merges that the agenda takes for a
 word (its course), and the courses after some of them are struck. An occurrence follows
 the word's course up to its own first struck merge and goes on with the course after that one.
-Courses are found when an occurrence first needs them; none is left out.
+A course is kept from the second time that it is needed; an occurrence that needs it for the
+first time is cut by itself, with its own draws. Both give the same cut.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +37,13 @@ SHARED = 24
 #: Words up to each of these lengths are cut together.
 LENGTHS = (6, 10, 16, SHARED)
 #: A worker forgets its courses beyond this many; they are found again when needed.
-KEPT = 500_000
-#: Characters of text that are cut at a time.
-AT_A_TIME = 1_500_000
+KEPT = 300_000
+#: Bytes of text that are cut at a time.
+AT_A_TIME = 1_000_000
 #: Occurrences whose candidates are drawn at a time.
 DRAWN = 50_000
+#: Places for the hashes of words met once; words that share one are kept a time too early.
+MET = 1 << 22
 BLANK = "▁"
 WORD = re.compile(" +[^ ]*")
 _GOLDEN, _FULL = 0x9E3779B97F4A7C15, (1 << 64) - 1
@@ -62,10 +66,9 @@ def _place(a: int, b: int, e: int) -> int:
     return ((a << 42) ^ (b << 21) ^ e) * _GOLDEN & _FULL
 
 
-def _places(a: np.ndarray, b: np.ndarray, e: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        a, b, e = (x.astype(np.uint64) for x in (a, b, e))
-        return ((a << np.uint64(42)) ^ (b << np.uint64(21)) ^ e) * np.uint64(_GOLDEN)
+#: The same by the number of a candidate in a word of less than 32 characters: a, b and e in five bits each.
+_a, _b, _e = (np.arange(1 << 15, dtype=np.uint64) >> np.uint64(x) & np.uint64(31) for x in (10, 5, 0))
+_PLACES = ((_a << np.uint64(42)) ^ (_b << np.uint64(21)) ^ _e) * np.uint64(_GOLDEN)
 
 
 class Grown:
@@ -87,16 +90,18 @@ class Courses:
 
     Course v owns the merges ``begin[v]`` to ``begin[v] + size[v]`` and the ids
     ``out_begin[v]`` to ``out_begin[v] + out_size[v]``; ``child`` is -1 where the course after a
-    struck merge is not known yet. It is a course of the word ``word[v]`` after the merge ``up[v]``
-    was struck (-1: none); its first ``skip[v]`` merges stand in the courses above it.
+    struck merge was never needed, -2 where it was needed once. It is a course of the word
+    ``word[v]`` after the merge ``up[v]`` was struck (-1: none); its first ``skip[v]`` merges stand
+    in the courses above it. Words are kept without the blank before them.
     """
 
     def __init__(self) -> None:
         self.root: dict[str, int] = {}
         self.words: list[str] = []
-        self.length, self.word, self.up, self.skip = (Grown(t) for t in ("i1", "i4", "i8", "i1"))
-        self.place, self.child = Grown("u8"), Grown("i8")
-        self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown(t) for t in ("i8", "i8", "i8", "i8", "i4"))
+        self.length, self.word, self.up, self.skip = (Grown(t) for t in ("i1", "i4", "i4", "i1"))
+        self.candidate, self.child = Grown("i2"), Grown("i4")
+        self.begin, self.size, self.out_begin, self.out_size, self.out = (Grown(t) for t in ("i4", "i1", "i4", "i2", "i4"))
+        self.met = np.zeros(MET, bool)
 
 
 class Pieces:
@@ -175,51 +180,81 @@ class Pieces:
             open_ = open_[~same & (held != -1)]
         return out
 
-    def many(self, words: list[str], gone: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
-        """Words of up to n characters at once, in each round every word takes its best merge: the
-        places of the merges taken and their number, the symbols, their number and where they start.
-        The rows of ``gone`` hold the places of struck merges, then zeros."""
-        rows = len(words)
-        struck = gone[:, gone.any(0)]  # no candidate has place 0
-        symbol = self.symbol_of[np.array(words, f"U{n}").view("u4").reshape(rows, n)]
-        start = np.tile(np.arange(n + 1, dtype=np.int8), (rows, 1))
-        width, steps = np.array(list(map(len, words))), np.zeros(rows, np.int64)
-        taken = np.zeros((rows, n - 1), np.uint64)
-        rank = np.full((rows, n), _NEVER, np.int32)
-
-        def allowed(r: np.ndarray, c: np.ndarray) -> np.ndarray:
-            new = self.ranks(symbol[r, c], symbol[r, c + 1])
-            if struck.shape[1]:
+    def many(self, words: list[str], n: int, gone: np.ndarray | None = None, key: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """Words of up to n characters with the blank before them at once, in each round every word
+        takes its best merge: the candidates taken (with ``gone``) and their number, the ids, and
+        how many each word has. Struck are the candidates in the rows of ``gone``, in which 0 is
+        none, or those drawn by the keys."""
+        rows, w = len(words), n + 1
+        width = np.fromiter(map(len, words), np.int64, rows) + 1
+        symbol = np.full((rows, w), -2, np.int32)  # by the place at which it begins; -2: none begins there
+        symbol[:, 0] = self.symbol_of[32]
+        symbol[:, 1:n] = self.symbol_of[np.array(words, f"U{n - 1}").view("u4").reshape(rows, n - 1)]
+        columns = np.arange(w)
+        symbol[columns >= width[:, None]] = -2
+        after, before = np.tile(columns + 1, (rows, 1)), np.tile(columns - 1, (rows, 1))
+        rank = np.full((rows, w), _NEVER, np.int32)
+        taken, steps = np.zeros((rows, n), np.int16), np.zeros(rows, np.int64)
+        if gone is not None and gone.shape[1]:
+            gone = gone[:, gone.any(0)]
+        symbols, afters, befores, ranks = symbol.reshape(-1), after.reshape(-1), before.reshape(-1), rank.reshape(-1)
+
+        def put(row: np.ndarray, a: np.ndarray, b: np.ndarray, e: np.ndarray) -> None:
+            """The rank of the symbols [a, b) and [b, e) at the place a."""
+            base = row * w
+            new = self.ranks(symbols[base + a], symbols[base + b])
+            if self.dropout and (key is not None or gone is not None and gone.shape[1]):
                 some = np.flatnonzero(new != _NEVER)
-                x, y = r[some], c[some]
-                out = (struck[x] == _places(start[x, y], start[x, y + 1], start[x, y + 2])[:, None]).any(1)
+                candidate = a[some] << 10 | b[some] << 5 | e[some]
+                if key is not None:
+                    out = self.struck(key[row[some]], _PLACES[candidate])
+                else:
+                    out = (gone[row[some]] == candidate[:, None]).any(1)
                 new[some[out]] = _NEVER
-            return new
+            ranks[base + a] = new
 
-        r, c = np.nonzero(np.arange(1, n) < width[:, None])
-        rank[r, c] = allowed(r, c)
-        live, columns = np.arange(rows), np.arange(n + 1)
+        r, c = np.nonzero(columns < width[:, None] - 1)
+        put(r, c, c + 1, c + 2)
+        live = np.arange(rows)
         while len(live):
-            at = rank[live].argmin(1)
-            go = rank[live, at] != _NEVER
-            live, at = live[go], at[go]
-            if not len(live):
-                break
-            taken[live, steps[live]] = _places(start[live, at], start[live, at + 1], start[live, at + 2])
-            steps[live] += 1
-            symbol[live, at] = self.result[rank[live, at]]
-            # the symbol after the merged one goes; those behind it move up
-            move = np.minimum(columns + (columns > at[:, None]), n)
-            start[live] = start.reshape(-1)[move + (live * (n + 1))[:, None]]
-            move = np.minimum(move[:, :-1], n - 1) + (live * n)[:, None]
-            symbol[live] = symbol.reshape(-1)[move]
-            rank[live] = rank.reshape(-1)[move]
-            width[live] -= 1
-            rank[live, width[live] - 1] = _NEVER
-            for side in (at - 1, at):
-                ok = (side >= 0) & (side + 1 < width[live])
-                rank[live[ok], side[ok]] = allowed(live[ok], side[ok])
-        return taken, steps, symbol, width, start
+            a = rank[live].argmin(1)
+            best = ranks[live * w + a]
+            go = best != _NEVER
+            if not go.all():
+                live, a, best = live[go], a[go], best[go]
+                if not len(live):
+                    break
+            base = live * w
+            b = afters[base + a]
+            e = afters[base + b]
+            if key is None:
+                taken[live, steps[live]] = a << 10 | b << 5 | e
+                steps[live] += 1
+            symbols[base + a] = self.result[best]
+            symbols[base + b] = -2
+            ranks[base + a] = _NEVER
+            ranks[base + b] = _NEVER
+            afters[base + a] = e
+            befores[base + e] = a  # behind the last character no one looks
+            left, right = np.flatnonzero(a > 0), np.flatnonzero(e < width[live])
+            x, y = befores[base[left] + a[left]], afters[base[right] + e[right]]
+            put(np.concatenate((live[left], live[right])), np.concatenate((x, a[right])), np.concatenate((a[left], e[right])), np.concatenate((e[left], y)))
+        held = symbol != -2
+        sizes = held.sum(1)
+        odd = np.flatnonzero((symbol == -1).any(1))
+        if not len(odd):
+            return taken, steps, symbol[held], sizes
+        # characters without a piece are written as their bytes
+        ids, ends = symbol[held].tolist(), np.cumsum(sizes).tolist()
+        out: list[list[int]] = []
+        done = 0
+        for i in odd.tolist():
+            at = np.flatnonzero(held[i]).tolist()
+            own = ids[ends[i] - len(at) : ends[i]]
+            own = list(chain.from_iterable([x] if x >= 0 else self.bytes_of(words[i][p - 1]) for x, p in zip(own, at)))
+            out += [ids[done : ends[i] - len(at)], own]
+            done, sizes[i] = ends[i], len(own)
+        return taken, steps, np.array(list(chain.from_iterable([*out, ids[done:]])), np.int32), sizes
 
     def struck(self, key: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Whether the candidate at a place is dropped for the occurrence with a key."""
@@ -273,8 +308,8 @@ class Pieces:
         c, n = self.courses, len(words)
         at = len(c.words) + np.arange(n)
         c.words += words
-        c.length.extend(np.array(list(map(len, words)), np.int8))
-        return self.add_courses(at, np.zeros((n, 0), np.uint64), np.zeros(n, np.int64), np.full(n, -1))
+        c.length.extend(np.fromiter(map(len, words), np.int8, n))
+        return self.add_courses(at, np.zeros((n, 0), np.int16), np.zeros(n, np.int64), np.full(n, -1))
 
     def add_struck(self, merges: np.ndarray) -> np.ndarray:
         """The courses after each of some merges is struck."""
@@ -282,54 +317,49 @@ class Pieces:
         parent = np.searchsorted(c.begin.data[: c.begin.n], merges, "right") - 1
         gone, merge, course = [], merges, parent
         while (merge >= 0).any():
-            gone.append(np.where(merge >= 0, c.place.data[merge], np.uint64(0)))
+            gone.append(np.where(merge >= 0, c.candidate.data[merge], 0))
             merge = np.where(merge >= 0, c.up.data[course], -1)
             course = np.searchsorted(c.begin.data[: c.begin.n], merge, "right") - 1
         return self.add_courses(c.word.data[parent], np.stack(gone, 1), c.skip.data[parent] + merges - c.begin.data[parent], merges)
 
     def add_courses(self, word: np.ndarray, gone: np.ndarray, skips: np.ndarray, up: np.ndarray) -> np.ndarray:
-        """Courses of words (their numbers) from the places of their struck merges, the number of
+        """Courses of words (their numbers) from their struck merges, the number of
         merges at the start that stand in earlier courses, and the merge struck last."""
         c = self.courses
         number = np.zeros(len(word), np.int64)
-        length = np.searchsorted(LENGTHS, c.length.data[word])
-        for most, of_length in [(LENGTHS[i], np.flatnonzero(length == i)) for i in np.unique(length).tolist()]:
-            for lo in range(0, len(of_length), 20_000):
-                at = of_length[lo : lo + 20_000]
-                words, skip = [c.words[i] for i in word[at].tolist()], skips[at]
-                taken, steps, symbol, width, start = self.many(words, gone[at], most)
-                number[at] = np.arange(c.word.n, c.word.n + len(at))
-                c.word.extend(word[at])
-                c.up.extend(up[at])
-                c.skip.extend(skip)
-                c.begin.extend(c.place.n + np.cumsum(steps - skip) - (steps - skip))
-                c.size.extend(steps - skip)
-                order = np.arange(taken.shape[1])
-                c.place.extend(taken[(order >= skip[:, None]) & (order < steps[:, None])])
-                c.child.extend(np.full(int((steps - skip).sum()), -1))
-                held = np.arange(symbol.shape[1]) < width[:, None]
-                odd = np.flatnonzero(((symbol < 0) & held).any(1))
-                # other characters without a piece are written as their bytes, behind the rest
-                outs = []
-                for i, row in zip(odd.tolist(), symbol[odd].tolist()):
-                    outs.append(list(chain.from_iterable([x] if x >= 0 else self.bytes_of(words[i][a]) for x, a in zip(row[: width[i]], start[i].tolist()))))
-                held[odd] = False
-                sizes = width.copy()
-                sizes[odd] = 0
-                where = c.out.n + np.cumsum(sizes) - sizes
-                c.out.extend(symbol[held])
-                sizes[odd] = [len(x) for x in outs]
-                where[odd] = c.out.n + np.cumsum(sizes[odd]) - sizes[odd]
-                c.out.extend(np.array(list(chain.from_iterable(outs)), np.int64))
-                c.out_begin.extend(where)
-                c.out_size.extend(sizes)
+        for most, at in _by_length(c.length.data[word]):
+            words, skip = [c.words[i] for i in word[at].tolist()], skips[at]
+            taken, steps, ids, sizes = self.many(words, most, gone=gone[at])
+            number[at] = np.arange(c.word.n, c.word.n + len(at))
+            c.word.extend(word[at])
+            c.up.extend(up[at])
+            c.skip.extend(skip)
+            c.begin.extend(c.candidate.n + np.cumsum(steps - skip) - (steps - skip))
+            c.size.extend(steps - skip)
+            order = np.arange(taken.shape[1])
+            c.candidate.extend(taken[(order >= skip[:, None]) & (order < steps[:, None])])
+            c.child.extend(np.full(int((steps - skip).sum()), -1))
+            c.out_begin.extend(c.out.n + np.cumsum(sizes) - sizes)
+            c.out_size.extend(sizes)
+            c.out.extend(ids)
         return number
 
+    def cut(self, words: list[str], key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of some occurrences, each with its own draws; where each one's begin, and their number."""
+        outs, n = [np.zeros(0, np.int32)], 0
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for most, at in _by_length(np.fromiter(map(len, words), np.int64, len(words))):
+            _, _, ids, sizes = self.many([words[i] for i in at.tolist()], most, key=key[at])
+            begin[at], size[at] = n + np.cumsum(sizes) - sizes, sizes
+            outs.append(ids)
+            n += len(ids)
+        return np.concatenate(outs), begin, size
+
     def bytes_of(self, char: str) -> list[int]:
         return self.byte[list(char.encode("utf-8", "surrogatepass"))].tolist()
 
     def follow(self, course: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The course on which each occurrence ends; -1 stays."""
+        """The course on which each occurrence ends; -1 stays, or where it needs one that was never needed before."""
         if not self.dropout:
             return course
         c, course = self.courses, course.copy()
@@ -339,48 +369,66 @@ class Pieces:
             for lo in range(0, len(live), DRAWN):
                 some = live[lo : lo + DRAWN]
                 v = course[some]
-                size = c.size.data[v]
+                size = c.size.data[v].astype(np.int64)
                 ends = np.cumsum(size)
                 at = np.arange(ends[-1]) - np.repeat(ends - size - c.begin.data[v], size)
-                hit = np.flatnonzero(self.struck(np.repeat(key[some], size), c.place.data[at]))
+                hit = np.flatnonzero(self.struck(np.repeat(key[some], size), _PLACES[c.candidate.data[at]]))
                 own = np.searchsorted(ends, hit, "right")
                 first = np.ones(len(hit), bool)
                 first[1:] = own[1:] != own[:-1]
                 merges.append(at[hit[first]])
                 going.append(some[own[first]])
             merge, live = np.concatenate(merges), np.concatenate(going)
-            unknown = np.unique(merge[c.child.data[merge] < 0])
-            if len(unknown):
-                c.child.data[unknown] = self.add_struck(unknown)
-            course[live] = c.child.data[merge]
+            unknown, times = np.unique(merge[c.child.data[merge] < 0], return_counts=True)
+            again = (times > 1) | (c.child.data[unknown] == -2)
+            c.child.data[unknown[~again]] = -2
+            if again.any():
+                c.child.data[unknown[again]] = self.add_struck(unknown[again])
+            after = c.child.data[merge]
+            course[live] = np.maximum(after, -1)
+            live = live[after >= 0]
         return course
 
     def encode(self, texts: list[str], doc_ids: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and where each text begins (with the end of the last)."""
         if self.courses.word.n > KEPT:
             self.courses = Courses()
-        cuts = [WORD.findall(" " + t) if t else [] for t in texts]
+        # words begin with blanks, the first of which is left out here
+        cuts = [(t.split(" ") if "  " not in t and t[0] != " " else [w[1:] for w in WORD.findall(" " + t)]) if t else [] for t in texts]
         counts = np.array([len(cut) for cut in cuts], np.int64)
         words = list(chain.from_iterable(cuts))
+        del cuts
         ends = np.cumsum(counts)
         c = self.courses
-        found = list(map(c.root.get, words))
-        if None in found:
-            new = sorted({w for w, v in zip(words, found) if v is None and len(w) <= SHARED})
-            c.root.update(zip(new, self.add_words(new).tolist()))
-            found = [c.root.get(w, -1) if v is None else v for w, v in zip(words, found)]
+        found = np.fromiter(map(c.root.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(found < 0)
+        new_words = [words[i] for i in new.tolist()]
+        short = np.fromiter(map(len, new_words), np.int64, len(new)) < SHARED
+        hashes = np.fromiter(map(hash, new_words), np.int64, len(new)) & (MET - 1)
+        _, of, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        again = np.flatnonzero(short & ((times[of] > 1) | c.met[hashes]))
+        c.met[hashes] = True
+        if len(again):
+            kept = sorted({new_words[i] for i in again.tolist()})
+            c.root.update(zip(kept, self.add_words(kept).tolist()))
+            found[new[again]] = [c.root[new_words[i]] for i in again.tolist()]
         place = np.arange(len(words)) - np.repeat(ends - counts, counts)
         salt = np.array([_key(self.seed, "document", i) for i in doc_ids], np.uint64)
         with np.errstate(over="ignore"):
             key = _mix(np.repeat(salt, counts) + place.astype(np.uint64) * np.uint64(_GOLDEN))
-        course = self.follow(np.array(found, np.int64), key)
-        out, begin, size = c.out.data[: c.out.n], c.out_begin.data[course], c.out_size.data[course]
+        course = self.follow(found, key)
+        begin, size = c.out_begin.data[course].astype(np.int64), c.out_size.data[course].astype(np.int64)
         alone = np.flatnonzero(course < 0)
-        if len(alone):
-            long = [self.agenda(words[i], int(key[i])) for i in alone.tolist()]
-            size[alone] = [len(x) for x in long]
-            begin[alone] = len(out) + np.cumsum(size[alone]) - size[alone]
-            out = np.concatenate((out, np.array(list(chain.from_iterable(long)), np.int32)))
+        own = [words[i] for i in alone.tolist()]
+        short = np.fromiter(map(len, own), np.int64, len(own)) < SHARED
+        some = alone[short]
+        ids, at, sizes = self.cut([w for w in own if len(w) < SHARED], key[some])
+        begin[some], size[some] = c.out.n + at, sizes
+        some = alone[~short]
+        long = [self.agenda(" " + words[i], int(key[i])) for i in some.tolist()]
+        size[some] = [len(x) for x in long]
+        begin[some] = c.out.n + len(ids) + np.cumsum(size[some]) - size[some]
+        out = np.concatenate((c.out.data[: c.out.n], ids, np.array(list(chain.from_iterable(long)), np.int32)))
         to = np.concatenate(([0], np.cumsum(size)))
         ids = out[np.arange(to[-1]) - np.repeat(to[:-1] - begin, size)]
         return ids.astype("<i4"), to[np.concatenate(([0], ends))]
@@ -394,6 +442,16 @@ class Pieces:
         return [str(data[a:b], "utf-8", "surrogatepass")[1:] for a, b in zip(at, at[1:])]
 
 
+def _by_length(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Words (their numbers) that are cut together, from their lengths without the blank, and the
+    number of characters that the longest may have with it."""
+    group = np.searchsorted(LENGTHS, lengths + 1)
+    for i in np.unique(group).tolist():
+        of_length = np.flatnonzero(group == i)
+        for lo in range(0, len(of_length), 10_000):
+            yield LENGTHS[i], of_length[lo : lo + 10_000]
+
+
 _models: dict[tuple, Pieces] = {}
 
 
@@ -406,16 +464,16 @@ def model(path: str, seed: int, dropout: float) -> Pieces:
     return _models[key]
 
 
-def _portions(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Neighbouring texts of about ``AT_A_TIME`` characters together; a longer text alone."""
+def _portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts of about ``AT_A_TIME`` bytes together; a longer text alone."""
     start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > AT_A_TIME:
+    for i, n in enumerate(sizes):
+        if size and size + n > AT_A_TIME:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def encode_pieces(docs: DataFrame, path: str, seed: int = 0, dropout: float = DROPOUT, with_ids: bool = True) -> DataFrame:
@@ -431,9 +489,8 @@ def encode_pieces(docs: DataFrame, path: str, seed: int = 0, dropout: float = DR
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path, seed, dropout)
         for batch in batches:
-            every = batch.column(1).to_pylist()
-            for lo, hi in _portions(every):
-                texts, doc_ids = every[lo:hi], batch.column(0).slice(lo, hi - lo)
+            for lo, hi in _portions(pc.binary_length(batch.column(1)).to_pylist()):
+                texts, doc_ids = batch.column(1).slice(lo, hi - lo).to_pylist(), batch.column(0).slice(lo, hi - lo)
                 ids, bounds = m.encode(texts, doc_ids.to_pylist())
                 at = bounds.tolist()
                 arrays = [

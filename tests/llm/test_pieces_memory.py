@@ -29,3 +29,18 @@ def test_courses_hold_no_objects_of_their_own():
     m = pieces.Pieces(tokenizer_file("piece_bpe_32k.model"), 17, 0.4)
     m.encode(["understanding " * 3_000], [1])
     assert m.courses.word.n > 100 and len(m.courses.words) <= 2
+
+
+def test_words_met_once_leave_no_course():
+    """Each word met for the first time left a course, and one more for each first struck merge."""
+    m = pieces.Pieces(tokenizer_file("piece_bpe_32k.model"), 17, 0.1)
+    words = [f"considerable{i}" for i in range(500)]
+    once = m.encode([" ".join(words)], [1])
+    assert m.courses.word.n < 10  # two words may share a place for words met once
+    again = m.encode([" ".join(words)], [1])
+    assert m.courses.word.n >= 490 and once[0].tolist() == again[0].tolist()
+
+
+def test_texts_are_read_a_portion_at_a_time():
+    """A batch was turned into Python texts whole."""
+    assert list(pieces._portions([600_000, 300_000, 200_000, 5_000_000, 1, 0])) == [(0, 2), (2, 3), (3, 4), (4, 6)]
