@@ -17,7 +17,8 @@ right or not. A false hit costs the count of a phrase that stays below the thres
 changes no count.
 
 The corpus is cut into words once: a shard's rows are blocks of a few megabytes of text of one
-language, as the block's distinct words and their numbers in order. Grams of a block are
+language, as the block's distinct words and their numbers in order, both compressed: Spark
+hands a task's blocks to Python in one batch. Grams of a block are
 numbered exactly, as a pair of the number of their first words and their last word.
 Between tasks a phrase travels as 128 bits of hashes of its language and words; a last scan
 spells out those that reached the threshold.
@@ -101,8 +102,18 @@ def tokens(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     return [w for w in words if w not in (b"", b"\n")], new[number[number != blank]]
 
 
+def packed(data: bytes) -> bytes:
+    """The data compressed, after its length in eight bytes."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(memoryview(data)[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
 def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
-    """shard, lang, words (parted by blanks) and numbers (32-bit integers) of each block."""
+    """shard, lang, words (parted by blanks) and numbers (32-bit integers) of each block, the last two packed."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text")).filter("text <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +126,9 @@ def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
             size.pop(lang)
             words, number = tokens(held.pop(lang))
             turn += 1
-            row = [pa.array([turn % shards], pa.int32()), pa.array([lang], pa.string()), pa.array([b" ".join(words)], pa.binary()), pa.array([number.astype("<i4").tobytes()], pa.binary())]
+            row = [pa.array([turn % shards], pa.int32()), pa.array([lang], pa.string()), pa.array([packed(b" ".join(words))], pa.binary()), pa.array([packed(number.astype("<i4").tobytes())], pa.binary())]
+            del words, number
+            pa.default_memory_pool().release_unused()  # what splitting took; the worker goes on to scan
             return pa.RecordBatch.from_arrays(row, ["shard", "lang", "words", "numbers"])
 
         for batch in batches:
@@ -185,6 +198,12 @@ class Grams:
         return [b" ".join([self.words[i] for i in self.number[p : p + length].tolist()]) for p in place.tolist()]
 
 
+def grams(batch: pa.RecordBatch, row: int, now: np.ndarray | None, old: np.ndarray | None) -> Grams:
+    """The grams of a block that stands in a batch as lang, words, numbers."""
+    lang, words, numbers = (batch.column(c)[row].as_py() for c in range(3))
+    return Grams(lang, unpacked(words), unpacked(numbers), now, old)
+
+
 def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool) -> DataFrame:
     """h1, h2 and f (occurrences in a block) of all active phrases."""
 
@@ -192,7 +211,7 @@ def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool) -> Da
         now, old = sent.value
         for batch in batches:
             for row in range(batch.num_rows):
-                block = Grams(*(batch.column(c)[row].as_py() for c in range(3)), now, old)
+                block = grams(batch, row, now, old)
                 for h, f in [block.counted_words()] * words_too + [level[:2] for level in block.levels(longest)]:
                     for at in range(0, len(f), 100_000):
                         two = h[at : at + 100_000].view(np.int64)
@@ -209,7 +228,7 @@ def spell(blocks: DataFrame, sent: Broadcast, longest: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 lang = batch.column(0)[row].as_py()
-                block = Grams(lang, batch.column(1)[row].as_py(), batch.column(2)[row].as_py(), sent.value, None)
+                block = grams(batch, row, sent.value, None)
 
                 def found() -> Iterator[tuple[list[bytes], np.ndarray, int]]:
                     yield [b""], np.zeros((1, 2), np.uint64), int(block.inside.sum())

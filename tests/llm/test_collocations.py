@@ -109,3 +109,13 @@ def test_query(spark, sf, documents):
     rows = [(r.lang, r.text) for r in documents.collect()]
     assert result(QUERIES["op12_collocations"](spark, sf)) == plain(rows, 100)
     assert result(c.collocations(documents, least=10)) == plain(rows, 10)
+
+
+def test_blocks_travel_compressed(spark):
+    """A task's blocks stood in one batch with four bytes a word, in the JVM and in Python."""
+    rows = [("en", "the cat sat on the mat and the dog lay by the door " * 2000), (None, "a")]
+    blocks = c.coded_blocks(frame(spark, rows), 1).collect()
+    got = {r.lang: (c.unpacked(r.words), len(c.unpacked(r.numbers)) // 4, len(r.numbers)) for r in blocks}
+    assert got["und"][:2] == (b"a", 1)
+    assert got["en"][0] == b"the cat sat on mat and dog lay by door" and got["en"][1] == 26_000 and got["en"][2] < 26_000
+    assert c.unpacked(c.packed(b"")) == b""
