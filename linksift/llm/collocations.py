@@ -20,8 +20,8 @@ The corpus is cut into words once: a shard's rows are blocks of a few megabytes
 language, as the block's distinct words and their numbers in order, both compressed: Spark
 hands a task's blocks to Python in one batch. Grams of a block are
 numbered exactly, as a pair of the number of their first words and their last word.
-Between tasks a phrase travels as 128 bits of hashes of its language and words; a last scan
-spells out those that reached the threshold.
+Between tasks a phrase travels as 128 bits of hashes of its language and words, with the number of
+one block that holds it; a last step spells each phrase that reached the threshold in that block.
 """
 
 from __future__ import annotations
@@ -46,8 +46,10 @@ FILTER_BITS = 1 << 25
 PROBES, CHUNK_BITS = 4, 1 << 16
 #: Characters of text whose words are numbered together.
 BLOCK = 1 << 22
-#: Phrases spelled out at a time.
-SPELLED = 20_000
+#: In ``first`` of a phrase, the bits of a block's number; the step stands above them.
+BLOCK_BITS = 40
+#: Bits of a phrase's hash mixed into the number of its block, so that the least one is dealt evenly.
+DEAL = (1 << 16) - 1
 STOPS = ".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + STOPS.encode(), b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(STOPS))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -112,24 +114,33 @@ def unpacked(data: bytes) -> bytes:
     return pa.decompress(memoryview(data)[8:], size, codec="zstd", asbytes=True) if size else b""
 
 
+def block_number(task: int, nth: int) -> int:
+    """The number of a task's nth block; the low bits that ``DEAL`` mixes tell 16 blocks of 4,096 tasks apart."""
+    if task >= 1 << 20 or nth >= 1 << 20:
+        raise ValueError(f"more than a million tasks or blocks of a task: {task}, {nth}")
+    return (nth >> 4) << 24 | task << 4 | nth & 15
+
+
 def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
-    """shard, lang, words (parted by blanks) and numbers (32-bit integers) of each block, the last two packed."""
+    """shard, block (its number), lang, words (parted by blanks) and numbers (32-bit integers), both
+    packed, and n (words in all) of each block."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text")).filter("text <> ''")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
         size: dict[str, int] = {}
-        turn = TaskContext.get().partitionId()
+        task, made = TaskContext.get().partitionId(), 0
 
         def block(lang: str) -> pa.RecordBatch:
-            nonlocal turn
+            nonlocal made
             size.pop(lang)
             words, number = tokens(held.pop(lang))
-            turn += 1
-            row = [pa.array([turn % shards], pa.int32()), pa.array([lang], pa.string()), pa.array([packed(b" ".join(words))], pa.binary()), pa.array([packed(number.astype("<i4").tobytes())], pa.binary())]
+            made += 1
+            row = [pa.array([(task + made) % shards], pa.int32()), pa.array([block_number(task, made - 1)], pa.int64()), pa.array([lang], pa.string())]
+            row += [pa.array([packed(b" ".join(words))], pa.binary()), pa.array([packed(number.astype("<i4").tobytes())], pa.binary()), pa.array([int((number >= 0).sum())], pa.int64())]
             del words, number
             pa.default_memory_pool().release_unused()  # what splitting took; the worker goes on to scan
-            return pa.RecordBatch.from_arrays(row, ["shard", "lang", "words", "numbers"])
+            return pa.RecordBatch.from_arrays(row, ["shard", "block", "lang", "words", "numbers", "n"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
@@ -144,7 +155,12 @@ def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
         for lang in list(held):
             yield block(lang)
 
-    return rows.mapInArrow(run, "shard int, lang string, words binary, numbers binary")
+    return rows.mapInArrow(run, "shard int, block long, lang string, words binary, numbers binary, n long")
+
+
+def _whole(h: np.ndarray) -> pa.Array:
+    """Pairs of hashes as values of 16 bytes."""
+    return pa.Array.from_buffers(pa.binary(16), len(h), [None, pa.py_buffer(np.ascontiguousarray(h))])
 
 
 class Grams:
@@ -194,57 +210,65 @@ class Grams:
             frequent, done, gram = np.zeros(n, bool), np.zeros(n, bool), np.full(n, -1, np.int64)
             frequent[at], done[at], gram[at] = True, in_old(hashes)[of], of
 
+    def places(self, wanted: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """A place and the length of each wanted phrase, told by its hashes; -1 for one that is not here."""
+        place, size = np.full(len(wanted), -1), np.full(len(wanted), -1)
+        known = _whole(wanted)
+        near = np.zeros(1 << 16, bool)  # most phrases of the block are not wanted
+        near[(wanted[:, 0] & np.uint64(0xFFFF)).astype(np.int64)] = True
+        at = np.flatnonzero(self.inside)
+        gram = self.of_word[self.number[at]]
+        for length in range(1, longest + 1):
+            if length > 1:
+                on = at + length - 1 < len(self.number)
+                on[on] = self.inside[at[on] + length - 1]
+                at = at[on]
+                gram = longer_hash(gram[on], self.of_word[self.number[at + length - 1]])
+            hit = np.flatnonzero(near[(gram[:, 0] & np.uint64(0xFFFF)).astype(np.int64)])
+            which = pc.index_in(_whole(gram[hit]), value_set=known)
+            hit, which = hit[pc.is_valid(which).to_numpy(zero_copy_only=False)], which.drop_null().to_numpy()
+            place[which], size[which] = at[hit], length
+        return place, size
+
     def spelled(self, place: np.ndarray, length: int) -> list[bytes]:
         return [b" ".join([self.words[i] for i in self.number[p : p + length].tolist()]) for p in place.tolist()]
 
 
-def grams(batch: pa.RecordBatch, row: int, now: np.ndarray | None, old: np.ndarray | None) -> Grams:
-    """The grams of a block that stands in a batch as lang, words, numbers."""
-    lang, words, numbers = (batch.column(c)[row].as_py() for c in range(3))
-    return Grams(lang, unpacked(words), unpacked(numbers), now, old)
-
-
-def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool) -> DataFrame:
-    """h1, h2 and f (occurrences in a block) of all active phrases."""
+def scan(shard: DataFrame, sent: Broadcast, longest: int, words_too: bool, step: int) -> DataFrame:
+    """h1, h2, f (occurrences in a block) and first (the step, and the block's number mixed with h1)
+    of all active phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, old = sent.value
         for batch in batches:
             for row in range(batch.num_rows):
-                block = grams(batch, row, now, old)
+                number, lang, words, numbers = (batch.column(c)[row].as_py() for c in ("block", "lang", "words", "numbers"))
+                block = Grams(lang, unpacked(words), unpacked(numbers), now, old)
                 for h, f in [block.counted_words()] * words_too + [level[:2] for level in block.levels(longest)]:
                     for at in range(0, len(f), 100_000):
                         two = h[at : at + 100_000].view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(f[at : at + 100_000], pa.int64())], ["h1", "h2", "f"])
-
-    return shard.mapInArrow(run, "h1 long, h2 long, f long")
+                        first = np.int64(step << BLOCK_BITS | number) ^ (two[:, 0] & DEAL)
+                        yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(f[at : at + 100_000], pa.int64()), pa.array(first)], ["h1", "h2", "f", "first"])
 
+    return shard.select("block", "lang", "words", "numbers").mapInArrow(run, "h1 long, h2 long, f long, first long")
 
-def spell(blocks: DataFrame, sent: Broadcast, longest: int) -> DataFrame:
-    """lang, phrase, h1, h2, n of the phrases that the bitmap holds, some more than once; and
-    each block's number of words n with the phrase ""."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lang = batch.column(0)[row].as_py()
-                block = grams(batch, row, sent.value, None)
 
-                def found() -> Iterator[tuple[list[bytes], np.ndarray, int]]:
-                    yield [b""], np.zeros((1, 2), np.uint64), int(block.inside.sum())
-                    if sent.value is not None and block.words:
-                        seen = np.flatnonzero(holds(sent.value, block.of_word[:, 0]))
-                        yield [block.words[i] for i in seen.tolist()], block.of_word[seen], 0
-                    for _, _, length, h, place in block.levels(longest):
-                        for at in range(0, len(place), SPELLED):
-                            yield block.spelled(place[at : at + SPELLED], length), h[at : at + SPELLED], 0
+def spell(counts: DataFrame, blocks: DataFrame, longest: int) -> DataFrame:
+    """lang, phrase, f of the counted phrases (block, h1, h2, f), each spelled once, in its block."""
 
-                for phrases, h, n in found():
-                    two, m = np.ascontiguousarray(h).view(np.int64), len(phrases)
-                    text = pa.array(phrases, pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), text, pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array([n] * m, pa.int64())], ["lang", "phrase", "h1", "h2", "n"])
+    def run(wanted: pa.Table, block: pa.Table) -> pa.Table:
+        if not wanted.num_rows:
+            return pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.string()), "f": pa.array([], pa.int64())})
+        lang, words, numbers = (block[c][0].as_py() for c in ("lang", "words", "numbers"))
+        whole = Grams(lang, unpacked(words), unpacked(numbers), None, None)
+        place, size = whole.places(np.column_stack([wanted[c].to_numpy() for c in ("h1", "h2")]).view(np.uint64), longest)
+        if (place < 0).any():
+            raise ValueError(f"{(place < 0).sum()} phrases are not in the block they were counted in")
+        phrases = [whole.spelled(place[i : i + 1], k)[0] for i, k in enumerate(size.tolist())]
+        return pa.table({"lang": pa.array([lang] * len(phrases), pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()), "f": wanted["f"]})
 
-    return blocks.mapInArrow(run, "lang string, phrase string, h1 long, h2 long, n long")
+    texts = blocks.select("block", "lang", "words", "numbers")
+    return counts.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(run, "lang string, phrase string, f long")
 
 
 def put(bitmap: np.ndarray | None, phrases: DataFrame, bits: int) -> np.ndarray | None:
@@ -276,15 +300,14 @@ def _same(a: np.ndarray | None, b: np.ndarray | None) -> bool:
     return a is b or (a is not None and b is not None and np.array_equal(a, b))
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = FILTER_BITS) -> DataFrame:
-    """lang, phrase, f of all phrases of 1 to ``longest`` words that occur ``least`` times or more
-    in a language, with their exact counts, and the number of all words as phrase ""."""
+def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """The blocks, and h1, h2, f and block (one that holds it) of all phrases over the threshold."""
     if bits % CHUNK_BITS:
         raise ValueError(f"the number of bits must be a multiple of {CHUNK_BITS}")
     spark: SparkSession = docs.sparkSession
     path = fresh_path(spark, "phrase-shards")
     coded_blocks(docs, shards).write.partitionBy("shard").parquet(path)
-    blocks = spark.read.schema("lang string, words binary, numbers binary, shard int").parquet(path)
+    blocks = spark.read.schema("block long, lang string, words binary, numbers binary, n long, shard int").parquet(path)
 
     bitmaps: list[np.ndarray | None] = [None]  # before this step and the ones a cycle back
     state: DataFrame | None = None
@@ -292,24 +315,27 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     while step < shards or not _same(bitmaps[-1], bitmaps[0]):
         now, old = bitmaps[-1], bitmaps[0] if step >= shards else None
         sent = spark.sparkContext.broadcast((now, old))
-        found = scan(blocks.filter(F.col("shard") == step % shards).select("lang", "words", "numbers"), sent, longest, step < shards)
-        found = found.select("h1", "h2", "f", F.lit(step).alias("since"), F.lit(False).alias("known"))
+        found = scan(blocks.filter(F.col("shard") == step % shards), sent, longest, step < shards, step)
+        found = found.select("h1", "h2", "f", "first", F.lit(False).alias("known"))
         if state is not None:
             # phrases whose cycle is over stay only if they reached the threshold
-            held = state.filter((F.col("since") > step - shards) | (F.col("f") >= least)).withColumn("known", F.col("f") >= least)
+            held = state.filter((F.shiftright("first", BLOCK_BITS) > step - shards) | (F.col("f") >= least)).withColumn("known", F.col("f") >= least)
             found = held.union(found)
-        merged = found.groupBy("h1", "h2").agg(F.sum("f").alias("f"), F.min("since").alias("since"), F.max("known").alias("known"))
+        merged = found.groupBy("h1", "h2").agg(F.sum("f").alias("f"), F.min("first").alias("first"), F.max("known").alias("known"))
         state = written(merged, f"phrases-{step}")
         sent.destroy()
         bitmaps = [*bitmaps, put(now, state.filter((F.col("f") >= least) & ~F.col("known")).select("h1"), bits)][-shards - 1 :]
         step += 1
-    sent = spark.sparkContext.broadcast(bitmaps[-1])
-    spelled = written(spell(blocks.select("lang", "words", "numbers"), sent, longest), "spelled")
-    sent.destroy()
-    counts = state.filter(F.col("f") >= least).select("h1", "h2", "f")
-    names = spelled.filter("phrase <> ''").select("lang", "phrase", "h1", "h2").dropDuplicates(["h1", "h2"])
-    total = spelled.filter("phrase = ''").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter("f > 0")
-    return counts.join(names, ["h1", "h2"]).select("lang", "phrase", "f").union(total)
+    block = F.col("first").bitwiseAND((1 << BLOCK_BITS) - 1).bitwiseXOR(F.col("h1").bitwiseAND(DEAL))
+    return blocks, state.filter(F.col("f") >= least).select(block.alias("block"), "h1", "h2", "f")
+
+
+def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = FILTER_BITS) -> DataFrame:
+    """lang, phrase, f of all phrases of 1 to ``longest`` words that occur ``least`` times or more
+    in a language, with their exact counts, and the number of all words as phrase ""."""
+    blocks, counts = counted(docs, least, longest, shards, bits)
+    total = blocks.groupBy("lang").agg(F.sum("n").alias("f")).filter("f > 0").select("lang", F.lit("").alias("phrase"), "f")
+    return spell(counts, blocks, longest).union(total)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, percent: int = KEPT_PERCENT, **how: int) -> DataFrame:

@@ -119,3 +119,31 @@ def test_blocks_travel_compressed(spark):
     assert got["und"][:2] == (b"a", 1)
     assert got["en"][0] == b"the cat sat on mat and dog lay by door" and got["en"][1] == 26_000 and got["en"][2] < 26_000
     assert c.unpacked(c.packed(b"")) == b""
+
+
+def test_a_phrase_is_spelled_once(spark):
+    """Each block that held a frequent phrase spelled it: phrases times blocks rows, each written and joined."""
+    rows = [("en" if i % 4 else "fr", f"the cat sat on the mat. {chr(97 + i % 26)} dog lay by the door") for i in range(400)]
+    blocks, known = c.counted(frame(spark, rows).repartition(8), least=50)
+    assert blocks.count() == 16
+    made = sorted(tuple(r) for r in c.spell(known, blocks, 5).collect())
+    f, _ = counts(rows, 5)
+    assert made == sorted((g, " ".join(p), a) for g in f for p, a in f[g].items() if a >= 50)
+    assert known.select("block").distinct().count() > 8  # and no block spells them all
+
+
+def test_a_phrase_of_another_block_is_no_silent_loss(spark):
+    blocks, known = c.counted(frame(spark, [("en", "one two three")] * 5).coalesce(1), least=5)
+    with pytest.raises(Exception, match="not in the block"):
+        c.spell(known.withColumn("h2", known.h2 + 1), blocks, 5).collect()
+
+
+def test_places():
+    words, number = c.tokens(["a b a b c. c a", "b"])
+    block = c.Grams("en", b" ".join(words), number.astype("<i4").tobytes(), None, None)
+    one = block.of_word
+    ab, bc = (c.longer_hash(one[i : i + 1], one[j : j + 1]) for i, j in ((0, 1), (1, 2)))
+    wanted = np.concatenate([one[2:], bc, ab, c.longer_hash(ab, one[:1]), c.longer_hash(bc, one[2:]), ab + np.uint64([0, 1])])
+    place, size = block.places(wanted, 3)
+    assert size.tolist() == [1, 2, 2, 3, -1, -1]
+    assert [block.spelled(place[i : i + 1], k)[0] for i, k in enumerate(size.tolist()) if k > 0] == [b"c", b"b c", b"a b", b"a b a"]
