@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linksift.llm.common import fresh_path, text_or_empty, written
@@ -46,6 +46,8 @@ FILTER_BITS = 1 << 25
 PROBES, CHUNK_BITS = 4, 1 << 16
 #: Characters of text whose words are numbered together.
 BLOCK = 1 << 22
+#: Parts of a language's phrases that are ranked by themselves before their first ones are ranked together.
+PARTS = 64
 #: In ``first`` of a phrase, the bits of a block's number; the step stands above them.
 BLOCK_BITS = 40
 #: Bits of a phrase's hash mixed into the number of its block, so that the least one is dealt evenly.
@@ -351,6 +353,18 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     return scored(written(frequent_phrases(docs, least, longest, **how), "frequent-phrases"), top, percent)
 
 
+def ranked_first(phrases: DataFrame, top: int, *keys: str | Column) -> DataFrame:
+    """The first ``top`` phrases of each key, with their rank."""
+    order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    return phrases.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+
+
+def first_of_parts(phrases: DataFrame, top: int, parts: int = PARTS) -> DataFrame:
+    """A language's phrases without those that are not among the first ``top`` of their part: what is
+    left is at most parts * top rows a language, whatever the input."""
+    return ranked_first(phrases, top, "lang", F.pmod(F.xxhash64("phrase"), F.lit(parts))).drop("rank")
+
+
 def scored(known: DataFrame, top: int, percent: int) -> DataFrame:
     """Phrases ranked by their weakest cuts, from the counts (lang, phrase, f)."""
     total = known.filter("phrase = ''").select("lang", F.col("f").alias("n"))
@@ -375,8 +389,7 @@ def scored(known: DataFrame, top: int, percent: int) -> DataFrame:
     hundred, share = F.lit(100).cast("decimal(3,0)"), F.lit(percent).cast("decimal(10,0)")
     inside = F.col("longer").isNotNull() & (hundred * F.col("longer").cast("decimal(19,0)") >= share * big["a"])
     free = weakest.join(around, ["lang", "phrase"], "left").filter(~inside)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = free.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    ranked = ranked_first(first_of_parts(free, top), top, "lang")
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -147,3 +147,14 @@ def test_places():
     place, size = block.places(wanted, 3)
     assert size.tolist() == [1, 2, 2, 3, -1, -1]
     assert [block.spelled(place[i : i + 1], k)[0] for i, k in enumerate(size.tolist()) if k > 0] == [b"c", b"b c", b"a b", b"a b a"]
+
+
+def test_few_phrases_of_a_language_are_ranked_together(spark):
+    """All phrases of a language were sorted in one task."""
+    rows = [(g, f"w {i}", i % 7, i % 90) for g in ("en", "fr") for i in range(900)]
+    phrases = spark.createDataFrame(rows, "lang string, phrase string, a long, score long")
+    some = c.first_of_parts(phrases, 3, 4)
+    assert {r["count"] for r in some.groupBy("lang").count().collect()} == {12}
+    got = sorted((r.lang, r["rank"], r.phrase) for r in c.ranked_first(some, 3, "lang").collect())
+    order = sorted(rows, key=lambda r: (r[0], -r[3], -r[2], r[1].encode()))
+    assert got == [(r[0], i % 900 + 1, r[1]) for i, r in enumerate(order) if i % 900 < 3]
