@@ -408,6 +408,13 @@ def _with_more(links: DataFrame, component: DataFrame, nothing: bool, find: Call
     return links, connected_components(links)
 
 
+def _least_ids(group: DataFrame) -> DataFrame:
+    """(cid, component_id): the smallest ``rep`` of each class's component. A large component's
+    classes are not brought into one task for it."""
+    least = group.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    return spread_join(group, written(least, "least-ids"), "component", "members", group.count()).select("cid", "component_id")
+
+
 def similar_groups(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST, short_hits: int = SHORT_HITS, most_long: int = MOST_LONG
 ) -> DataFrame:
@@ -451,8 +458,7 @@ def similar_groups(
     links, component = _with_more(links, component, lists.isEmpty(), lambda: search(_list_tasks(lists, component), texts, percent, words))
 
     group = by_class.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least = written(group, "groups").groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = group.join(least, "component").select("cid", "component_id")
+    of_class = _least_ids(written(group, "groups"))
     return named.join(of_class, "cid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linksift.llm.components import connected_components
-from linksift.llm.jaccard_join import divide_skip, one_of_each_group, shingles, similar_groups
+from linksift.llm.jaccard_join import _least_ids, divide_skip, one_of_each_group, shingles, similar_groups
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +107,18 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(21)}, 40: 40, 50: 40, 60: 40}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_classes_of_a_large_component_are_not_in_one_task(spark):
+    group = spark.range(0, 4000, 1, 8).select(F.col("id").alias("cid"), (F.col("id") + 5).alias("rep"), F.when(F.col("id") < 3990, 7).otherwise(F.col("id")).alias("component"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = _least_ids(group).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.cid: r.component_id for r in got} == {i: 5 if i < 3990 else i + 5 for i in range(4000)}
+    assert len(got) == 4000 and len({r.task for r in got if r.component_id == 5}) > 4
