@@ -28,3 +28,10 @@ def test_boosting_takes_the_published_rounds(spark, sf, monkeypatch):
     fitter = M._classifier(kind, cfg)
     assert (kind, cfg) == ("hgb", JobConfig())
     assert fitter.getMaxIter() == 400 and fitter.getValidationTol() == 1e-7
+
+
+def test_forest_takes_the_published_trees(spark, sf, monkeypatch):
+    kind, cfg = settings_of(monkeypatch, spark, sf, "train_rf")
+    fitter = M._classifier(kind, cfg)
+    assert (kind, cfg) == ("rf", JobConfig())
+    assert fitter.getNumTrees() == 300 and fitter.getMaxDepth() == 16
