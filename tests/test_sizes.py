@@ -115,3 +115,13 @@ def test_ngrams_are_hashed_once(spark, sf):
     rehashed = M.gram_stage(16).transform(table.limit(3))
     assert {r["_ngrams"].size for r in rehashed.collect()} == {16}
     assert M.gram_stage(T_.QUICK.ngram_dim).transform(table) is table
+
+
+def test_events_are_not_sent_whole(spark, tmp_path):
+    """The events of a small file are many rows: the driver must not build a table of them."""
+    ids = F.col("id")
+    spark.range(200_000).select(ids.alias("event_id"), F.lit(0).cast("timestamp").alias("ts")).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(3).select(ids.alias("page_id"), F.lit("http://a.example/").alias("url")).write.parquet(str(tmp_path / "pages.parquet"))
+    found = T_.feedback(spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 63
