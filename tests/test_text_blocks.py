@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from linksift.functions.text import entropy, shannon
 from linksift.operators.mutate import mutate_urls
 from linksift.operators.ngrams import CharNGramHasher, char_ngrams
+from linksift.operators.parse import with_url_features
 from linksift.sources.corpus import url_corpus
 
 ODD = [(None,), ("",), ("  ",), ("a",), ("a b cd\nef",), ("\U0001f600x é ж漢字漢",), ("x" * 9000 + "ж" * 3000,)]
@@ -31,3 +32,9 @@ def test_ngrams_hash_as_in_the_library(spark, sf):
 def test_entropies_as_by_runs(spark, sf):
     both = texts(spark, sf).select(shannon(F.col("url")).alias("wanted"), entropy(F.col("url")).alias("given"))
     assert both.filter("(wanted IS NULL) <> (given IS NULL) OR abs(wanted - given) > 1e-12").count() == 0
+
+
+def test_last_labels_are_joined_once(spark):
+    """They are searched for each brand, but made only once."""
+    found = with_url_features(spark.createDataFrame([("http://a.example/",)], "url string"), similarity=False, flags=False)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_join(slice(") <= 2
