@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from linksift.operators import models as M
 from linksift.operators.models import gram_stage, permutation_importance, tested_features
 from linksift.plans import fixtures as T_
+from linksift.plans import train as train_module
+from linksift.sources.corpus import url_corpus
 
 GRAMS = gram_stage(T_.QUICK.ngram_dim)
 
@@ -43,3 +45,19 @@ def test_importance_of_calibrated_folds_by_flat_arrays(spark, sf):
     assert given.keys() == wanted.keys()
     for feature, pair in wanted.items():
         assert given[feature] == pytest.approx(pair, abs=1e-9)
+
+
+def test_training_hands_its_model_to_the_importances(spark, sf, monkeypatch):
+    """The report's importances are then walked as flat arrays, and not scored copy by copy."""
+    given = {}
+
+    def importance(df, score, *args, **kwargs):
+        given.update(kwargs)
+        raise InterruptedError
+
+    cfg = replace(T_.QUICK, n_estimators=2, max_depth=2, cv_folds=1, use_calibration=False)
+    monkeypatch.setattr(M, "permutation_importance", importance)
+    monkeypatch.setattr(train_module, "bootstrap_ci", lambda *args, **kwargs: None)
+    with pytest.raises(InterruptedError):
+        train_module.train(url_corpus(spark, sf), cfg, T_.KEY)
+    assert M.flat_model(given["model"]) is not None
